@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from skygrid.functions.constants import API_NAMES
 from skygrid.functions.scalars import parse_time, rain_flag
@@ -69,9 +68,7 @@ def read_bodies(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ---- border ----------------------------------------------------------------
-_GEOJSON = T.StructType.fromDDL(
-    "features ARRAY<STRUCT<geometry: STRUCT<coordinates: ARRAY<ARRAY<ARRAY<DOUBLE>>>>>>"
-)
+_GEOJSON = "features ARRAY<STRUCT<geometry: STRUCT<coordinates: ARRAY<ARRAY<ARRAY<DOUBLE>>>>>>"
 
 
 def read_edges(spark: SparkSession, path: str) -> DataFrame:
