@@ -83,28 +83,58 @@ def _crosses(lat: Column, lon: Column, x1: Column, y1: Column, x2: Column, y2: C
     return (lat > F.least(y1, y2)) & (lat <= F.greatest(y1, y2)) & reach
 
 
-def inside(lat: Column | str, lon: Column | str, ring: Ring = BORDER) -> Column:
-    """Even-odd test against one ring as one expression; a missing coordinate is outside.
-
-    The bounding box comes first, both to end early and to reach the scan as a pushed filter.
-    """
-    y, x = col(lat), col(lon)
-    crossings = F.lit(0)
+def _banded(ring: Ring, bands: int) -> tuple[Column, float, float]:
+    """Edges listed under each of ``bands`` latitude bands, as one constant; first band, width."""
+    south, north = min(p[1] for p in ring), max(p[1] for p in ring)
+    width = (north - south) / bands
+    listed: list[list[str]] = [[] for _ in range(bands + 1)]
     for x1, y1, x2, y2 in ring_edges(ring):
         if y1 == y2:
             continue  # a level edge is never crossed
-        south, north = sorted((y1, y2))
-        hit = (y > south) & (y <= north) & (x <= max(x1, x2))
-        if x1 != x2:
-            hit = hit & (x <= (y - y1) * (x2 - x1) / (y2 - y1) + x1)
-        crossings = crossings + hit.cast("int")
+        low, high = sorted((y1, y2))
+        edge = (
+            f"named_struct('x1', {x1!r}D, 'y1', {y1!r}D, 'dx', {x2 - x1!r}D, 'dy', {y2 - y1!r}D, "
+            f"'low', {low!r}D, 'high', {high!r}D, 'east', {max(x1, x2)!r}D)"
+        )
+        for band in range(int((low - south) / width), int((high - south) / width) + 1):
+            listed[min(band, bands)].append(edge)
+    text = ", ".join(f"array({', '.join(edges)})" for edges in listed if edges)
+    if not all(listed):
+        raise ValueError("a latitude band without edges: the ring is not closed")
+    return F.expr(f"array({text})"), south, width
+
+
+def _in_box(y: Column, x: Column, ring: Ring) -> Column:
     xs, ys = [p[0] for p in ring], [p[1] for p in ring]
-    box = (y >= min(ys)) & (y <= max(ys)) & (x >= min(xs)) & (x <= max(xs))
-    return F.coalesce(box, F.lit(False)) & (crossings % 2 == 1)
+    return (y >= min(ys)) & (y <= max(ys)) & (x <= max(xs)) & (x >= min(xs))
+
+
+def _odd_crossings(y: Column, x: Column, ring: Ring, bands: int = 64) -> Column:
+    """Whether the ray to the east meets an odd number of edges.
+
+    A point is compared with the few edges of its latitude band only. Spelling every edge out as
+    its own term makes a method too long for the JVM to compile, which is several times slower.
+    """
+    edges, south, width = _banded(ring, bands)
+
+    def hit(e: Column) -> Column:
+        reach = (y > e["low"]) & (y <= e["high"]) & (x <= e["east"])
+        return reach & ((e["dx"] == 0) | (x <= (y - e["y1"]) * e["dx"] / e["dy"] + e["x1"]))
+
+    here = F.get(edges, F.floor((y - south) / width).cast("int"))
+    return F.size(F.filter(here, hit)) % 2 == 1
+
+
+def inside(lat: Column | str, lon: Column | str, ring: Ring = BORDER) -> Column:
+    """Even-odd test against one ring as one expression; a missing coordinate is outside."""
+    y, x = col(lat), col(lon)
+    return F.coalesce(_in_box(y, x, ring) & _odd_crossings(y, x, ring), F.lit(False))
 
 
 def clip(df: DataFrame, ring: Ring = BORDER, lat: str = "Latitude", lon: str = "Longitude") -> DataFrame:
-    return df.where(inside(lat, lon, ring))
+    """Rows inside the ring; its bounding box reaches the scan as pushed filters."""
+    y, x = col(lat), col(lon)
+    return df.where(_in_box(y, x, ring)).where(_odd_crossings(y, x, ring))
 
 
 def locate(points: DataFrame, edges: DataFrame, band: float = 0.01) -> DataFrame:

@@ -55,12 +55,12 @@ def _(spark, sf):
 @query(
     "a02_mean_by_time",
     f"""with {OBS} select strftime(date_trunc('hour', Fetch_Time), '%b %d %H:%M') as Time,
-      {', '.join(f'{s6(f'avg({m})')} as {m}' for m in _SHOWN)} from obs group by date_trunc('hour', Fetch_Time)""",
+      {', '.join(f'round(avg({m}), 9) as {m}' for m in _SHOWN)} from obs group by date_trunc('hour', Fetch_Time)""",
 )
 def _(spark, sf):
     o = obs(spark, sf).withColumn("_time", S.floor_hour("Fetch_Time"))
     out = A.mean_by_time(o, "_time", _SHOWN)
-    return _rounded(out, *_SHOWN).select(S.axis_label("_time").alias("Time"), *_SHOWN)
+    return out.withColumns({m: F.round(m, 9) for m in _SHOWN}).select(S.axis_label("_time").alias("Time"), *_SHOWN)
 
 
 @query(

@@ -1 +1,225 @@
+"""Training, scoring, blending, attribution."""
 
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from skygrid.functions.constants import BLEND_WEIGHTS, FEATURE_ORDER
+from skygrid.operators import attribution, blending, features, metrics, models, sampling, scoring
+from skygrid.plans.aggregate_queries import _auc_sql
+from skygrid.plans.dataset import FIXED_SHAPING, OBS, SCORED, obs, r6, s6, scored
+from skygrid.plans.feature_queries import _feature_sql
+from skygrid.plans.registry import query
+from skygrid.session import checkpoint_root
+
+#: Small settings so that a whole fit takes seconds; the library's defaults are the full ones.
+QUICK_SPACES = {
+    "xgb": {"maxIter": [3, 5], "maxDepth": [3, 4], "stepSize": [0.1, 0.2]},
+    "lgb": {"numTrees": [5, 10], "maxDepth": [4, 5], "subsamplingRate": [0.8, 1.0]},
+    "cat": {"maxIter": [3, 4], "maxDepth": [3, 4], "stepSize": [0.1, 0.2]},
+}
+
+
+def training_frame(spark, sf) -> DataFrame:
+    """Features, label, split and folds of all observations."""
+    checkpoint_root(spark)
+    raw = obs(spark, sf).withColumnRenamed("Fetch_Time", "Forecast_Time")
+    table = features.serving_features(raw, FIXED_SHAPING, extra=["event_id"])
+    table = sampling.stratified_split(table, "Rain", "event_id")
+    table = sampling.stratified_folds(table, "Rain", "event_id", 2)
+    return models.assemble(models.with_weights(table))
+
+
+def quick_learners() -> dict:
+    learners = models.base_learners()
+    return {
+        "xgb": learners["xgb"].setMaxIter(4).setMaxDepth(4),
+        "lgb": learners["lgb"].setNumTrees(8).setMaxDepth(5),
+        "cat": learners["cat"].setMaxIter(3).setMaxDepth(3),
+    }
+
+
+def quick_stack(spark, sf) -> tuple[models.Stack, DataFrame, DataFrame]:
+    """A fitted stack with its threshold, the training rows, and the held-back rows."""
+    whole = training_frame(spark, sf).select("event_id", "Timestamp", "Latitude", "Longitude", "Rain", "split", "fold", "weight", "features", *FEATURE_ORDER).persist()
+    train, valid = whole.where("split = 'train'"), whole.where("split = 'valid'")
+    stack = models.fit_stack(train, quick_learners(), folds=2)
+    stack.threshold = models.choose_threshold(stack, valid)
+    whole.unpersist()
+    return stack, train, valid
+
+
+# ---- training --------------------------------------------------------------
+@query("m09_baselines")
+def _(spark, sf):
+    whole = training_frame(spark, sf).persist()
+    fitted = models.fit_all(whole.where("split = 'train'"), models.baselines(trees=10))
+    whole.unpersist()
+    # The margin and its vector belong to one pipeline only; each model scores the rows on its own.
+    found = models.probabilities(whole.where("split = 'valid'"), fitted, ["event_id", "Rain"])
+    return metrics.compare_models(found, {m: F.col(f"p_{m}") for m in fitted}, "Rain")
+
+
+@query("m10_base_learners")
+def _(spark, sf):
+    whole = training_frame(spark, sf).persist()
+    fitted = models.fit_all(whole.where("split = 'train'"), quick_learners())
+    whole.unpersist()
+    found = models.probabilities(whole.where("split = 'valid'"), fitted, ["event_id", "Rain"])
+    return metrics.compare_models(found, {m: F.col(f"p_{m}") for m in fitted}, "Rain")
+
+
+@query("m11_random_search")
+def _(spark, sf):
+    train = training_frame(spark, sf).where("split = 'train'").select("Rain", "features", "weight", "fold").persist()
+    found = models.tune_bases(train, draws=2, folds=2, spaces=QUICK_SPACES)
+    train.unpersist()
+    rows = [(m, k, str(v), float(f1)) for m, (setting, f1) in found.items() for k, v in setting.items()]
+    return spark.createDataFrame(rows, "model string, param string, value string, f1 double")
+
+
+@query("m12_stacking")
+def _(spark, sf):
+    stack, _, valid = quick_stack(spark, sf)
+    found = stack.score(valid, ["event_id", "Rain"])
+    said = found.withColumn("said", (F.col("prob") >= stack.threshold).cast("int"))
+    return metrics.scores(metrics.confusion(said, "Rain", "said")).withColumn("threshold", F.lit(stack.threshold))
+
+
+@query("m16_stack_forecast")
+def _(spark, sf):
+    stack, _, valid = quick_stack(spark, sf)
+    return stack.forecast(valid, ["event_id", "Timestamp", "Latitude", "Longitude"])
+
+
+# ---- scoring with exported models ------------------------------------------
+class ClosedForm:
+    """A stand-in session: logistic in one column, in the list-of-dicts or the array layout."""
+
+    def __init__(self, body: bytes):
+        column, slope, shift, self.layout = body.decode().split(",")
+        self.column, self.slope, self.shift = int(column), float(slope), float(shift)
+
+    def get_inputs(self):
+        return [type("Input", (), {"name": "input"})()]
+
+    def run(self, _, feed):
+        x = feed["input"][:, self.column].astype(np.float64)
+        p = 1.0 / (1.0 + np.exp(-(self.slope * x + self.shift)))
+        if self.layout == "dicts":
+            return [None, [{0: 1 - v, 1: v} for v in p]]
+        return [None, np.column_stack([1 - p, p])]
+
+
+#: Column of the feature order (for ``meta``: of the three probabilities), slope, shift, layout.
+CLOSED_FORM = {"xgb": b"5,0.125,-1.5,dicts", "lgb": b"7,0.25,-1.0,array", "cat": b"6,-0.5,0.25,array", "meta": b"0,4.0,-2.0,dicts"}
+
+
+@query(
+    "m16_exported_models",
+    f"""with s as ({_feature_sql(' - interval 7 hour', '', "strftime(Fetch_Time, '%Y-%m-%d %H:%M:%S')", '')}),
+    b as (select event_id, 1e0/(1e0+exp(-(0.125e0*Hour - 1.5e0))) as p_xgb, 1e0/(1e0+exp(-(0.25e0*Location_Encoded - 1e0))) as p_lgb,
+      1e0/(1e0+exp(-(-0.5e0*Month + 0.25e0))) as p_cat from s),
+    m as (select *, 1e0/(1e0+exp(-(4e0*cast(cast(p_xgb as float) as double) - 2e0))) as prob from b)
+    select event_id, {s6('p_xgb')} as p_xgb, {s6('p_lgb')} as p_lgb, {s6('p_cat')} as p_cat, round_even(prob, 4) as rain_probability,
+      cast(case when prob >= 0.4e0 then 1 else 0 end as integer) as predicted_rain from m""",
+)
+def _(spark, sf):
+    raw = obs(spark, sf).withColumnRenamed("Fetch_Time", "Forecast_Time")
+    table = features.serving_features(raw, FIXED_SHAPING, extra=["event_id"])
+    keep = ["event_id", "Timestamp", "Latitude", "Longitude"]
+    found = scoring.score(table, CLOSED_FORM, keep, open_session=ClosedForm)
+    return found.select(
+        "event_id",
+        *[r6(f"p_{m}").alias(f"p_{m}") for m in scoring.BASE_ORDER],
+        scoring.half_even("prob", 4).alias("rain_probability"),
+        scoring.to_class("prob").alias("predicted_rain"),
+    )
+
+
+# ---- blending --------------------------------------------------------------
+_PROBS = ["p_xgb", "p_lgb", "p_cat"]
+
+
+def _blend_sql(w) -> str:
+    return f"({w[0]}e0*p_xgb + {w[1]}e0*p_lgb + {w[2]}e0*p_cat)"
+
+
+def _model_scores_sql(name: str, prob: str) -> str:
+    return f"""select '{name}' as model, tp, fp, fn, tn, {s6('(tp+tn)/(tp+fp+fn+tn)')} as accuracy, {s6('coalesce(tp/nullif(tp+fp,0),0e0)')} as precision,
+      {s6('coalesce(tp/nullif(tp+fn,0),0e0)')} as recall, {s6('coalesce(2*tp/nullif(2*tp+fp+fn,0),0e0)')} as f1, {s6(_auc_sql('scored', prob))} as roc_auc
+    from (select count(*) filter (where Rain=1 and {prob}>=0.5e0) as tp, count(*) filter (where Rain=0 and {prob}>=0.5e0) as fp,
+      count(*) filter (where Rain=1 and not {prob}>=0.5e0) as fn, count(*) filter (where Rain=0 and not {prob}>=0.5e0) as tn from scored)"""
+
+
+def _score_columns(df):
+    return df.withColumns({c: r6(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")})
+
+
+@query("m14_weighted_blends", f"with {SCORED} " + " union all ".join(_model_scores_sql(f"blend_{i + 1}", _blend_sql(w)) for i, w in enumerate(BLEND_WEIGHTS)))
+def _(spark, sf):
+    return _score_columns(blending.compare_blends(scored(spark, sf), _PROBS))
+
+
+_GRID_11 = """a as (select case when i = 10 then 1e0 else i*0.1e0 end as w_0, i from (select unnest(range(11)) as i)),
+b as (select w_0, i*11 + j as idx, case when j = 10 then 1e0 - w_0 else j*((1e0 - w_0)/10e0) end as w_1 from a cross join (select unnest(range(11)) as j)),
+g as (select cast(idx as integer) as idx, w_0, w_1, 1e0 - w_0 - w_1 as w_2 from b),
+k as (select idx, any_value(w_0) as w_0, any_value(w_1) as w_1, any_value(w_2) as w_2,
+  count(*) filter (where Rain=1 and w_0*p_xgb + w_1*p_lgb + w_2*p_cat >= 0.5e0) as tp,
+  count(*) filter (where Rain=0 and w_0*p_xgb + w_1*p_lgb + w_2*p_cat >= 0.5e0) as fp,
+  count(*) filter (where Rain=1) as pos from scored cross join g group by idx)"""
+
+
+@query("m15_blend_grid", f"with {SCORED}, {_GRID_11} select idx, {s6('w_0')} as w_0, {s6('w_1')} as w_1, {s6('w_2')} as w_2, tp, fp, {s6('coalesce(2*tp/nullif(tp+fp+pos,0),0e0)')} as f1 from k")
+def _(spark, sf):
+    found = blending.search_blend(scored(spark, sf), _PROBS, points=11)
+    return found.withColumns({c: r6(c) for c in ("w_0", "w_1", "w_2", "f1")})
+
+
+@query("m15_best_blend")
+def _(spark, sf):
+    return blending.best_blend(blending.search_blend(scored(spark, sf), _PROBS, points=41))
+
+
+@query("m17_model_comparison", f"with {SCORED} " + " union all ".join(_model_scores_sql(p[2:], p) for p in _PROBS))
+def _(spark, sf):
+    return _score_columns(metrics.compare_models(scored(spark, sf), {p[2:]: F.col(p) for p in _PROBS}, "Rain"))
+
+
+# ---- background and attribution --------------------------------------------
+@query("m18_background")
+def _(spark, sf):
+    return models.background(training_frame(spark, sf).persist(), k=20)
+
+
+def _attributions(spark, sf) -> DataFrame:
+    """Attributions of 20 hash-drawn rows against 10 centres of the whole table."""
+    stack, train, _ = quick_stack(spark, sf)
+    centres = models.background(train, k=10)
+    rows = sampling.sample_rows(train, 20, "event_id").select("event_id", *FEATURE_ORDER)
+
+    def score(df):
+        return stack.score(models.assemble(df), [c for c in df.columns if c in ("event_id", "mask_id", "centre_weight")])
+
+    return attribution.attribute(rows, centres, score, key="event_id", n=160)
+
+
+@query("m19_attributions")
+def _(spark, sf):
+    return _attributions(spark, sf)
+
+
+@query("m20_importance")
+def _(spark, sf):
+    return attribution.importance(_attributions(spark, sf))
+
+
+@query(
+    "m20_importance_of_given",
+    f"with {OBS} select tier as feature, {s6('avg(abs(Temperature - 25e0))')} as importance from obs group by 1 order by 2 desc, 1",
+)
+def _(spark, sf):
+    given = obs(spark, sf).select(F.col("tier").alias("feature"), (F.col("Temperature") - 25.0).alias("phi"))
+    return attribution.importance(given).withColumn("importance", r6("importance"))
