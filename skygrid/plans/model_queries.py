@@ -12,70 +12,78 @@ from skygrid.plans.aggregate_queries import _auc_sql
 from skygrid.plans.dataset import FIXED_SHAPING, OBS, SCORED, obs, r6, s6, scored
 from skygrid.plans.feature_queries import _feature_sql
 from skygrid.plans.registry import query
-from skygrid.session import checkpoint_root
+from skygrid.session import scratch_path
 
 #: Small settings so that a whole fit takes seconds; the library's defaults are the full ones.
 QUICK_SPACES = {
-    "xgb": {"maxIter": [3, 5], "maxDepth": [3, 4], "stepSize": [0.1, 0.2]},
+    "xgb": {"maxIter": [2, 3], "maxDepth": [2, 3], "stepSize": [0.1, 0.2]},
     "lgb": {"numTrees": [5, 10], "maxDepth": [4, 5], "subsamplingRate": [0.8, 1.0]},
-    "cat": {"maxIter": [3, 4], "maxDepth": [3, 4], "stepSize": [0.1, 0.2]},
+    "cat": {"maxIter": [2, 3], "maxDepth": [2, 3], "stepSize": [0.1, 0.2]},
 }
 
 
 def training_frame(spark, sf) -> DataFrame:
-    """Features, label, split and folds of all observations."""
-    checkpoint_root(spark)
+    """Features, label, split and folds of all observations, written once to the shared folder.
+
+    Every fit reads the rows many times; a written table serves them all and outlives executors.
+    """
     raw = obs(spark, sf).withColumnRenamed("Fetch_Time", "Forecast_Time")
     table = features.serving_features(raw, FIXED_SHAPING, extra=["event_id"])
     table = sampling.stratified_split(table, "Rain", "event_id")
     table = sampling.stratified_folds(table, "Rain", "event_id", 2)
-    return models.assemble(models.with_weights(table))
+    path = scratch_path(spark, "training")
+    models.with_weights(table).write.parquet(path)
+    return models.assemble(spark.read.parquet(path))
 
 
 def quick_learners() -> dict:
     learners = models.base_learners()
     return {
-        "xgb": learners["xgb"].setMaxIter(4).setMaxDepth(4),
-        "lgb": learners["lgb"].setNumTrees(8).setMaxDepth(5),
-        "cat": learners["cat"].setMaxIter(3).setMaxDepth(3),
+        "xgb": learners["xgb"].setMaxIter(3).setMaxDepth(3),
+        "lgb": learners["lgb"].setNumTrees(5).setMaxDepth(4),
+        "cat": learners["cat"].setMaxIter(2).setMaxDepth(3),
     }
 
 
+_STACKS: dict[tuple[str, str], tuple] = {}
+
+
 def quick_stack(spark, sf) -> tuple[models.Stack, DataFrame, DataFrame]:
-    """A fitted stack with its threshold, the training rows, and the held-back rows."""
-    whole = training_frame(spark, sf).select("event_id", "Timestamp", "Latitude", "Longitude", "Rain", "split", "fold", "weight", "features", *FEATURE_ORDER).persist()
-    train, valid = whole.where("split = 'train'"), whole.where("split = 'valid'")
-    stack = models.fit_stack(train, quick_learners(), folds=2)
-    stack.threshold = models.choose_threshold(stack, valid)
-    whole.unpersist()
-    return stack, train, valid
+    """A fitted stack with its threshold, the training rows, and the held-back rows.
+
+    Fitted once per session and folder; several queries use it.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STACKS:
+        whole = training_frame(spark, sf)
+        train, valid = whole.where("split = 'train'"), whole.where("split = 'valid'")
+        stack = models.fit_stack(train, quick_learners(), folds=2)
+        stack.threshold = models.choose_threshold(stack, valid)
+        _STACKS[key] = (stack, train, valid)
+    return _STACKS[key]
 
 
 # ---- training --------------------------------------------------------------
 @query("m09_baselines")
 def _(spark, sf):
-    whole = training_frame(spark, sf).persist()
-    fitted = models.fit_all(whole.where("split = 'train'"), models.baselines(trees=10))
-    whole.unpersist()
-    # The margin and its vector belong to one pipeline only; each model scores the rows on its own.
+    whole = training_frame(spark, sf)
+    fitted = models.fit_all(whole.where("split = 'train'"), models.baselines(trees=5, rounds=10))
     found = models.probabilities(whole.where("split = 'valid'"), fitted, ["event_id", "Rain"])
     return metrics.compare_models(found, {m: F.col(f"p_{m}") for m in fitted}, "Rain")
 
 
 @query("m10_base_learners")
 def _(spark, sf):
-    whole = training_frame(spark, sf).persist()
+    whole = training_frame(spark, sf)
     fitted = models.fit_all(whole.where("split = 'train'"), quick_learners())
-    whole.unpersist()
     found = models.probabilities(whole.where("split = 'valid'"), fitted, ["event_id", "Rain"])
     return metrics.compare_models(found, {m: F.col(f"p_{m}") for m in fitted}, "Rain")
 
 
 @query("m11_random_search")
 def _(spark, sf):
-    train = training_frame(spark, sf).where("split = 'train'").select("Rain", "features", "weight", "fold").persist()
+    train = training_frame(spark, sf).where("split = 'train'").select("Rain", "features", "weight", "fold")
     found = models.tune_bases(train, draws=2, folds=2, spaces=QUICK_SPACES)
-    train.unpersist()
     rows = [(m, k, str(v), float(f1)) for m, (setting, f1) in found.items() for k, v in setting.items()]
     return spark.createDataFrame(rows, "model string, param string, value string, f1 double")
 
@@ -191,14 +199,14 @@ def _(spark, sf):
 # ---- background and attribution --------------------------------------------
 @query("m18_background")
 def _(spark, sf):
-    return models.background(training_frame(spark, sf).persist(), k=20)
+    return models.background(training_frame(spark, sf), k=20)
 
 
 def _attributions(spark, sf) -> DataFrame:
-    """Attributions of 20 hash-drawn rows against 10 centres of the whole table."""
+    """Attributions of 10 hash-drawn rows against 8 centres of the whole table."""
     stack, train, _ = quick_stack(spark, sf)
-    centres = models.background(train, k=10)
-    rows = sampling.sample_rows(train, 20, "event_id").select("event_id", *FEATURE_ORDER)
+    centres = models.background(train, k=8)
+    rows = sampling.sample_rows(train, 10, "event_id").select("event_id", *FEATURE_ORDER)
 
     def score(df):
         return stack.score(models.assemble(df), [c for c in df.columns if c in ("event_id", "mask_id", "centre_weight")])

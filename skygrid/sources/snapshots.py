@@ -41,16 +41,20 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str) -> Dat
     return normalise(spark.read.schema(schema).option("header", True).csv(path))
 
 
-def read_many_csv(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
+def read_many_csv(
+    spark: SparkSession, paths: str | Sequence[str], schema: str, header: bool = True
+) -> DataFrame:
     """All files together, kept readable when some are not.
 
     Damaged files are skipped; a line that does not fit the schema keeps its text in
-    ``_corrupt_record`` so that it can be counted instead of vanishing.
+    ``_corrupt_record`` so that it can be counted instead of vanishing. Lines are read whole, since
+    a pruned column would hide its own damage.
     """
     wide = T.StructType(list(T.StructType.fromDDL(schema).fields)).add("_corrupt_record", "string")
     reader = (
         spark.read.schema(wide)
-        .option("header", True)
+        .option("header", header)
+        .option("columnPruning", False)
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
@@ -68,9 +72,14 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return whole
 
 
-def id_from_name(prefix: str) -> Column:
-    """Snapshot id out of the file's name, e.g. future_20260528_1000.csv."""
-    return F.regexp_extract(F.col("_metadata.file_name"), prefix + r"_(\d{8}_\d{4})", 1)
+def id_in(name: Column, prefix: str) -> Column:
+    """Snapshot id out of a file name, e.g. future_20260528_1000.csv."""
+    return F.regexp_extract(name, prefix + r"_(\d{8}_\d{4})", 1)
+
+
+def with_file_id(files: DataFrame, prefix: str) -> DataFrame:
+    """Rows read from files with the ``snapshot_id`` their file's name carries."""
+    return files.withColumn("snapshot_id", id_in(F.col("_metadata.file_name"), prefix))
 
 
 def newest_file(files: DataFrame) -> DataFrame:
