@@ -67,11 +67,12 @@ def attribute(
     )
     packed_masks = mask_rows.agg(F.array_sort(F.collect_list(F.struct("mask_id", "mask")))).scalar()
     centre_fields = [F.struct(*[F.lit(float(v)).alias(c) for c, v in r.asDict().items()]) for r in centres]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     mixed = (
         rows.select(key, *names)
         .withColumn("_c", F.explode(F.array(*centre_fields)))
         .withColumn("_m", F.explode(packed_masks))
-        .repartition(F.col(key), F.col("_m.mask_id"))
+        .repartition(tasks, F.col(key), F.col("_m.mask_id"))
     )
     mixed = mixed.select(
         key,

@@ -65,7 +65,9 @@ def search_blend(
         yield pd.DataFrame({"idx": np.arange(len(grid)), "tp": tp.astype("int64"), "fp": fp.astype("int64")})
 
     positives = df.agg(F.count_if(F.col(label) == 1).alias("n")).scalar()
-    parts = counted.mapInPandas(tally, "idx int, tp bigint, fp bigint")
+    # The work is rows times combinations, so small inputs are spread out too.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = counted.repartition(tasks).mapInPandas(tally, "idx int, tp bigint, fp bigint")
     sums = parts.groupBy("idx").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))
     f1 = safe_ratio(F.col("tp") * 2, F.col("tp") + F.col("fp") + positives)
     table = df.sparkSession.createDataFrame(

@@ -7,6 +7,7 @@ from skygrid.plans import (  # noqa: F401
     scalar_queries,
     source_queries,
     space_queries,
+    stream_queries,
 )
 from skygrid.plans.registry import QUERIES
 

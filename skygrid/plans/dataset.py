@@ -30,7 +30,11 @@ def s6(x: str) -> str:
 
 # ---- observations ----------------------------------------------------------
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    return as_obs(table(spark, sf_dir, "events"))
+
+
+def as_obs(e: DataFrame) -> DataFrame:
+    """Events, standing or streamed, as observations."""
     cell = (F.col("user_id") * 37) % 400
     rain = F.when(F.col("event_type").isin("error", "signup"), 1).otherwise(0)
     return e.select(

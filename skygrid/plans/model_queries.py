@@ -188,7 +188,7 @@ def _(spark, sf):
 
 @query("m15_best_blend")
 def _(spark, sf):
-    return blending.best_blend(blending.search_blend(scored(spark, sf), _PROBS, points=41))
+    return blending.best_blend(blending.search_blend(scored(spark, sf), _PROBS))
 
 
 @query("m17_model_comparison", f"with {SCORED} " + " union all ".join(_model_scores_sql(p[2:], p) for p in _PROBS))
@@ -199,19 +199,19 @@ def _(spark, sf):
 # ---- background and attribution --------------------------------------------
 @query("m18_background")
 def _(spark, sf):
-    return models.background(training_frame(spark, sf), k=20)
+    return models.background(training_frame(spark, sf), k=50)
 
 
 def _attributions(spark, sf) -> DataFrame:
-    """Attributions of 10 hash-drawn rows against 8 centres of the whole table."""
+    """Attributions of 100 hash-drawn rows against 50 centres of the whole table."""
     stack, train, _ = quick_stack(spark, sf)
-    centres = models.background(train, k=8)
-    rows = sampling.sample_rows(train, 10, "event_id").select("event_id", *FEATURE_ORDER)
+    centres = models.background(train, k=50)
+    rows = sampling.sample_rows(train, 100, "event_id").select("event_id", *FEATURE_ORDER)
 
     def score(df):
         return stack.score(models.assemble(df), [c for c in df.columns if c in ("event_id", "mask_id", "centre_weight")])
 
-    return attribution.attribute(rows, centres, score, key="event_id", n=160)
+    return attribution.attribute(rows, centres, score, key="event_id", n=500)
 
 
 @query("m19_attributions")

@@ -163,7 +163,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "snapshots")
     rows = daily(spark, sf).select(*_RAW, "snapshot_id")
-    sinks.write_snapshots(rows, path, pieces=2)
+    sinks.write_snapshots(rows, path)
     again = snapshots.last_snapshots(rows, 3).withColumn("Rain", 1 - F.col("Rain"))
     sinks.write_snapshots(again, path)
     back = sinks.read_snapshots(spark, path, snapshots.SCHEMAS["raw_current"])
