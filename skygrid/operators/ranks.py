@@ -15,16 +15,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skygrid.functions.scalars import unpivot
-
 #: Most bits a bucket number may have.
 MAX_BUCKET_BITS = 10
 
 
 def value_counts(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., feature, x, c): distinct non-null values of each feature with their counts."""
-    long = unpivot(df, features, by).where(F.col("x").isNotNull())
-    return long.groupBy(*by, "feature", "x").agg(F.count("*").alias("c"))
+    """(by..., feature, x, c): distinct non-null values of each feature with their counts.
+
+    Rows are counted under the feature's number, which hashes faster than its name.
+    """
+    pairs = [F.struct(F.lit(i).alias("f"), F.col(f).cast("double").alias("x")) for i, f in enumerate(features)]
+    long = df.select(*by, F.inline(F.array(*pairs))).where(F.col("x").isNotNull())
+    counted = long.groupBy(*by, "f", "x").agg(F.count("*").alias("c"))
+    names = F.array(*[F.lit(f) for f in features])
+    return counted.select(*by, F.get(names, F.col("f")).alias("feature"), "x", "c")
 
 
 def _bucket_bits(df: DataFrame) -> int:

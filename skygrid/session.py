@@ -45,14 +45,21 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf: st
     return configure(spark)
 
 
+#: Own folders of sessions that name none, by application id.
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is named."""
+    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="skygrid-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        app = context.applicationId
+        if app not in _OWN_ROOTS:
+            _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="skygrid-")
+        root = _OWN_ROOTS[app]
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
