@@ -5,8 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import skygrid
+
+# The few Python functions run by tasks travel with the job, so that executors need no copy of this
+# package.
+cloudpickle.register_pickle_by_value(skygrid)
+
 #: Runtime settings every job relies on. All can be changed on a live session.
 RUNTIME_CONF = {
     # Forecast times are wall-clock values without a zone; UTC keeps them as they are.
