@@ -67,7 +67,7 @@ def test_files_with_names_and_damage(spark, tmp_path):
     assert [(r.snapshot_id, r.Rain, r.Humidity) for r in good] == [("20260528_1000", 0, 80.0), ("20260528_1001", 1, 80.0)]
     assert len(named.where("_corrupt_record is not null").collect()) == 1
     plain = spark.read.schema(snapshots.SCHEMAS["raw_current"]).option("header", True).csv(str(tmp_path))
-    assert snapshots.newest_file(plain).where("Latitude is not null").count() == 1
+    assert snapshots.newest_file(plain).where("Rain is not null").count() == 1
 
 
 def test_retention_keeps_the_newest(spark, tmp_path):
