@@ -107,16 +107,20 @@ def report(df: DataFrame, y: str = "Rain", p: str = "predicted_rain", weight: st
     return c.select(F.inline(lines))
 
 
-def prevalence(counts: DataFrame) -> DataFrame:
-    """True and predicted share of rain, and how far apart they are."""
+def prevalence_columns() -> list[Column]:
     n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
     true, said = safe_ratio(F.col("tp") + F.col("fn"), n), safe_ratio(F.col("tp") + F.col("fp"), n)
-    return counts.select(
+    return [
         true.alias("rain_prevalence_true"),
         said.alias("rain_prevalence_pred"),
         F.abs(true - said).alias("prevalence_drift"),
         n.alias("total_points"),
-    )
+    ]
+
+
+def prevalence(counts: DataFrame) -> DataFrame:
+    """True and predicted share of rain, and how far apart they are."""
+    return counts.select(*prevalence_columns())
 
 
 def class_weights(df: DataFrame, y: str = "Rain") -> DataFrame:

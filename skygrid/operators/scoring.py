@@ -74,14 +74,17 @@ def score(
     return df.select(*dict.fromkeys([*kept, *order])).mapInPandas(batches, schema)
 
 
-def to_forecast(scored: DataFrame, threshold: float = SERVING_THRESHOLD, time: str = "Timestamp") -> DataFrame:
-    """Scored rows to the five forecast columns."""
+def to_forecast(
+    scored: DataFrame, threshold: float = SERVING_THRESHOLD, time: str = "Timestamp", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Scored rows to the five forecast columns (and those to ``keep``)."""
     return scored.select(
         F.col(time).alias("Forecast_Target_Time"),
         "Latitude",
         "Longitude",
         half_even("prob", 4).alias("rain_probability"),
         to_class("prob", threshold).alias("predicted_rain"),
+        *keep,
     )
 
 

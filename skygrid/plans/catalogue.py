@@ -3,6 +3,7 @@
 from skygrid.plans import (  # noqa: F401
     aggregate_queries,
     feature_queries,
+    job_queries,
     model_queries,
     scalar_queries,
     source_queries,

@@ -133,12 +133,8 @@ def _(spark, sf):
     return _shown(found.withColumn("fetch", S.stamp("Fetch_Time")), "fetch")
 
 
-@query(
-    "s07_hourly_payload",
-    f"""with {OBS}, {_CELL_HOURS} select strftime(date_trunc('day', h), '{_TS}') as fetch, strftime(h, '{_TS}') as forecast, Latitude, Longitude, {_PARSED}
-    from cell_hours""",
-)
-def _(spark, sf):
+def _hourly_bodies(spark, sf) -> DataFrame:
+    """One answer per day and batch: the hours of that day as parallel arrays."""
     amount = F.when(F.col("Rain") == 1, 1.25)
     rows = _cell_hours(spark, sf).withColumn("day", F.date_trunc("day", "h"))
     fields = ["time", "temperature_2m", "relative_humidity_2m", "cloud_cover", "surface_pressure", "wind_speed_10m", "rain"]
@@ -148,8 +144,16 @@ def _(spark, sf):
     )
     # A missing amount stays as null inside its array.
     series = series.withColumn("hourly", F.struct(*[F.col(f"hours.{f}").alias(f) for f in fields]))
-    bodies = _answers(series, ["day", "batch"], "hourly").withColumnRenamed("day", "Fetch_Time")
-    found = payloads.parse_hourly(bodies, _places(spark))
+    return _answers(series, ["day", "batch"], "hourly").withColumnRenamed("day", "Fetch_Time")
+
+
+@query(
+    "s07_hourly_payload",
+    f"""with {OBS}, {_CELL_HOURS} select strftime(date_trunc('day', h), '{_TS}') as fetch, strftime(h, '{_TS}') as forecast, Latitude, Longitude, {_PARSED}
+    from cell_hours""",
+)
+def _(spark, sf):
+    found = payloads.parse_hourly(_hourly_bodies(spark, sf), _places(spark))
     found = found.withColumns({"fetch": S.stamp("Fetch_Time"), "forecast": S.stamp("Forecast_Time")})
     return _shown(found, "fetch", "forecast")
 
