@@ -64,7 +64,10 @@ def bucketed(values: DataFrame, by: Sequence[str], weights: Sequence[str], x: st
     )
     # One row of cuts per group. Both results below read all its columns, so that Spark finds the
     # same shuffle under each and runs it once.
-    rows = values.join(F.broadcast(cuts), list(by)) if by else values.join(F.broadcast(cuts))
+    if by:
+        rows = values.join(F.broadcast(cuts), list(by))
+    else:
+        rows = values.withColumns({c: cuts.select(c).scalar() for c in cuts.columns})
     rows = rows.withColumn("bucket", _bucket(F.col(x), F.col("cuts"), bits)).drop("cuts")
     before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = (

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 import compare
 
-TRAINED = {"m09_baselines", "m11_random_search", "m19_attributions", "m20_importance", "m18_background"}
+TRAINED = {"m09_baselines", "m11_random_search", "m19_attributions", "m20_importance", "m18_background", "job_retrain"}
 
 
 @pytest.fixture(scope="module")
