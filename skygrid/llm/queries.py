@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygrid.llm import chat, packing, pages, quality, tokens, urls
+from skygrid.llm import chat, lines, minhash, packing, pages, quality, tokens, urls
 from skygrid.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,16 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return pages.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rid of lines that are copies or near copies of another's."""
+    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "lines_removed", F.length("text").cast("long").alias("n_chars"), "text")
+
+
+@query
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near copies: shingles of four words, similarity 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
