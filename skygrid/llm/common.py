@@ -6,6 +6,7 @@ import sys
 import types
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,7 +70,7 @@ def in_batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 2048, most_
     held, size = [], 0
     for row in rows:
         held.append(row)
-        size += sum(len(v) for v in row if isinstance(v, (bytes, str)) or hasattr(v, "nbytes"))
+        size += sum(v.nbytes if isinstance(v, np.ndarray) else len(v) for v in row if isinstance(v, (bytes, str, np.ndarray)))
         if len(held) >= most or size >= most_bytes:
             yield _batch(held, schema)
             held, size = [], 0

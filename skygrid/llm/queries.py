@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygrid.llm import chat, lines, minhash, packing, pages, quality, tokens, urls
+from skygrid.llm import chat, decontam, lines, minhash, mixing, packing, pages, quality, tokens, urls
 from skygrid.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,15 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of near copies: shingles of four words, similarity 0.8."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
+@query
+def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability by the mixed contexts and by word counts."""
+    return mixing.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
