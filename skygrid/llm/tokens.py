@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skygrid.llm.common import rows_of, small_batches, worker_state
+from skygrid.llm.common import BROADCAST_ROWS, rows_of, small_batches, worker_state, written
 
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
@@ -168,7 +168,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.schema(FILE_SCHEMA).parquet(path)
     lengths = files.groupBy("shard").agg(F.max(F.col("shard_start") + F.col("n_tokens")).alias("ids"))
     before = F.coalesce(F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    offsets = lengths.select("shard", before.alias("shard_offset"))
+    offsets = written(lengths.select("shard", before.alias("shard_offset")), "shard-offsets")
+    if offsets.count() <= BROADCAST_ROWS:  # one row per file: else the ids would be shuffled for it
+        offsets = F.broadcast(offsets)
     return files.join(offsets, "shard").withColumn("start", F.col("shard_offset") + F.col("shard_start"))
 
 
