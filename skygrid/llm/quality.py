@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from skygrid.llm.common import BLANKS, LOWER, UPPER, in_batches, rows_of, small_batches
 
@@ -138,7 +139,7 @@ def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAM
             said = [cascade((t or "").encode(), ordered) for t in b.column(b.schema.get_field_index("text")).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([s is None for s in said]), pa.array(said, pa.string())], names=[*b.schema.names, "kept", "rejected_by"])
 
-    schema = base.schema.add("kept", "boolean").add("rejected_by", "string")
+    schema = T.StructType([*base.schema.fields, T.StructField("kept", T.BooleanType()), T.StructField("rejected_by", T.StringType())])
     return base.mapInArrow(task, schema)
 
 
