@@ -185,8 +185,8 @@ def histogram(df: DataFrame, features: Sequence[str], bins: int = 20) -> DataFra
 def density(df: DataFrame, features: Sequence[str], by: Sequence[str] = (), points: int = 200) -> DataFrame:
     """Gaussian kernel density on an even grid from min to max, Scott's bandwidth.
 
-    Runs over distinct values with counts. Each is spread to the grid points and summed up again
-    before the shuffle, so what moves is one row per grid point and task. ``by`` is a class column.
+    Runs over distinct values with counts. Every task sums the kernels of its values at the grid
+    points, so what moves is one row per grid point and task. ``by`` is a class column.
     """
     keys = [*by, "feature"]
     values = value_counts(df, features, by)
@@ -210,20 +210,29 @@ def density(df: DataFrame, features: Sequence[str], by: Sequence[str] = (), poin
         ((F.col("hi") - F.col("lo")) / F.lit(float(points - 1))).alias("step"),
         (F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("h"),
     )
-    grid = values.join(F.broadcast(spread), keys).withColumn(
-        "i", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
-    )
-    u = (F.col("lo") + F.col("i") * F.col("step") - x) / F.col("h")
-    kernel = F.sum(c * F.exp(u * u * F.lit(-0.5)))
-    return (
-        grid.groupBy(*keys, "i", "n", "lo", "step", "h")
-        .agg(kernel.alias("k"))
-        .select(
-            *keys,
-            "i",
-            (F.col("lo") + F.col("i") * F.col("step")).alias("at"),
-            (F.col("k") / (F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))).alias("density"),
-        )
+    params = [*keys, "n", "lo", "step", "h"]
+
+    def kernels(batches):
+        """Sums of the kernels of a task's values at every grid point."""
+        sums = {}
+        for pdf in batches:
+            for group, part in pdf.groupby(params, dropna=False, sort=False):
+                lo, step, h = group[-3:]
+                x, c = part["x"].to_numpy(), part["c"].to_numpy(dtype=float)
+                at = [float(np.dot(c, np.exp(-0.5 * ((lo + i * step - x) / h) ** 2))) for i in range(points)]
+                sums[group] = np.add(sums.get(group, 0.0), at)
+        for group, k in sums.items():
+            yield pd.DataFrame([(*group, i, v) for i, v in enumerate(k)], columns=[*params, "i", "k"])
+
+    spread_out = values.join(F.broadcast(spread), keys).select(*params, "x", "c")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spread_out.schema.fields[:-2])
+    parts = spread_out.mapInPandas(kernels, f"{kinds}, i int, k double")
+    grid = parts.groupBy(*params, "i").agg(F.sum("k").alias("k"))
+    return grid.select(
+        *keys,
+        "i",
+        (F.col("lo") + F.col("i") * F.col("step")).alias("at"),
+        (F.col("k") / (F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))).alias("density"),
     )
 
 
@@ -255,11 +264,16 @@ def outliers(df: DataFrame, features: Sequence[str]) -> DataFrame:
     reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     out = (F.col("x") < F.col("q1") - reach) | (F.col("x") > F.col("q3") + reach)
     rows = df.agg(F.count("*").alias("n")).scalar()
-    return (
+    counted = (
         values.join(F.broadcast(q), "feature")  # one row per feature
         .groupBy("feature")
-        .agg(F.sum(F.when(out, F.col("c")).otherwise(0)).alias("count"))
-        .withColumn("percentage", F.col("count") / rows * 100)
+        .agg(F.sum(F.when(out, F.col("c")).otherwise(0)).alias("outside"))
+    )
+    # A column without values has no row above, and no outliers.
+    every = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
+    count = F.coalesce("outside", F.lit(0))
+    return every.join(counted, "feature", "left").select(
+        "feature", count.alias("count"), F.coalesce(count / rows * 100, F.lit(0.0)).alias("percentage")
     )
 
 

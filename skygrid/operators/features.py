@@ -20,7 +20,7 @@ from skygrid.functions.scalars import col, cyclic, in_order, parse_time, stamp,
 from skygrid.functions.scalars import wide_to_rows
 from skygrid.operators.filters import newest_window
 from skygrid.operators.geo import nearest_site
-from skygrid.operators.ranks import value_counts
+from skygrid.operators.ranks import numbered, value_counts
 
 
 @dataclass(frozen=True)
@@ -168,17 +168,10 @@ def load_shaping(df: DataFrame) -> dict[str, Shaping]:
 
 
 # ---- label encoding --------------------------------------------------------
-def label_codes(df: DataFrame, column: str, limit: int = 100_000) -> DataFrame:
-    """(column, code): codes 0, 1, 2... in alphabetical order of the distinct names.
-
-    The names are numbered by one task, so their number is checked first.
-    """
-    from pyspark.sql.window import Window
-
+def label_codes(df: DataFrame, column: str) -> DataFrame:
+    """(column, code): codes 0, 1, 2... in alphabetical order of the distinct names."""
     names = df.select(column).where(F.col(column).isNotNull()).distinct()
-    if names.limit(limit + 1).count() > limit:
-        raise ValueError(f"more than {limit} distinct names in {column}")
-    return names.withColumn("code", (F.row_number().over(Window.orderBy(column)) - 1).cast("int"))
+    return numbered(names, [column], "code").withColumn("code", F.col("code").cast("int"))
 
 
 # ---- feature tables --------------------------------------------------------

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from skygrid.functions.constants import (
     BORDER,
@@ -16,7 +15,9 @@ from skygrid.functions.constants import (
     REQUEST_BATCH,
     SITES,
 )
-from skygrid.functions.scalars import col, e5, rain_text
+from skygrid.functions.scalars import col, rain_text
+from skygrid.operators.ranks import numbered
+from skygrid.session import scratch_path
 
 Ring = Sequence[tuple[float, float]]
 
@@ -41,22 +42,12 @@ def grid(
     )
 
 
-def on_grid(lat: Column | str, lon: Column | str, side: int = GRID_SIDE) -> Column:
-    """True where the coordinates are a grid point, so at most ``side**2`` places pass."""
-    rows = (col(lat) - F.lit(LAT_RANGE[0])) / F.lit(_steps(LAT_RANGE, side))
-    cols = (col(lon) - F.lit(LON_RANGE[0])) / F.lit(_steps(LON_RANGE, side))
-    near = [(F.abs(v - F.round(v)) < 1e-3) & v.between(-0.001, side - 0.999) for v in (rows, cols)]
-    return F.coalesce(near[0] & near[1], F.lit(False))
+def request_batches(points: DataFrame, order: Sequence[str] = ("cell",), size: int = REQUEST_BATCH) -> DataFrame:
+    """Points in chunks of ``size`` with their coordinates as comma-joined text.
 
-
-def request_batches(points: DataFrame, order: str = "cell", size: int = REQUEST_BATCH) -> DataFrame:
-    """Grid points in chunks of ``size`` with their coordinates as comma-joined text.
-
-    ``points`` are grid points (at most ``GRID_SIDE**2`` of them), so numbering them in one task is
-    bounded.
+    Points are numbered by ``order`` over all tasks (see ``ranks.numbered``).
     """
-    numbered = points.withColumn("idx", F.row_number().over(Window.orderBy(order)) - 1)
-    packed = numbered.groupBy(F.floor(F.col("idx") / size).alias("batch")).agg(
+    packed = numbered(points, order).groupBy(F.floor(F.col("idx") / size).alias("batch")).agg(
         F.count("*").alias("n"),
         F.array_sort(F.collect_list(F.struct("idx", "Latitude", "Longitude"))).alias("pts"),
     )
@@ -137,33 +128,40 @@ def clip(df: DataFrame, ring: Ring = BORDER, lat: str = "Latitude", lon: str = "
     return df.where(_in_box(y, x, ring)).where(_odd_crossings(y, x, ring))
 
 
-def locate(points: DataFrame, edges: DataFrame, band: float = 0.01) -> DataFrame:
-    """(lat_e5, lon_e5, polygon) for every polygon each distinct place lies in.
+def locate(points: DataFrame, edges: DataFrame, band: float = 0.01, tile: float = 0.05) -> DataFrame:
+    """(Latitude, Longitude, polygon) for every polygon each distinct place lies in.
 
-    ``edges(polygon, x1, y1, x2, y2)`` may hold any number of polygons. Edges are listed under each
-    latitude band they touch and meet the places of that band by an equi-join, so no place is
-    compared with edges far from it. Join the result back on the cell keys.
+    ``edges(polygon, x1, y1, x2, y2)`` may hold any number of polygons. Polygons are listed under
+    the tiles their bounding boxes cover, so a place meets only polygons around it, and of those
+    only the edges of its own latitude band. Places are decided by their exact coordinates.
     """
-    places = points.select(
-        e5("Latitude").alias("lat_e5"), e5("Longitude").alias("lon_e5"), "Latitude", "Longitude"
-    ).dropDuplicates(["lat_e5", "lon_e5"])
-    places = places.withColumn("band", F.floor(F.col("Latitude") / band))
-    banded = edges.withColumn(
-        "band",
-        F.explode(
-            F.sequence(
-                F.floor(F.least("y1", "y2") / band), F.floor(F.greatest("y1", "y2") / band)
-            )
-        ),
+    places = points.select("Latitude", "Longitude").where("Latitude IS NOT NULL AND Longitude IS NOT NULL").distinct()
+    places = places.withColumns(
+        {"ty": F.floor(F.col("Latitude") / tile), "tx": F.floor(F.col("Longitude") / tile), "band": F.floor(F.col("Latitude") / band)}
+    )
+    boxes = edges.groupBy("polygon").agg(
+        F.min(F.least("y1", "y2")).alias("south"),
+        F.max(F.greatest("y1", "y2")).alias("north"),
+        F.min(F.least("x1", "x2")).alias("west"),
+        F.max(F.greatest("x1", "x2")).alias("east"),
     )
+
+    def steps(low: str, high: str) -> Column:
+        return F.explode(F.sequence(F.floor(F.col(low) / tile), F.floor(F.col(high) / tile)))
+
+    tiled = boxes.withColumn("ty", steps("south", "north")).withColumn("tx", steps("west", "east"))
+    in_box = F.col("Latitude").between(F.col("south"), F.col("north")) & F.col("Longitude").between(F.col("west"), F.col("east"))
+    near = places.join(tiled, ["ty", "tx"]).where(in_box).select("Latitude", "Longitude", "band", "polygon")
+    span = F.sequence(F.floor(F.least("y1", "y2") / band), F.floor(F.greatest("y1", "y2") / band))
+    banded = edges.where("y1 <> y2").withColumn("band", F.explode(span))
     hit = _crosses(*[F.col(c) for c in ("Latitude", "Longitude", "x1", "y1", "x2", "y2")])
     return (
-        places.join(banded, "band")
+        near.join(banded, ["polygon", "band"])
         .where(hit)
-        .groupBy("polygon", "lat_e5", "lon_e5")
+        .groupBy("polygon", "Latitude", "Longitude")
         .agg(F.count("*").alias("hits"))
         .where(F.col("hits") % 2 == 1)
-        .select("lat_e5", "lon_e5", "polygon")
+        .select("Latitude", "Longitude", "polygon")
     )
 
 
@@ -191,26 +189,48 @@ def nearest_site(lat: Column | str, lon: Column | str, sites=SITES) -> Column:
     return F.when(y.isNotNull() & x.isNotNull(), best).otherwise(missing)
 
 
-def join_nearest(points: DataFrame, sites: DataFrame, limit: int = 5000) -> DataFrame:
+def join_nearest(points: DataFrame, sites: DataFrame) -> DataFrame:
     """Each distinct place with its nearest row of ``sites(name, lat, lon, code)``.
 
-    The sites travel as one array value, after a check that they are at most ``limit``; each place
-    is compared with them inside an expression, so no pair of rows is ever made.
+    Places meet the sites of their own and the eight tiles around it. A site found within one tile's
+    width is the nearest; other places are tried again with tiles twice as wide. The first tiles
+    hold about one site each, so a place meets few sites unless it is far from all of them.
     """
-    count = sites.limit(limit + 1).count()
-    if count > limit:
-        raise ValueError(f"more than {limit} sites")
-    packed = sites.agg(F.array_sort(F.collect_list(F.struct("code", "name", "lat", "lon")))).scalar()
+    spark = points.sparkSession
     places = points.select("Latitude", "Longitude").distinct()
-
-    def measured(s: Column) -> Column:
-        dy, dx = F.col("Latitude") - s["lat"], F.col("Longitude") - s["lon"]
-        return F.struct(
-            (dy * dy + dx * dx).alias("d"), s["code"].alias("code"), s["name"].alias("name")
-        )
-
-    best = F.array_min(F.transform("sites", measured))
-    return places.withColumn("sites", packed).select("Latitude", "Longitude", best.alias("site"))
+    kind = "struct<d:double,code:int,name:string>"
+    missing = F.struct(F.lit(None).cast("double").alias("d"), F.lit(0).alias("code"), F.lit(None).cast("string").alias("name")).cast(kind)
+    extent = sites.where("lat IS NOT NULL AND lon IS NOT NULL").agg(
+        F.count("*").alias("n"), F.min("lat"), F.max("lat"), F.min("lon"), F.max("lon")
+    ).first()
+    n, south, north, west, east = extent
+    away = places.where("Latitude IS NULL OR Longitude IS NULL")
+    found = (away if n else places).select("Latitude", "Longitude", missing.alias("site"))
+    if not n:
+        return found
+    width = max((max(north - south, 1e-6) * max(east - west, 1e-6) / n) ** 0.5, 1e-6)
+    left = places.where("Latitude IS NOT NULL AND Longitude IS NOT NULL")
+    while True:
+
+        def tile(c: str) -> Column:
+            return F.floor(F.col(c) / width)
+
+        around = F.array(F.lit(-1), F.lit(0), F.lit(1))
+        asked = left.withColumn("ty", F.explode(F.transform(around, lambda k: tile("Latitude") + k)))
+        asked = asked.withColumn("tx", F.explode(F.transform(around, lambda k: tile("Longitude") + k)))
+        dy, dx = F.col("Latitude") - F.col("lat"), F.col("Longitude") - F.col("lon")
+        site = F.struct((dy * dy + dx * dx).alias("d"), F.col("code").cast("int").alias("code"), F.col("name"))
+        met = asked.join(sites.withColumn("ty", tile("lat")).withColumn("tx", tile("lon")), ["ty", "tx"])
+        best = met.groupBy("Latitude", "Longitude").agg(F.min(site).alias("site"))
+        path = scratch_path(spark, "nearest")
+        left.join(best, ["Latitude", "Longitude"], "left").write.parquet(path)
+        tried = spark.read.schema(f"Latitude double, Longitude double, site {kind}").parquet(path)
+        near = F.coalesce(F.col("site.d") <= F.lit(width * width), F.lit(False))
+        found = found.unionByName(tried.where(near))
+        left = tried.where(~near).select("Latitude", "Longitude")
+        if left.isEmpty():
+            return found
+        width *= 2
 
 
 def headline(points: DataFrame, label: str, cloud: str, temperature: str, humidity: str) -> DataFrame:

@@ -1,15 +1,20 @@
-"""Map payloads: one row per time with the points of that time inside the border."""
+"""Map payloads: the points of a time inside the border, flat or in arrays of bounded size."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skygrid.functions.constants import BORDER, DASHBOARD_WINDOW_HOURS, PAYLOAD_NAMES
-from skygrid.functions.scalars import e5, no_nan, stamp
-from skygrid.operators.dedup import keep_last
-from skygrid.operators.filters import newest_window
-from skygrid.operators.geo import clip, on_grid
+from skygrid.functions.scalars import no_nan, stamp
+from skygrid.operators.filters import first_valid, newest_window
+from skygrid.operators.geo import clip
+from skygrid.operators.joins import with_measures
+
+#: Points of one chunk at most.
+CHUNK_POINTS = 2_000
 
 _MEASURES = ["temperature", "humidity", "wind_speed", "cloud_cover", "pressure"]
 
@@ -27,37 +32,55 @@ def _point_fields(df: DataFrame) -> list[Column]:
     ]
 
 
-def map_points(df: DataFrame, seq: str, time: str | None = None) -> DataFrame:
-    """Flat payload points: renamed columns, text times, one point per time and grid place.
+def map_points(df: DataFrame, time: str | None = None) -> DataFrame:
+    """Flat payload points: every row inside the border with renamed columns and text times.
 
-    ``time`` names the time column to group by; without it the fetch time serves. Of several rows
-    of one time and place the last by ``seq`` stays. Places off the grid or outside the border are
-    left out, so a time never has more points than the grid has places.
+    ``time`` names the time column to group by; without it the fetch time serves. Places need not
+    lie on the grid, and several rows of one time and place all stay.
     """
-    df = clip(df, BORDER).where(on_grid("Latitude", "Longitude"))
-    df = df.withColumnsRenamed(PAYLOAD_NAMES)
+    df = clip(df, BORDER).withColumnsRenamed(PAYLOAD_NAMES)
     shown = F.col(time) if time and time not in PAYLOAD_NAMES else F.col("fetch_time")
     df = df.withColumn("timestamp", stamp(shown)).withColumn("fetch_time", stamp("fetch_time"))
-    df = df.withColumns({"lat_e5": e5("latitude"), "lon_e5": e5("longitude")})
-    last = keep_last(df, ["timestamp", "lat_e5", "lon_e5"], [seq])
-    return last.select(*_point_fields(last))
+    return df.select(*_point_fields(df))
 
 
-def nested(points: DataFrame) -> DataFrame:
-    """(timestamp, fetch_time, points): the points of a time as one array.
+def nested(points: DataFrame, size: int = CHUNK_POINTS) -> DataFrame:
+    """(timestamp, chunk, fetch_time, points): the points of a time in arrays of at most ``size``.
 
-    At most one point per grid place and time comes in (see ``map_points``), which bounds the array.
+    A time of more points is dealt into parts by a hash of the point, the parts are numbered each
+    for itself, and every ``size`` points of a part are a chunk. No array and no window holds all
+    points of a large time; chunks are numbered from 0 and may be less than full.
     """
-    return points.groupBy("timestamp").agg(
+    fields = points.columns
+    counts = points.groupBy(F.col("timestamp").alias("at")).agg(F.ceil(F.count("*") / size).alias("parts"))
+    dealt = points.join(counts, F.col("timestamp").eqNullSafe(F.col("at"))).withColumn("part", F.pmod(F.xxhash64(*fields), F.col("parts")))
+    place = F.row_number().over(Window.partitionBy("timestamp", "part").orderBy(F.struct(*fields))) - 1
+    chunk = F.col("part") + F.col("parts") * F.floor(place / size)
+    return dealt.select(*fields, chunk.alias("chunk")).groupBy("timestamp", "chunk").agg(
         F.min("fetch_time").alias("fetch_time"),
-        F.array_sort(F.collect_list(F.struct(*points.columns))).alias("points"),
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("points"),
     )
 
 
+def forecast_points(forecast: DataFrame, raw: DataFrame | None, measures: Sequence[str]) -> DataFrame:
+    """Points of a forecast (with cell keys and ``dt``) carrying the measures of the raw forecast.
+
+    Without a raw side the measures are null. The fetch time of all points is the first valid one
+    of the raw forecast, else the forecast hour.
+    """
+    said = with_measures(forecast, raw, measures)
+    if raw is None:
+        said = said.withColumn("Fetch_Time", F.col("dt"))
+    else:
+        fetched = first_valid(raw, "Fetch_Time", "dt").select("Fetch_Time").scalar()
+        said = said.drop("Fetch_Time").withColumn("Fetch_Time", F.coalesce(fetched, "dt"))
+    return map_points(said.withColumn("Rain", F.col("predicted_rain")), "dt")
+
+
 def as_json(payload: DataFrame) -> DataFrame:
     return payload.select("timestamp", F.to_json(F.struct(*payload.columns)).alias("payload"))
 
 
-def history_points(observed: DataFrame, seq: str, time: str = "Fetch_Time") -> DataFrame:
+def history_points(observed: DataFrame, time: str = "Fetch_Time") -> DataFrame:
     """Points of every snapshot of the newest 48 hours."""
-    return map_points(newest_window(observed, time, hours=DASHBOARD_WINDOW_HOURS), seq)
+    return map_points(newest_window(observed, time, hours=DASHBOARD_WINDOW_HOURS))

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from skygrid.session import scratch_path
+
 #: Most bits a bucket number may have.
 MAX_BUCKET_BITS = 10
 
@@ -175,3 +177,22 @@ def hash_cuts(df: DataFrame, label: str, key: str, ranks: dict[str, Column]) ->
     return picked.groupBy(F.col("y").alias(label), "n").agg(
         *[F.max(F.when(F.col("rank") == r.cast("bigint"), F.col("h"))).alias(name) for name, r in ranks.items()]
     )
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataFrame:
+    """Rows with their 0-based place in the order of the given columns.
+
+    Rows are range-partitioned, written, and numbered inside each range; the rows of earlier ranges
+    are added. No task holds more than its range, whatever the size of the table. Written ranges
+    stay the same when a task runs again.
+    """
+    path = scratch_path(df.sparkSession, "numbered")
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    rows = df.sparkSession.read.schema(ranged.schema).parquet(path)
+    sizes = rows.groupBy("_range").agg(F.count("*").alias("_n"))
+    # One row per writing task.
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return rows.join(F.broadcast(offsets), "_range").withColumn(name, place).drop("_range", "_before")

@@ -84,12 +84,25 @@ DAILY = OBS + """,
 daily as (select *, strftime(Fetch_Time, '%Y%m%d_0000') as snapshot_id from obs)"""
 
 
+def strewn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations of which two thirds lie off the grid and every seventh is there twice."""
+    o = obs(spark, sf_dir)
+    off = (F.col("event_id") % 3).cast("double")
+    o = o.withColumns({"Latitude": F.col("Latitude") + off / F.lit(1024.0), "Longitude": F.col("Longitude") - off / F.lit(512.0)})
+    return o.unionByName(o.where("event_id % 7 = 0"))
+
+
+STREWN = OBS.replace("obs as (", "on_grid as (", 1) + """,
+once as (select * replace (Latitude + cast(event_id % 3 as double)/1024e0 as Latitude, Longitude - cast(event_id % 3 as double)/512e0 as Longitude)
+  from on_grid),
+obs as (select * from once union all select * from once where event_id % 7 = 0)"""
+
+
 # ---- forecasts -------------------------------------------------------------
 def fc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One forecast per hour and cell, from the even events."""
+    """One forecast per hour and cell, from all events."""
     p = ((F.col("event_id") * 31) % 1000).cast("double") / F.lit(1000.0)
-    even = obs(spark, sf_dir).where("event_id % 2 = 0")
-    grouped = even.groupBy(floor_hour("Fetch_Time").alias("dt"), "Latitude", "Longitude").agg(
+    grouped = obs(spark, sf_dir).groupBy(floor_hour("Fetch_Time").alias("dt"), "Latitude", "Longitude").agg(
         F.max((p >= 0.4).cast("int")).alias("predicted_rain"), F.max(p).alias("rain_probability")
     )
     return with_cell_keys(grouped)
@@ -106,7 +119,7 @@ fc as (
   select date_trunc('hour', Fetch_Time) as dt, Latitude, Longitude,
     max(case when ((event_id*31)%1000)/1000e0 >= 0.4e0 then 1 else 0 end) as predicted_rain,
     max(((event_id*31)%1000)/1000e0) as rain_probability
-  from obs where event_id % 2 = 0 group by 1, 2, 3),
+  from obs group by 1, 2, 3),
 odd as (select *, date_trunc('hour', Fetch_Time) as dt from obs where event_id % 2 = 1),
 matched as (
   select o.*, f.predicted_rain, f.rain_probability from odd o

@@ -32,7 +32,7 @@ def training_frame(spark, sf) -> DataFrame:
     table = sampling.stratified_split(table, "Rain", "event_id")
     table = sampling.stratified_folds(table, "Rain", "event_id", 2)
     path = scratch_path(spark, "training")
-    models.with_weights(table).write.parquet(path)
+    models.with_weights(table, counted=table.where("split = 'train'")).write.parquet(path)
     return models.assemble(spark.read.parquet(path))
 
 

@@ -245,15 +245,15 @@ def _(spark, sf):
 
 @query(
     "f06_first_valid",
-    f"""with {OBS} select arg_min(Humidity, event_id) as Humidity from obs where Humidity <> 50e0 and event_id > 3""",
+    f"""with {OBS} select arg_min(Humidity, event_id) as Humidity from obs where Humidity <> 50e0""",
 )
 def _(spark, sf):
-    holed = obs(spark, sf).where("event_id > 3").withColumn("Humidity", F.expr("nullif(Humidity, 50D)"))
+    holed = obs(spark, sf).withColumn("Humidity", F.expr("nullif(Humidity, 50D)"))
     return filters.first_valid(holed, "Humidity", "event_id")
 
 
 # ---- deduplication, window, set operations, order ---------------------------
-_DUP = """, latest as (select * from obs order by event_id desc limit 1000),
+_DUP = """, latest as (select * from obs where Fetch_Time >= (select max(Fetch_Time) - interval 1 day from obs)),
   both_parts as (
   select date_trunc('hour', Fetch_Time) as ts, Latitude, Longitude, Rain, 0 as source_rank, event_id as seq from obs
   union all
@@ -263,7 +263,7 @@ _DUP = """, latest as (select * from obs order by event_id desc limit 1000),
 def _both(spark, sf):
     o = obs(spark, sf)
     old = o.select(S.floor_hour("Fetch_Time").alias("ts"), "Latitude", "Longitude", "Rain", F.lit(0).alias("source_rank"), F.col("event_id").alias("seq"))
-    new = o.orderBy(F.desc("event_id")).limit(1000)
+    new = filters.newest_window(o, "Fetch_Time", days=1)
     new = new.select(S.floor_hour("Fetch_Time").alias("ts"), "Latitude", "Longitude", (1 - F.col("Rain")).alias("Rain"), F.lit(1).alias("source_rank"), F.col("event_id").alias("seq"))
     return old, new
 
@@ -300,7 +300,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     old, new = (p.drop("source_rank") for p in _both(spark, sf))
-    return dedup.sliding_window(old, new, "ts").select(S.stamp("ts").alias("ts"), "Latitude", "Longitude", "Rain", "seq")
+    return dedup.sliding_window(old, new, "ts", order=["seq"]).select(S.stamp("ts").alias("ts"), "Latitude", "Longitude", "Rain", "seq")
 
 
 @query(
@@ -390,11 +390,10 @@ def _(spark, sf):
 
 @query(
     "j04_all_hours",
-    f"""with {OBS}, h as (select unnest(range(24)) as hour), g as (
-      select hour(Fetch_Time) as hour, count(*) as n from obs where hour(Fetch_Time) % 3 = 1 group by 1)
+    f"""with {OBS}, h as (select unnest(range(30)) as hour), g as (
+      select hour(Fetch_Time) as hour, count(*) as n from obs group by 1)
     select cast(h.hour as integer) as hour, coalesce(n, 0) as n from h left join g on h.hour = g.hour""",
 )
 def _(spark, sf):
-    some = obs(spark, sf).where(F.hour("Fetch_Time") % 3 == 1)
-    counts = some.groupBy(F.hour("Fetch_Time").alias("hour")).agg(F.count("*").alias("n"))
-    return densify(counts, "hour", 0, 23, {"n": F.lit(0)})
+    counts = obs(spark, sf).groupBy(F.hour("Fetch_Time").alias("hour")).agg(F.count("*").alias("n"))
+    return densify(counts, "hour", 0, 29, {"n": F.lit(0)})  # no row has hours from 24 on

@@ -14,11 +14,13 @@ from skygrid.plans.dataset import (
     FC,
     ISSUES,
     OBS,
+    STREWN,
     current,
     fc,
     issues,
     obs,
     odd_obs,
+    strewn,
     r6,
     s6,
 )
@@ -103,17 +105,15 @@ def _(spark, sf):
 
 @query(
     "g04_request_batches",
-    f"""with {OBS}, {_INSIDE}, numbered as (
+    f"""with {STREWN}, {_INSIDE}, numbered as (
       select *, row_number() over (order by Latitude, Longitude) - 1 as idx from inside)
     select idx // 50 as batch, count(*) as n, round(sum(Latitude), 6) as lat_sum, round(sum(Longitude), 6) as lon_sum,
       round(min_by(Longitude, idx), 5) as first_lon, round(max_by(Latitude, idx), 5) as last_lat
     from numbered group by 1""",
 )
 def _(spark, sf):
-    # Grid places only: at most 400.
-    cells = geo.clip(obs(spark, sf)).where(geo.on_grid("Latitude", "Longitude"))
-    cells = cells.select("cell", "Latitude", "Longitude").distinct()
-    batches = geo.request_batches(cells, "cell")
+    places = geo.clip(strewn(spark, sf)).select("Latitude", "Longitude").distinct()
+    batches = geo.request_batches(places, ["Latitude", "Longitude"])
     lats, lons = (F.transform(F.split(c, ","), lambda v: v.cast("double")) for c in ("lat_text", "lon_text"))
 
     def total(a):
@@ -224,14 +224,14 @@ def _border_file(spark) -> str:
 
 @query(
     "j05_polygon_join",
-    f"""with {OBS}, {_INSIDE} select tier, count(*) as n, sum(event_id)::bigint as ids
+    f"""with {STREWN}, {_INSIDE} select tier, count(*) as n, sum(event_id)::bigint as ids
     from obs join inside using (Latitude, Longitude) group by 1""",
 )
 def _(spark, sf):
     edges = read_edges(spark, _border_file(spark))
-    seen = S.with_cell_keys(obs(spark, sf))
+    seen = strewn(spark, sf)
     inside = geo.locate(seen, edges)
-    return seen.join(inside, ["lat_e5", "lon_e5"]).groupBy("tier").agg(
+    return seen.join(inside, ["Latitude", "Longitude"]).groupBy("tier").agg(
         F.count("*").alias("n"), F.sum("event_id").alias("ids")
     )
 
@@ -246,10 +246,10 @@ def _(spark, sf):
     shape = {"features": [{"geometry": {"coordinates": [ring]}} for _, ring in zones.values()]}
     path = scratch_path(spark, "zones")
     spark.createDataFrame([(json.dumps(shape),)], "value string").coalesce(1).write.text(path)
-    seen = S.with_cell_keys(obs(spark, sf))
+    seen = obs(spark, sf)
     where = geo.locate(seen, read_edges(spark, path))
     name = F.when(F.col("polygon") == 0, zones[0][0]).otherwise(zones[1][0])
-    return seen.join(where, ["lat_e5", "lon_e5"]).groupBy(name.alias("zone")).agg(F.count("*").alias("n"))
+    return seen.join(where, ["Latitude", "Longitude"]).groupBy(name.alias("zone")).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -279,51 +279,48 @@ def _(spark, sf):
 
 
 # ---- map payloads ----------------------------------------------------------
-_POINTS = """points as (select strftime(dt, '%Y-%m-%d %H:%M:%S') as timestamp, Latitude as latitude, Longitude as longitude, Rain as rain_label,
-    Temperature as temperature, Humidity as humidity, seq from (
-  select *, row_number() over (partition by dt, Latitude, Longitude order by seq desc) as rn from (
-    select date_trunc('hour', Fetch_Time) as dt, event_id as seq, obs.* from obs join inside using (Latitude, Longitude))) where rn = 1)"""
+_POINTS = """points as (select strftime(date_trunc('hour', Fetch_Time), '%Y-%m-%d %H:%M:%S') as timestamp, Latitude as latitude, Longitude as longitude,
+    Rain as rain_label, Temperature as temperature, Humidity as humidity from obs join inside using (Latitude, Longitude))"""
 
 
 def _hourly_points(spark, sf):
-    o = obs(spark, sf).withColumn("Fetch_Time", S.floor_hour("Fetch_Time"))
-    return payload.map_points(o, "event_id")
+    o = strewn(spark, sf).withColumn("Fetch_Time", S.floor_hour("Fetch_Time"))
+    return payload.map_points(o)
 
 
 @query(
     "a27_map_payload",
-    f"""with {OBS}, {_INSIDE}, {_POINTS}
+    f"""with {STREWN}, {_INSIDE}, {_POINTS}
     select timestamp, latitude, longitude, rain_label, temperature, humidity from points""",
 )
 def _(spark, sf):
-    nested = payload.nested(_hourly_points(spark, sf))
+    nested = payload.nested(_hourly_points(spark, sf), 16)
     flat = nested.select(F.inline("points"))
     return flat.select("timestamp", "latitude", "longitude", "rain_label", "temperature", "humidity")
 
 
 @query(
     "a27_payload_json",
-    f"""with {OBS}, {_INSIDE}, {_POINTS} select timestamp, count(*) as points, sum(rain_label)::bigint as rainy from points group by 1""",
+    f"""with {STREWN}, {_INSIDE}, {_POINTS} select timestamp, count(*) as points, sum(rain_label)::bigint as rainy from points group by 1""",
 )
 def _(spark, sf):
-    text = payload.as_json(payload.nested(_hourly_points(spark, sf)))
+    text = payload.as_json(payload.nested(_hourly_points(spark, sf), 16))
     schema = "points ARRAY<STRUCT<rain_label: INT>>"
     labels = F.from_json("payload", schema)["points"]["rain_label"]
-    return text.select(
-        "timestamp",
-        F.size(labels).cast("bigint").alias("points"),
-        F.aggregate(labels, F.lit(0).cast("bigint"), lambda s, v: s + v).alias("rainy"),
+    return text.groupBy("timestamp").agg(
+        F.sum(F.size(labels)).alias("points"),
+        F.sum(F.aggregate(labels, F.lit(0).cast("bigint"), lambda s, v: s + v)).alias("rainy"),
     )
 
 
 @query(
     "a28_history_points",
-    f"""with {OBS}, {_INSIDE}, {_POINTS} select timestamp, count(*) as points, sum(rain_label)::bigint as rainy from points
+    f"""with {STREWN}, {_INSIDE}, {_POINTS} select timestamp, count(*) as points, sum(rain_label)::bigint as rainy from points
     where timestamp >= (select strftime(max(date_trunc('hour', Fetch_Time)) - interval 48 hour, '{_TS}') from obs) group by 1""",
 )
 def _(spark, sf):
-    o = obs(spark, sf).withColumn("Fetch_Time", S.floor_hour("Fetch_Time"))
-    points = payload.history_points(o, "event_id")
+    o = strewn(spark, sf).withColumn("Fetch_Time", S.floor_hour("Fetch_Time"))
+    points = payload.history_points(o)
     return points.groupBy("timestamp").agg(F.count("*").alias("points"), F.sum("rain_label").alias("rainy"))
 
 
@@ -333,18 +330,32 @@ def _(spark, sf):
       {s6('sum(rain_probability)')} as prob from fc join inside using (Latitude, Longitude) group by 1""",
 )
 def _(spark, sf):
-    f = fc(spark, sf).withColumns(
-        {
-            "Rain": F.col("predicted_rain"),
-            "Fetch_Time": F.col("dt"),
-            **{m: F.lit(None).cast("double") for m in ("Temperature", "Humidity", "Wind_Speed", "Cloud_Cover", "Pressure")},
-        }
-    )
-    nested = payload.nested(payload.map_points(f, "rain_probability", "dt"))
+    nested = payload.nested(payload.forecast_points(fc(spark, sf), None, _MEASURES), 16)
     probs = F.aggregate(F.col("points.rain_probability"), F.lit(0.0), lambda s, v: s + v)
-    return nested.select(
-        "timestamp",
-        F.size("points").cast("bigint").alias("points"),
-        F.aggregate(F.col("points.rain_label"), F.lit(0).cast("bigint"), lambda s, v: s + v).alias("rainy"),
-        r6(probs).alias("prob"),
+    rainy = F.aggregate(F.col("points.rain_label"), F.lit(0).cast("bigint"), lambda s, v: s + v)
+    return nested.groupBy("timestamp").agg(
+        F.sum(F.size("points")).alias("points"), F.sum(rainy).alias("rainy"), r6(F.sum(probs)).alias("prob")
+    )
+
+
+_MEASURES = ["Temperature", "Humidity", "Wind_Speed", "Cloud_Cover", "Pressure"]
+
+
+@query(
+    "a27_forecast_map",
+    f"""with {FC}, {_INSIDE}, raw as (select date_trunc('hour', Fetch_Time) as dt, Latitude, Longitude,
+        {', '.join(f'max({m}) as {m}' for m in _MEASURES)}, min(Fetch_Time) as Fetch_Time from obs group by 1, 2, 3),
+      first as (select arg_min(Fetch_Time, dt) as fetched from (select dt, min(Fetch_Time) as Fetch_Time from raw group by 1))
+    select strftime(dt, '{_TS}') as timestamp, strftime(fetched, '{_TS}') as fetch_time, Latitude as latitude, Longitude as longitude, predicted_rain as rain_label,
+      rain_probability, {', '.join(f'{m} as {m.lower()}' for m in _MEASURES)}
+    from fc join raw using (dt, Latitude, Longitude) join inside using (Latitude, Longitude) cross join first""",
+)
+def _(spark, sf):
+    hours = S.with_cell_keys(obs(spark, sf)).withColumn("dt", S.floor_hour("Fetch_Time"))
+    raw = hours.groupBy("dt", "lat_e5", "lon_e5").agg(F.min("Fetch_Time").alias("Fetch_Time"), *[F.max(m).alias(m) for m in _MEASURES])
+    header = raw.groupBy("dt").agg(F.min("Fetch_Time").alias("Fetch_Time"))
+    raw = raw.drop("Fetch_Time").join(header, "dt")
+    flat = payload.nested(payload.forecast_points(fc(spark, sf), raw, _MEASURES)).select(F.inline("points"))
+    return flat.select(
+        "timestamp", "fetch_time", "latitude", "longitude", "rain_label", "rain_probability", *[m.lower() for m in _MEASURES]
     )

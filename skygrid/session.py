@@ -57,10 +57,15 @@ _OWN_ROOTS: dict[str, str] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named."""
+    """The shared folder the cluster names, or one set on the context.
+
+    Only a local master, whose tasks run in this very process, may do with a temporary folder.
+    """
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         app = context.applicationId
         if app not in _OWN_ROOTS:
             _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="skygrid-")

@@ -1,3 +1,5 @@
+import random
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -26,7 +28,6 @@ def test_grid_and_clip(spark):
     ends = grid.agg(F.min("Latitude"), F.max("Latitude"), F.min("Longitude"), F.max("Longitude")).first()
     assert tuple(ends) == (-6.36, -6.0, 106.33, 106.77)
     assert geo.clip(grid).count() == 262
-    assert grid.where(geo.on_grid("Latitude", "Longitude")).count() == 400
 
 
 def test_clip_is_pushed_to_the_scan(spark, tmp_path):
@@ -65,9 +66,9 @@ def test_locate_with_two_polygons(spark):
         "polygon int, x1 double, y1 double, x2 double, y2 double",
     )
     grid = geo.grid(spark)
-    found = {(r.polygon, r.lat_e5, r.lon_e5) for r in geo.locate(grid, edges).collect()}
+    found = {(r.polygon, r.Latitude, r.Longitude) for r in geo.locate(grid, edges).collect()}
     expected = {
-        (p, round(r.Latitude * 1e5), round(r.Longitude * 1e5))
+        (p, r.Latitude, r.Longitude)
         for p, ring in rings.items()
         for r in grid.collect()
         if ray_cast(r.Latitude, r.Longitude, ring)
@@ -100,3 +101,23 @@ def test_request_batches(spark):
     batches = geo.request_batches(geo.clip(geo.grid(spark))).orderBy("batch").collect()
     assert [b.n for b in batches] == [50] * 5 + [12]
     assert all(len(b.lat_text.split(",")) == b.n for b in batches)
+
+
+def test_places_close_together_are_decided_one_by_one(spark):
+    square = [(106.4, -6.3), (106.6, -6.3), (106.6, -6.1), (106.4, -6.1)]
+    edges = spark.createDataFrame([(0, *e) for e in geo.ring_edges(square)], "polygon int, x1 double, y1 double, x2 double, y2 double")
+    places = points_of(spark, [(-6.2, 106.599999), (-6.2, 106.600001), (-6.2, 106.400001), (None, 106.5)])
+    assert {r.Longitude for r in geo.locate(places, edges).collect()} == {106.599999, 106.400001}
+
+
+def test_join_nearest_with_many_sites_and_far_places(spark):
+    rng = random.Random(3)
+    sites = [(f"s{i}", rng.uniform(-7, -6), rng.uniform(106, 107), i) for i in range(6000)] + [("twin", 5.0, 5.0, 9001), ("twin", 5.0, 5.0, 9000)]
+    rows = [(rng.uniform(-7, -6), rng.uniform(106, 107)) for _ in range(60)] + [(0.0, 0.0), (60.0, -170.0), (5.0, 5.0), (None, 1.0)]
+    table = spark.createDataFrame(sites, "name string, lat double, lon double, code int")
+    found = {(r.Latitude, r.Longitude): r.site.code for r in geo.join_nearest(points_of(spark, rows), table).collect()}
+    for y, x in rows[:-1]:
+        assert found[(y, x)] == min(((y - s[1]) ** 2 + (x - s[2]) ** 2, s[3]) for s in sites)[1]
+    assert found[(None, 1.0)] == 0
+    nothing = geo.join_nearest(points_of(spark, rows[:2]), table.limit(0)).collect()
+    assert [r.site.code for r in nothing] == [0, 0]

@@ -164,14 +164,18 @@ def test_payload_points(spark):
     at = (hours(1), cell.Latitude, cell.Longitude)
     rows = [
         (*at, 25.0, float("nan"), 1.0, 50.0, 1000.0, 0, 1),
-        (*at, 26.0, None, 1.0, 50.0, 1000.0, None, 2),  # same place and time, later
+        (*at, 26.0, None, 1.0, 50.0, 1000.0, None, 2),  # same place and time: both stay
         (hours(1), cell.Latitude + 0.001, cell.Longitude, 1.0, 1.0, 1.0, 1.0, 1.0, 1, 3),  # off the grid
         (hours(1), -6.0, 106.33, 1.0, 1.0, 1.0, 1.0, 1.0, 1, 4),  # outside the border
     ]
-    found = payload.nested(payload.map_points(spark.createDataFrame(rows, fields), "seq")).collect()
-    assert len(found) == 1 and found[0].timestamp == "2026-05-01 01:00:00"
-    (point,) = found[0].points
-    assert (point.temperature, point.humidity, point.rain_label) == (26.0, None, None)
+    flat = payload.map_points(spark.createDataFrame(rows, fields))
+    found = payload.nested(flat).collect()
+    assert len(found) == 1 and found[0].timestamp == "2026-05-01 01:00:00" and found[0].chunk == 0
+    shown = sorted((p.temperature, p.humidity, p.rain_label) for p in found[0].points)
+    assert shown == [(1.0, 1.0, 1), (25.0, None, 0), (26.0, None, None)]
+    chunks = payload.nested(flat, 1).collect()
+    assert sorted(p.temperature for c in chunks for p in c.points) == [1.0, 25.0, 26.0]
+    assert len({c.chunk for c in chunks}) == 3 and all(len(c.points) == 1 for c in chunks)
 
 
 def test_headline_of_nothing(spark):
