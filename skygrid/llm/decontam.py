@@ -10,7 +10,9 @@ block, over all documents:
    the sums, and the driver finds the singular vectors of the small matrix (Nystroem).
 3. Passages are projected; those whose cosine with an item reaches ``NEAR`` are candidates. Around
    each, the longest common subsequence of words with the item is measured. A leak covers
-   ``COVERED`` of the item, or ``PARTLY`` of it with its answer (the last line or sentence) there.
+   ``COVERED`` of the item, or ``PARTLY`` of it with its answer (the last line or sentence) there;
+   either way it covers ``PARTLY`` of the item's words that carry weight, since frequent words stand
+   in much the same order anywhere.
 
 Tasks hold the block's term table and singular vectors: sizes that follow the block, not the corpus.
 """
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +31,11 @@ from pyspark.sql import functions as F
 from skygrid.llm.common import rows_of, small_batches
 
 BLOCK_ITEMS = 400
-RANK, OVERSAMPLE = 256, 32
+RANK, OVERSAMPLE = 160, 32
 WINDOW, STRIDE = 64, 32
 MOST_SHARE = 0.02
 LEAST_TERMS = 3
-NEAR, COVERED, PARTLY, ANSWERED = 0.35, 0.7, 0.5, 0.7
+NEAR, COVERED, PARTLY, ANSWERED = 0.4, 0.7, 0.5, 0.7
 MIN_ITEM_WORDS = 5
 ROWS = 64  # terms in a row of a summed matrix
 
@@ -73,8 +76,7 @@ class Block:
         self.terms = {w: k for k, w in enumerate(sorted({w for x in self.words for w in x}))}
 
     def term_ids(self, words: list[bytes]) -> np.ndarray:
-        get = self.terms.get
-        return np.array([get(w, -1) for w in words], np.int32)
+        return np.fromiter(map(self.terms.get, words, repeat(-1)), np.int32, len(words))
 
 
 def passage_bounds(n: int, stride: int) -> np.ndarray:
@@ -188,8 +190,11 @@ LEAK = "struct<item_id:long,cosine:double,lcs:int,item_words:int,answer_lcs:int,
 _LEAK = pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs", pa.int32()), ("item_words", pa.int32()), ("answer_lcs", pa.int32()), ("answer_words", pa.int32()), ("first_word", pa.int32())])
 
 
-def search(words: list[bytes], block: Block, idf: np.ndarray, axes: np.ndarray, items: np.ndarray) -> list[dict]:
-    """The leaks of a block's items in a text, at most one per item: the place that covers it best."""
+def search(words: list[bytes], block: Block, idf: np.ndarray, weighted: np.ndarray, items: np.ndarray) -> list[dict]:
+    """The leaks of a block's items in a text, at most one per item: the place that covers it best.
+
+    ``weighted`` has the terms' projections times their weights, ``items`` the items' unit ones.
+    """
     terms, starts, low, high = _occurrences(block, idf, words, STRIDE)
     some = np.flatnonzero(high - low >= LEAST_TERMS)
     if not len(some):
@@ -198,14 +203,21 @@ def search(words: list[bytes], block: Block, idf: np.ndarray, axes: np.ndarray,
     for part in np.array_split(some, -(-len(some) // 1024)):
         # Sums of projected terms over a passage are differences of running sums.
         a, b = low[part[0]], high[part[-1]]
-        sums = np.vstack([np.zeros((1, axes.shape[1])), np.cumsum(idf[terms[a:b], None] * axes[terms[a:b]], axis=0, dtype=float)])
-        cosines = _unit(sums[high[part] - a] - sums[low[part] - a]).astype(np.float32) @ items.T
+        sums = np.zeros((b - a + 1, weighted.shape[1]), np.float32)
+        np.cumsum(weighted[terms[a:b]], axis=0, out=sums[1:])
+        cosines = _unit(sums[high[part] - a] - sums[low[part] - a]) @ items.T
         for p, k in zip(*np.nonzero(cosines >= NEAR)):
             item, answer, start = block.words[k], block.answers[k], int(starts[part[p]])
             region = words[max(0, start - len(item)) : start + WINDOW + len(item)]
+            there = set(region)
+            if sum(w in there for w in item) < PARTLY * len(item):
+                continue  # no subsequence can be longer
             common = lcs(item, region)
             if common < PARTLY * len(item):
                 continue
+            rare = [w for w in item if idf[block.terms[w]] > 0]
+            if lcs(rare, region) < PARTLY * len(rare) or (not rare and common < len(item)):
+                continue
             said = lcs(answer, region)
             if common >= COVERED * len(item) or said >= ANSWERED * len(answer):
                 row = {"item_id": block.ids[k], "cosine": float(cosines[p, k]), "lcs": common, "item_words": len(item), "answer_lcs": said, "answer_words": len(answer), "first_word": start}
@@ -237,13 +249,14 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, columns: list[str] | None
 
 def _searched(docs: DataFrame, block: Block, idf: np.ndarray, passages: int) -> DataFrame:
     axes = singular_vectors(docs, block, idf, passages)
-    items = _unit(np.array([(idf[t, None] * axes[t]).sum(axis=0) for t in map(block.term_ids, block.words)])).astype(np.float32)
+    weighted = (idf[:, None] * axes).astype(np.float32)
+    items = _unit(np.array([weighted[t].sum(axis=0) for t in map(block.term_ids, block.words)])).astype(np.float32)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             names = b.schema.names
             before = b.column(names.index("leaks")).to_pylist()
-            found = [x + search(words_of(t), block, idf, axes, items) for x, t in zip(before, b.column(names.index("text")).to_pylist())]
+            found = [x + search(words_of(t), block, idf, weighted, items) for x, t in zip(before, b.column(names.index("text")).to_pylist())]
             columns = [pa.array(found, pa.list_(_LEAK)) if n == "leaks" else c for n, c in zip(names, b.columns)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
