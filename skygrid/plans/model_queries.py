@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skygrid.functions.constants import BLEND_WEIGHTS, FEATURE_ORDER
-from skygrid.operators import attribution, blending, features, metrics, models, sampling, scoring
+from skygrid.operators import attribution, blending, features, metrics, models, sampling
 from skygrid.plans.aggregate_queries import _auc_sql
 from skygrid.plans.dataset import FIXED_SHAPING, OBS, SCORED, obs, r6, s6, scored
-from skygrid.plans.feature_queries import _feature_sql
 from skygrid.plans.registry import query
 from skygrid.session import scratch_path
 
@@ -45,22 +43,13 @@ def quick_learners() -> dict:
     }
 
 
-_STACKS: dict[tuple[str, str], tuple] = {}
-
-
 def quick_stack(spark, sf) -> tuple[models.Stack, DataFrame, DataFrame]:
-    """A fitted stack with its threshold, the training rows, and the held-back rows.
-
-    Fitted once per session and folder; several queries use it.
-    """
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _STACKS:
-        whole = training_frame(spark, sf)
-        train, valid = whole.where("split = 'train'"), whole.where("split = 'valid'")
-        stack = models.fit_stack(train, quick_learners(), folds=2)
-        stack.threshold = models.choose_threshold(stack, valid)
-        _STACKS[key] = (stack, train, valid)
-    return _STACKS[key]
+    """A fitted stack with its threshold, the training rows, and the held-back rows."""
+    whole = training_frame(spark, sf)
+    train, valid = whole.where("split = 'train'"), whole.where("split = 'valid'")
+    stack = models.fit_stack(train, quick_learners(), folds=2)
+    stack.threshold = models.choose_threshold(stack, valid)
+    return stack, train, valid
 
 
 # ---- training --------------------------------------------------------------
@@ -102,48 +91,36 @@ def _(spark, sf):
     return stack.forecast(valid, ["event_id", "Timestamp", "Latitude", "Longitude"])
 
 
-# ---- scoring with exported models ------------------------------------------
-class ClosedForm:
-    """A stand-in session: logistic in one column, in the list-of-dicts or the array layout."""
+# ---- scoring with stored models --------------------------------------------
+def stored_stack(spark, sf) -> models.Stack:
+    """The fitted stack, written to the shared folder and loaded as a serving job would."""
+    path = scratch_path(spark, "stack")
+    quick_stack(spark, sf)[0].save(spark, path)
+    return models.Stack.load(spark, path)
 
-    def __init__(self, body: bytes):
-        column, slope, shift, self.layout = body.decode().split(",")
-        self.column, self.slope, self.shift = int(column), float(slope), float(shift)
 
-    def get_inputs(self):
-        return [type("Input", (), {"name": "input"})()]
+def serving_rows(raw: DataFrame, keep: list[str]) -> DataFrame:
+    table = features.serving_features(raw.withColumnRenamed("Fetch_Time", "Forecast_Time"), FIXED_SHAPING, extra=keep)
+    return models.assemble(table)
 
-    def run(self, _, feed):
-        x = feed["input"][:, self.column].astype(np.float64)
-        p = 1.0 / (1.0 + np.exp(-(self.slope * x + self.shift)))
-        if self.layout == "dicts":
-            return [None, [{0: 1 - v, 1: v} for v in p]]
-        return [None, np.column_stack([1 - p, p])]
 
+def through_meta(stack: models.Stack) -> Column:
+    """The stacked probability from the base probabilities and the stored coefficients."""
+    meta = stack.meta.stages[0]
+    z = F.lit(float(meta.intercept))
+    for name, weight in zip(stack.bases, meta.coefficients):
+        z = z + F.lit(float(weight)) * F.col(f"p_{name}")
+    return 1 / (1 + F.exp(-z))
 
-#: Column of the feature order (for ``meta``: of the three probabilities), slope, shift, layout.
-CLOSED_FORM = {"xgb": b"5,0.125,-1.5,dicts", "lgb": b"7,0.25,-1.0,array", "cat": b"6,-0.5,0.25,array", "meta": b"0,4.0,-2.0,dicts"}
 
-
-@query(
-    "m16_exported_models",
-    f"""with s as ({_feature_sql(' - interval 7 hour', '', "strftime(Fetch_Time, '%Y-%m-%d %H:%M:%S')", '')}),
-    b as (select event_id, 1e0/(1e0+exp(-(0.125e0*Hour - 1.5e0))) as p_xgb, 1e0/(1e0+exp(-(0.25e0*Location_Encoded - 1e0))) as p_lgb,
-      1e0/(1e0+exp(-(-0.5e0*Month + 0.25e0))) as p_cat from s),
-    m as (select *, 1e0/(1e0+exp(-(4e0*cast(cast(p_xgb as float) as double) - 2e0))) as prob from b)
-    select event_id, {s6('p_xgb')} as p_xgb, {s6('p_lgb')} as p_lgb, {s6('p_cat')} as p_cat, round_even(prob, 4) as rain_probability,
-      cast(case when prob >= 0.4e0 then 1 else 0 end as integer) as predicted_rain from m""",
-)
+@query("m16_exported_models", f"with {OBS} select event_id, true as as_stored, true as in_range from obs")
 def _(spark, sf):
-    raw = obs(spark, sf).withColumnRenamed("Fetch_Time", "Forecast_Time")
-    table = features.serving_features(raw, FIXED_SHAPING, extra=["event_id"])
-    keep = ["event_id", "Timestamp", "Latitude", "Longitude"]
-    found = scoring.score(table, CLOSED_FORM, keep, open_session=ClosedForm)
+    """Every observation scored by the stored stack; the meta model's formula gives the same."""
+    stack = stored_stack(spark, sf)
+    found = stack.score(serving_rows(obs(spark, sf), ["event_id"]), ["event_id"])
+    parts = [F.col(f"p_{m}").between(0, 1) for m in stack.bases]
     return found.select(
-        "event_id",
-        *[r6(f"p_{m}").alias(f"p_{m}") for m in scoring.BASE_ORDER],
-        scoring.half_even("prob", 4).alias("rain_probability"),
-        scoring.to_class("prob").alias("predicted_rain"),
+        "event_id", (F.abs(F.col("prob") - through_meta(stack)) < 1e-9).alias("as_stored"), (parts[0] & parts[1] & parts[2]).alias("in_range")
     )
 
 
@@ -203,38 +180,38 @@ def _(spark, sf):
 
 
 def _attributions(spark, sf) -> DataFrame:
-    """Attributions of 100 hash-drawn rows against 50 centres of the whole table."""
-    stack, train, _ = quick_stack(spark, sf)
-    centres = models.background(train, k=50)
-    rows = sampling.sample_rows(train, 100, "event_id").select("event_id", *FEATURE_ORDER)
+    """Attributions of 100 hash-drawn rows against 50 centres, both of the whole table, as a written table."""
+    stack, train, valid = quick_stack(spark, sf)
+    whole = train.unionByName(valid)
+    centres = models.background(whole, k=50)
+    rows = sampling.sample_rows(whole, 100, "event_id").select("event_id", *FEATURE_ORDER)
 
     def score(df):
         return stack.score(models.assemble(df), [c for c in df.columns if c in ("event_id", "mask_id", "centre_weight")])
 
-    return attribution.attribute(rows, centres, score, key="event_id", n=500)
-
+    path = scratch_path(spark, "attributions")
+    attribution.attribute(rows, centres, score, key="event_id", n=500).write.parquet(path)
+    return spark.read.parquet(path)
 
-_ATTRIBUTED: dict[tuple[str, str], str] = {}
 
-
-def _stored_attributions(spark, sf) -> DataFrame:
-    """The attributions as a table in the shared folder, made once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _ATTRIBUTED:
-        path = scratch_path(spark, "attributions")
-        _attributions(spark, sf).write.parquet(path)
-        _ATTRIBUTED[key] = path
-    return spark.read.parquet(_ATTRIBUTED[key])
+@query("m19_attributions")
+def _(spark, sf):
+    return _attributions(spark, sf)
 
 
-@query("m19_attributions")
+@query(
+    "m19_additive",
+    f"with {OBS} select event_id, true as adds_up, cast({len(FEATURE_ORDER)} as bigint) as features from obs order by md5('42:' || cast(event_id as varchar)) limit 100",
+)
 def _(spark, sf):
-    return _stored_attributions(spark, sf)
+    """The contributions of a row sum to its score minus the base."""
+    sums = F.abs(F.sum("phi") - (F.max("fx") - F.max("base"))) < 1e-6
+    return _attributions(spark, sf).groupBy("event_id").agg(sums.alias("adds_up"), F.count("*").alias("features"))
 
 
 @query("m20_importance")
 def _(spark, sf):
-    return attribution.importance(_stored_attributions(spark, sf))
+    return attribution.importance(_attributions(spark, sf))
 
 
 @query(

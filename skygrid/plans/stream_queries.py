@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skygrid.functions import scalars as S
-from skygrid.operators import features, metrics, scoring
+from skygrid.operators import metrics
 from skygrid.plans.aggregate_queries import _COUNTS
 from skygrid.plans.dataset import FC, FIXED_SHAPING, OBS, as_obs, fc, obs, r6, s6
-from skygrid.plans.model_queries import CLOSED_FORM, ClosedForm
-from skygrid.plans.registry import QUERIES, query
+from skygrid.plans.model_queries import serving_rows, stored_stack, through_meta
+from skygrid.plans.registry import query
 from skygrid.session import scratch_path
 from skygrid.streaming import streams
 
@@ -32,17 +32,17 @@ def _(spark, sf):
     return out.select("event_id", "tier", "Latitude", "Longitude", "Temperature", "Rain", S.stamp("Fetch_Time").alias("fetch"))
 
 
-@query("t02_stream_scoring", QUERIES["m16_exported_models"].sql)
+@query("t02_stream_scoring", f"with {OBS} select event_id, true as as_in_batch, true as as_stored from obs")
 def _(spark, sf):
-    raw = _obs_stream(spark, sf).withColumnRenamed("Fetch_Time", "Forecast_Time")
-    table = features.serving_features(raw, FIXED_SHAPING, extra=["event_id"])
-    scored = scoring.score(table, CLOSED_FORM, ["event_id"], open_session=ClosedForm)
+    """Streamed observations through features and the stored stack, beside the batch's scores."""
+    stack = stored_stack(spark, sf)
+    scored = stack.score(serving_rows(_obs_stream(spark, sf), ["event_id"]), ["event_id"])
     out = streams.run_once(scored, scratch_path(spark, "scoring"))
-    return out.select(
+    batch = stack.score(serving_rows(obs(spark, sf), ["event_id"]), ["event_id"]).select("event_id", F.col("prob").alias("in_batch"))
+    return out.join(batch, "event_id", "full").select(
         "event_id",
-        *[r6(f"p_{m}").alias(f"p_{m}") for m in scoring.BASE_ORDER],
-        scoring.half_even("prob", 4).alias("rain_probability"),
-        scoring.to_class("prob").alias("predicted_rain"),
+        F.coalesce(F.col("prob") == F.col("in_batch"), F.lit(False)).alias("as_in_batch"),
+        F.coalesce(F.abs(F.col("prob") - through_meta(stack)) < 1e-9, F.lit(False)).alias("as_stored"),
     )
 
 
