@@ -48,12 +48,19 @@ def shared(keys: DataFrame) -> DataFrame:
     return written(semi(keys, several, "key"), "keys")
 
 
-def linked(keys: DataFrame, traits: DataFrame, near: Callable[[str, str], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(
+    keys: DataFrame,
+    traits: DataFrame,
+    near: Callable[[str, str], Column],
+    verify: Callable[[DataFrame], DataFrame],
+    meeting: Callable[[str, str], Column] | None = None,
+) -> DataFrame:
     """(id, label) of the ids that have a verified link; ``keys`` has distinct rows (key, id).
 
     ``traits`` has one row per id with what ``near`` compares (columns of the aliases x and y): it
     must hold for every pair that ``verify`` accepts. ``verify`` returns the rows of a DataFrame of
-    pairs (a, b), a > b, that are true links.
+    pairs (a, b), a > b, that are true links. ``meeting`` names one of the keys that two ids share:
+    a pair with many common keys is then made under that one only.
     """
     keys = shared(keys)
     spark = keys.sparkSession
@@ -71,8 +78,9 @@ def linked(keys: DataFrame, traits: DataFrame, near: Callable[[str, str], Column
     several = per.filter("labels > 1").select("key", F.col("top.label").alias("top"))
     rows = written(named.join(several, "key").join(traits, "id"), "contested")
     x, y = rows.filter("label <> top").alias("x"), rows.alias("y")
+    once = F.col("x.key") == meeting("x", "y") if meeting else F.lit(True)
     near_pairs = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & near("x", "y"))
+        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & near("x", "y") & once)
         .select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b"))
         .distinct()
     )

@@ -29,7 +29,7 @@ _RANDOM = np.random.default_rng(7)
 MULTIPLIERS = _RANDOM.integers(1, 1 << 62, 8 * HALVES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 OFFSETS = _RANDOM.integers(0, 1 << 62, 8 * HALVES, dtype=np.uint64)
 PLACES = _RANDOM.integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-KEPT_WORDS = 600_000
+KEPT_WORDS = 200_000
 
 
 def _word_hashes():
@@ -86,7 +86,7 @@ def _sketch(shingles: np.ndarray) -> list[int]:
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
     """doc_id and the sketch of every document; those without words have zeros and n_shingles 0."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 128)
     empty = [0] * len(SKETCH)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,8 +162,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
         return (100 * few >= percent * many) & (sum((differing(c) for c in LOW), F.lit(0)) <= 25)
 
-    traits = classes.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n_shingles", *LOW)])
-    labels = linked(keys, traits, close, similarity_check(docs, size, percent))
+    def meeting(x: str, y: str) -> Column:
+        """The key of the first hashes of each collection that agree."""
+
+        def first(side: str) -> Column:
+            return F.coalesce(*[F.when(F.col(f"{x}.{side}{i}") == F.col(f"{y}.{side}{i}"), F.col(f"{x}.{side}{i}")) for i in range(HALVES)])
+
+        return F.xxhash64(first("a"), first("b"))
+
+    halves_of = [f"{side}{i}" for side in "ab" for i in range(HALVES)]
+    traits = classes.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n_shingles", *LOW, *halves_of)])
+    labels = linked(keys, traits, close, similarity_check(docs, size, percent), meeting)
     named = classes.join(labels, "id", "left").filter("n > 1 OR label IS NOT NULL").select("set1", "set2", F.coalesce("label", "id").alias("component_id"))
     named = written(named, "components")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
