@@ -17,9 +17,10 @@ from __future__ import annotations
 
 import heapq
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from skygrid.llm.common import in_batches, rows_of, small_batches, worker_state,
 
 FOLDS, HELD_OUT_FOLD, MIXER_FOLD = 10, 0, 1
 #: The code's words, the log2 of a context table's slots, counters kept while counting words.
-HEAD, TABLE_BITS, KEPT_WORDS = 262_144, 21, 400_000
+HEAD, TABLE_BITS, KEPT_WORDS = 262_144, 20, 400_000
 CONTEXTS, GATES, INPUTS, CELLS = 3, 16, 5, 33
 CHUNK = 65_536
 BLOCK = 1 << 14
@@ -85,54 +86,60 @@ def head_words(counts: DataFrame, most: int) -> list[tuple[str, int]]:
     return sorted(((r.word, r.n) for r in chosen.collect()), key=lambda x: (-x[1], x[0]))
 
 
-def huffman(weights: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per symbol the start and length of its code in two flat arrays: nodes passed, bits taken."""
-    if len(weights) == 1:
-        return np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+def huffman(weights: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Parent and side of every node of the tree; the symbols come first, the root last."""
     n = len(weights)
     heap = [(w, i) for i, w in enumerate(weights)]
     heapq.heapify(heap)
-    parent, side = [0] * (2 * n - 1), [0] * (2 * n - 1)
+    parent, side = np.zeros(2 * n - 1, np.int32), np.zeros(2 * n - 1, np.uint8)
     for node in range(n, 2 * n - 1):
         (a, x), (b, y) = heapq.heappop(heap), heapq.heappop(heap)
         parent[x] = parent[y] = node
         side[y] = 1
         heapq.heappush(heap, (a + b, node))
-    paths = [((), ())] * (2 * n - 1)
-    for node in range(2 * n - 3, -1, -1):
-        nodes, bits = paths[parent[node]]
-        paths[node] = ((*nodes, parent[node] - n), (*bits, side[node]))
-    lengths = np.array([len(paths[i][0]) for i in range(n)], np.int64)
-    return (
-        np.cumsum(lengths) - lengths, lengths,
-        np.array([x for i in range(n) for x in paths[i][0]], np.int64), np.array([x for i in range(n) for x in paths[i][1]], np.uint8),
-    )
+    return parent, side
 
 
-@dataclass
 class Code:
-    """The words' codes, with counts; symbol ``len(head)`` is the escape."""
-
-    ids: dict[bytes, int]
-    counts: np.ndarray
-    escaped: int
-    starts: np.ndarray
-    lengths: np.ndarray
-    nodes: np.ndarray
-    bits: np.ndarray
-    node_odds: np.ndarray
-
-    @classmethod
-    def of(cls, head: list[tuple[str, int]], total: int) -> Code:
-        counts = np.array([n for _, n in head], float)
+    """The words' codes, with counts; symbol ``len(ids)`` is the escape.
+
+    It travels as its words, counts and tree; the codes are laid out again where it arrives: per
+    symbol the start and length of its code in two flat arrays, nodes passed and bits taken.
+    """
+
+    def __init__(self, head: list[tuple[str, int]], total: int):
+        counts = np.array([n for _, n in head], np.int64)
         escaped = total - int(counts.sum())
-        weights = [*(int(n) for n in counts), max(1, escaped)]
-        starts, lengths, nodes, bits = huffman(weights)
-        passed = np.repeat(np.array(weights, float), lengths)
-        ones = np.bincount(nodes, passed * bits, max(1, len(weights) - 1))
-        every = np.bincount(nodes, passed, max(1, len(weights) - 1))
+        parent, side = huffman([*counts.tolist(), max(1, escaped)])
+        self.__setstate__((b" ".join(w.encode() for w, _ in head), counts, escaped, parent, side))
+
+    def __getstate__(self) -> tuple:
+        return self.state
+
+    def __setstate__(self, state: tuple) -> None:
+        self.state = state
+        words, counts, self.escaped, parent, side = state
+        self.counts = counts.astype(float)
+        self.ids = {w: k for k, w in enumerate(words.split(b" "))}  # no word holds a space
+        n = len(counts) + 1
+        mixed = np.arange(1, n + 1, dtype=np.uint64) * ODD[0]
+        self.hashes = (mixed ^ (mixed >> np.uint64(32))) * ODD[1]
+        # All codes climb to the root together; a step takes the symbols that are not there yet.
+        at, moving, steps = np.arange(n), np.arange(n), []
+        while len(moving := moving[at[moving] != 2 * n - 2]):
+            steps.append((moving, parent[at[moving]] - n, side[at[moving]]))
+            at[moving] = parent[at[moving]]
+        self.lengths = np.bincount(np.concatenate([m for m, _, _ in steps]) if steps else np.zeros(0, int), minlength=n)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.nodes, self.bits = np.empty(self.lengths.sum(), np.int32), np.empty(self.lengths.sum(), np.uint8)
+        for k, (symbols, node, bit) in enumerate(steps):
+            place = self.starts[symbols] + self.lengths[symbols] - 1 - k
+            self.nodes[place], self.bits[place] = node, bit
+        passed = np.repeat(np.append(self.counts, max(1, self.escaped)), self.lengths)
+        ones = np.bincount(self.nodes, passed * self.bits, max(1, n - 1))
+        every = np.bincount(self.nodes, passed, max(1, n - 1))
         share = (ones + 0.4) / (every + 0.8)
-        return cls({w.encode(): k for k, (w, _) in enumerate(head)}, counts, escaped, starts, lengths, nodes, bits, np.log(share / (1 - share)).astype(np.float32))
+        self.node_odds = np.log(share / (1 - share)).astype(np.float32)
 
     @property
     def escape(self) -> int:
@@ -153,18 +160,19 @@ def _word_hashes():
 def _pieces(code: Code, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Symbols of a text and its end with the hashes of the one and of the two words before, in chunks."""
     known = worker_state("mixing_hashes", _word_hashes)
-    if len(known) > 600_000:
+    if len(known) > 200_000:
         known.clear()
-    get, escape = code.ids.get, code.escape
     before = np.full(2, START_HASH)
     for at in range(0, len(words) + 1, CHUNK):
         part = words[at : at + CHUNK]
-        symbols = [get(w, escape) for w in part]
-        hashes = np.concatenate([before, np.fromiter(map(known.__getitem__, part), np.uint64, len(part))])
+        symbols = np.fromiter(map(code.ids.get, part, repeat(code.escape)), np.int64, len(part))
+        hashes = np.concatenate([before, code.hashes[symbols]])
+        for i in np.flatnonzero(symbols == code.escape).tolist():
+            hashes[2 + i] = known[part[i]]
         if at + CHUNK > len(words):
-            symbols.append(code.ids[b""])
+            symbols = np.append(symbols, code.ids[b""])
         n = len(symbols)
-        yield np.array(symbols, np.int64), hashes[1 : 1 + n], hashes[:n]
+        yield symbols, hashes[1 : 1 + n], hashes[:n]
         before = hashes[-2:]
 
 
@@ -212,19 +220,15 @@ def context_tables(docs: DataFrame, code: Code) -> np.ndarray:
         for _, symbols, last, second in _streams(code, ((0, words_of(t)) for (t,) in rows_of(batches, "text"))):
             token, node, bit = _bits(code, symbols)
             for table, slot in zip(tables, _slots(last, second, token, node)):
-                cell, n = np.unique(2 * slot + bit, return_counts=True) if len(slot) < 4096 else (None, np.bincount(2 * slot + bit, minlength=2 * size))
-                if cell is None:
-                    table += n.astype(np.uint32)
-                else:
-                    table[cell] += n.astype(np.uint32)
+                np.add.at(table, 2 * slot + bit, np.uint32(1))
         flat = tables.reshape(-1, 2 * BLOCK)
         for k in np.flatnonzero(flat.any(axis=1)).tolist():
-            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([flat[k].tobytes()], pa.binary())], names=["block", "part"])
+            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([zlib.compress(flat[k].tobytes(), 1)], pa.binary())], names=["block", "part"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for k, part in rows_of(batches, "block", "part"):
-            x = np.frombuffer(part, np.uint32).astype(np.uint64)
+            x = np.frombuffer(zlib.decompress(part), np.uint32).astype(np.uint64)
             sums[k] = sums[k] + x if k in sums else x
         for k, x in sums.items():
             none, one = x[0::2].astype(float), x[1::2].astype(float)
@@ -356,7 +360,7 @@ def score(docs: DataFrame) -> DataFrame:
     head = head_words(counts, HEAD)
     if not any(w == END for w, _ in head):
         head.append((END, 0))
-    code = Code.of(head, total.n)
+    code = Code(head, total.n)
     tables = context_tables(train.filter(F.col("fold") != MIXER_FOLD), code)
     mixer = train.filter(F.col("fold") == MIXER_FOLD)
     weights = mixer_weights(mixer, code, tables)
@@ -364,11 +368,11 @@ def score(docs: DataFrame) -> DataFrame:
 
     base_total = total.n + 0.1 * (total.v + 1)
     escaped_total = code.escaped + 0.1 * (total.v - int((code.counts > 0).sum()) + 1)
-    base_of = np.append(np.log10((code.counts + 0.1) / base_total), 0.0)
-    known_of = np.append(code.counts > 0, False).astype(float)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 40
+        base_of = np.append(np.log10((code.counts + 0.1) / base_total), 0.0)
+        known_of = np.append(code.counts > 0, False).astype(float)
 
         def parts() -> Iterator[tuple]:
             number = 0

@@ -60,7 +60,7 @@ def test_no_documents_and_no_training(spark):
 def test_codes_are_prefix_free_and_scores_sum_to_one():
     rng = np.random.default_rng(2)
     head = [("", 50), *((f"w{i}", int(n)) for i, n in enumerate(rng.integers(1, 400, 40)))]
-    code = mixing.Code.of(head, sum(n for _, n in head) + 33)
+    code = mixing.Code(head, sum(n for _, n in head) + 33)
     codes = ["".join(map(str, code.bits[s : s + n])) for s, n in zip(code.starts, code.lengths)]
     assert not any(a != b and b.startswith(a) for a in codes for b in codes)
     tables = rng.integers(0, 1 << 10, (mixing.CONTEXTS, 1 << mixing.TABLE_BITS)).astype(np.uint16)
@@ -72,7 +72,7 @@ def test_codes_are_prefix_free_and_scores_sum_to_one():
 
 
 def test_chunks_do_not_change_streams(monkeypatch):
-    code = mixing.Code.of([("", 9), ("a", 5), ("b", 3)], 20)
+    code = mixing.Code([("", 9), ("a", 5), ("b", 3)], 20)
     texts = [(0, [b"a", b"b", b"x"] * 7), (1, []), (2, [b"b"] * 5)]
     whole = [np.concatenate(x) for x in zip(*mixing._streams(code, iter(texts)))]
     monkeypatch.setattr(mixing, "CHUNK", 3)
