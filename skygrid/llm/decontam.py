@@ -31,20 +31,21 @@ from pyspark.sql import functions as F
 from skygrid.llm.common import rows_of, small_batches
 
 BLOCK_ITEMS = 400
-RANK, OVERSAMPLE = 160, 32
-WINDOW, STRIDE = 64, 32
+RANK, OVERSAMPLE = 144, 24
+WINDOW, STRIDE = 64, 40
 MOST_SHARE = 0.02
 LEAST_TERMS = 3
 NEAR, COVERED, PARTLY, ANSWERED = 0.4, 0.7, 0.5, 0.7
 MIN_ITEM_WORDS = 5
 ROWS = 64  # terms in a row of a summed matrix
 
-_SPACED = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
+_SPACED = bytes(32 if b < 128 and not chr(b).isalnum() else ord(chr(b).lower()) if b < 128 else b for b in range(256))
 
 
 def words_of(text: str | None) -> list[bytes]:
     """Lower-case words; ASCII punctuation separates."""
-    return (text or "").lower().encode().translate(_SPACED).split()
+    text = text or ""
+    return (text if text.isascii() else text.lower()).encode().translate(_SPACED).split()
 
 
 def answer_of(text: str) -> list[bytes]:
