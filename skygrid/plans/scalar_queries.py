@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skygrid.functions import scalars as S
+from skygrid.functions.constants import PAYLOAD_NAMES
 from skygrid.operators import dedup, filters, sampling
-from skygrid.operators.joins import densify
+from skygrid.operators.joins import densify, with_measures
 from skygrid.plans.dataset import CURRENT, FC, OBS, SCORED, current, fc, obs, odd_obs, r6, s6, scored
 from skygrid.plans.registry import query
 from skygrid.sources import snapshots
@@ -15,6 +16,31 @@ _TS = "%Y-%m-%d %H:%M:%S"
 
 
 # ---- projections -----------------------------------------------------------
+@query("p01_rename", f"with {OBS} select event_id, Latitude as latitude, Longitude as longitude, Rain as rain_label from obs")
+def _(spark, sf):
+    named = snapshots.renamed(obs(spark, sf), PAYLOAD_NAMES)
+    return named.select("event_id", "latitude", "longitude", "rain_label")
+
+
+@query("p12_float32", f"with {OBS} select event_id, cast(cast(Temperature as float) as double) as narrow from obs")
+def _(spark, sf):
+    return obs(spark, sf).select("event_id", F.col("Temperature").cast("float").cast("double").alias("narrow"))
+
+
+@query(
+    "p16_null_filled",
+    f"with {FC} select strftime(dt, '{_TS}') as dt, Latitude, Longitude, cast(null as double) as Temperature, '2024-02-01 00:00:00' as fetched from fc",
+)
+def _(spark, sf):
+    bare = with_measures(fc(spark, sf), None, ["Temperature"])
+    return bare.select(S.stamp("dt").alias("dt"), "Latitude", "Longitude", "Temperature", F.lit("2024-02-01 00:00:00").alias("fetched"))
+
+
+@query("p17_drop_columns", f"with {OBS} select event_id, tier, cell, Rain from obs")
+def _(spark, sf):
+    return obs(spark, sf).drop("Fetch_Time", "Latitude", "Longitude", "Temperature", "Humidity", "Wind_Speed", "Cloud_Cover", "Pressure", "absent")
+
+
 @query(
     "p02_time_column",
     f"""with {OBS} select strftime(date_trunc('hour', Fetch_Time), '{_TS}') as hour, count(*) as n from obs

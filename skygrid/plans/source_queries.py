@@ -120,16 +120,19 @@ def _shown(df: DataFrame, *first: str) -> DataFrame:
     return df.select(*first, "Latitude", "Longitude", *[F.col(n).alias(n.lower()) for n in names])
 
 
+def _current_bodies(spark, sf) -> DataFrame:
+    """One answer per hour and batch; a dry place has no amount in half of the cells, and 0 in the others."""
+    amount = F.when(F.col("Rain") == 1, 0.5).when(F.col("cell") % 2 == 0, 0.0)
+    rows = _cell_hours(spark, sf).withColumn("current", F.struct(S.stamp("h").alias("time"), *_reading(amount)))
+    return _answers(rows, ["h", "batch"], "current").withColumnRenamed("h", "Fetch_Time")
+
+
 @query(
     "s06_current_payload",
     f"with {OBS}, {_CELL_HOURS} select strftime(h, '{_TS}') as fetch, Latitude, Longitude, {_PARSED} from cell_hours",
 )
 def _(spark, sf):
-    # A dry place has no amount at all in one half of the cells, and 0 in the other.
-    amount = F.when(F.col("Rain") == 1, 0.5).when(F.col("cell") % 2 == 0, 0.0)
-    rows = _cell_hours(spark, sf).withColumn("current", F.struct(S.stamp("h").alias("time"), *_reading(amount)))
-    bodies = _answers(rows, ["h", "batch"], "current").withColumnRenamed("h", "Fetch_Time")
-    found = payloads.parse_current(bodies, _places(spark))
+    found = payloads.parse_current(_current_bodies(spark, sf), _places(spark))
     return _shown(found.withColumn("fetch", S.stamp("Fetch_Time")), "fetch")
 
 

@@ -324,6 +324,16 @@ def _(spark, sf):
     return points.groupBy("timestamp").agg(F.count("*").alias("points"), F.sum("rain_label").alias("rainy"))
 
 
+@query(
+    "p18_time_default",
+    f"""with {STREWN}, {_INSIDE} select strftime(Fetch_Time, '{_TS}') as timestamp, strftime(Fetch_Time, '{_TS}') as fetch_time, count(*) as n
+    from obs join inside using (Latitude, Longitude) group by 1, 2""",
+)
+def _(spark, sf):
+    """Without a time column of their own, points bear their fetch time."""
+    return payload.map_points(strewn(spark, sf)).groupBy("timestamp", "fetch_time").agg(F.count("*").alias("n"))
+
+
 @query(
     "a27_forecast_payload",
     f"""with {FC}, {_INSIDE} select strftime(dt, '{_TS}') as timestamp, count(*) as points, sum(predicted_rain)::bigint as rainy,

@@ -20,6 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # Writing one snapshot must replace that snapshot only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Times without a zone are read as timestamps, so that no cast stands between a filter and the scan.
+    "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

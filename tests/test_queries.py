@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from skygrid.plans import catalogue
 
 TRAINED = {"m09_baselines", "m11_random_search", "m19_attributions", "m20_importance", "m18_background", "job_retrain"}
 
@@ -13,7 +14,7 @@ def con(small):
     return compare.connect(small)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in TRAINED])
+@pytest.mark.parametrize("name", [n for n in catalogue.QUERIES if n not in TRAINED])
 def test_same_rows(spark, con, small, name):
     said = compare.compare(spark, con, small, name)
     assert said.startswith(("same", "rows")), said
