@@ -2,9 +2,9 @@
 
 Everything that needs an order over a whole column (quantiles, AUC, splits) starts from the table
 of distinct values with their counts, so a value that fills a third of the rows is one row. Those
-distinct values are cut into buckets of near equal size by a sketch. Counts per bucket give each
-bucket's offset, and only the inside of a bucket is ever sorted by one task. The sketch decides the
-bucket sizes, never the result.
+distinct values are range-partitioned and written with the number of their range. Sums per range
+give each range's offset, and only the inside of a range is ever sorted by one task. There are as
+many ranges as shuffle partitions; written ranges stay the same when a task runs again.
 """
 
 from __future__ import annotations
@@ -17,10 +17,6 @@ from pyspark.sql.window import Window
 
 from skygrid.session import scratch_path
 
-#: Most bits a bucket number may have.
-MAX_BUCKET_BITS = 10
-
-
 def value_counts(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., feature, x, c): distinct non-null values of each feature with their counts.
 
@@ -33,49 +29,26 @@ def value_counts(df: DataFrame, features: Sequence[str], by: Sequence[str] = ())
     return counted.select(*by, F.get(names, F.col("f")).alias("feature"), "x", "c")
 
 
-def _bucket_bits(df: DataFrame) -> int:
-    """Enough buckets to keep every shuffle partition busy, at most 1,024."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(4, min(MAX_BUCKET_BITS, partitions.bit_length()))
-
-
-def _bucket(x: Column, cuts: Column, bits: int) -> Column:
-    """How many cuts lie at or below x, by binary search."""
-    steps = F.array(*[F.lit(1 << b) for b in range(bits - 1, -1, -1)])
-
-    def advance(at: Column, step: Column) -> Column:
-        return F.when(F.element_at(cuts, at + step) <= x, at + step).otherwise(at)
-
-    return F.aggregate(steps, F.lit(0), advance)
-
-
 def bucketed(values: DataFrame, by: Sequence[str], weights: Sequence[str], x: str = "x"):
-    """Split distinct values into ordered buckets.
+    """Split distinct values into ordered ranges.
 
     Returns ``(rows, totals)``: the rows with ``bucket``, and one row per (by, bucket) holding for
     each weight ``w`` its sum ``w_in``, the sum in earlier buckets ``w_off`` and over all ``w_all``.
-    ``by`` must name few groups, fixed while planning (features, two classes, models): one row of
-    cuts per group and at most 1,024 totals per group are broadcast.
+    ``by`` must name few groups, fixed while planning (features, two classes, models): one row per
+    group and writing task is broadcast.
     """
-    bits = _bucket_bits(values)
-    n = 1 << bits
-    probs = F.expr(f"array({', '.join(f'{i / n!r}D' for i in range(1, n))})")  # one call, not n
-    cuts = values.groupBy(*by).agg(
-        F.percentile_approx(x, probs, 10000).alias("cuts"),
-        *[F.sum(w).alias(f"{w}_all") for w in weights],
-    )
-    # One row of cuts per group. Both results below read all its columns, so that Spark finds the
-    # same shuffle under each and runs it once.
-    if by:
-        rows = values.join(F.broadcast(cuts), list(by))
-    else:
-        rows = values.withColumns({c: cuts.select(c).scalar() for c in cuts.columns})
-    rows = rows.withColumn("bucket", _bucket(F.col(x), F.col("cuts"), bits)).drop("cuts")
+    by = list(by)
+    path = scratch_path(values.sparkSession, "ranges")
+    ranged = values.repartitionByRange(*by, x).withColumn("bucket", F.spark_partition_id())
+    ranged.write.parquet(path)
+    rows = values.sparkSession.read.schema(ranged.schema).parquet(path)
     before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
     totals = (
-        rows.groupBy(*by, "bucket", *[f"{w}_all" for w in weights])
+        rows.groupBy(*by, "bucket")
         .agg(*[F.sum(w).alias(f"{w}_in") for w in weights])
         .withColumns({f"{w}_off": F.coalesce(F.sum(f"{w}_in").over(before), F.lit(0)) for w in weights})
+        .withColumns({f"{w}_all": F.sum(f"{w}_in").over(whole) for w in weights})
     )
     return rows, totals
 
@@ -87,8 +60,7 @@ def running_before(
     by = list(by)
     rows, totals = bucketed(values, by, weights, x)
     inside = Window.partitionBy(*by, "bucket").orderBy(x).rowsBetween(Window.unboundedPreceding, -1)
-    same = [*by, "bucket", *[f"{w}_all" for w in weights]]
-    rows = rows.join(F.broadcast(totals.drop(*[f"{w}_in" for w in weights])), same)
+    rows = rows.join(F.broadcast(totals.drop(*[f"{w}_in" for w in weights])), [*by, "bucket"])
     return rows.withColumns(
         {f"{w}_before": F.col(f"{w}_off") + F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights}
     ).drop("bucket", *[f"{w}_off" for w in weights])
@@ -115,7 +87,7 @@ def quantiles(
     inside = Window.partitionBy(*by, "bucket").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("c_off") + F.coalesce(F.sum("c").over(inside), F.lit(0))
     picked = (
-        rows.join(F.broadcast(hit), [*by, "bucket", "c_all"])
+        rows.join(F.broadcast(hit), [*by, "bucket"])
         .withColumn("start", start)
         .withColumn("ks", F.filter("ks", lambda k: (k >= F.col("start")) & (k < F.col("start") + F.col("c"))))
         .where(F.size("ks") > 0)
@@ -152,12 +124,12 @@ def hash_key(c: Column | str) -> Column:
 def hash_cuts(df: DataFrame, label: str, key: str, ranks: dict[str, Column]) -> DataFrame:
     """Per class, the hash of the row at given 0-based ranks in hash order.
 
-    ``ranks`` are expressions over ``n``, the class size. Hashes are uniform, so their first three
-    characters cut a class of any size into 4,096 even buckets; only the buckets holding a wanted
-    rank are sorted. One row per class: label, n, one column per rank.
+    ``ranks`` are expressions over ``n``, the class size. Hashes are uniform, so their first four
+    characters cut a class into 65,536 even buckets; only the buckets holding a wanted rank are
+    sorted, each a 65,536th of its class. One row per class: label, n, one column per rank.
     """
     rows = df.select(F.col(label).alias("y"), hash_key(key).alias("h"))
-    rows = rows.withColumn("bucket", F.substring("h", 1, 3))
+    rows = rows.withColumn("bucket", F.substring("h", 1, 4))
     before = Window.partitionBy("y").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy("y", "bucket").agg(F.count("*").alias("k"))
     totals = totals.withColumns(
