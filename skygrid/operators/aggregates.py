@@ -149,7 +149,10 @@ def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], many: int = 20) -> DataFrame:
     """Distinct values per column, and whether there are more than ``many``."""
-    values = value_counts(df, columns).groupBy("feature").agg(F.count("*").alias("distinct"))
+    # As text, every value of every type stays apart; large integers would meet as doubles.
+    pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("s")) for c in columns]
+    every = df.select(F.inline(F.array(*pairs))).where(F.col("s").isNotNull()).distinct()
+    values = every.groupBy("feature").agg(F.count("*").alias("distinct"))
     return values.withColumn("plot", F.when(F.col("distinct") > many, "box").otherwise("violin"))
 
 

@@ -20,7 +20,7 @@ QUICK_SPACES = {
 }
 
 
-def training_frame(spark, sf) -> DataFrame:
+def training_frame(spark, sf, folds: int = 2) -> DataFrame:
     """Features, label, split and folds of all observations, written once to the shared folder.
 
     Every fit reads the rows many times; a written table serves them all and outlives executors.
@@ -28,7 +28,7 @@ def training_frame(spark, sf) -> DataFrame:
     raw = obs(spark, sf).withColumnRenamed("Fetch_Time", "Forecast_Time")
     table = features.serving_features(raw, FIXED_SHAPING, extra=["event_id"])
     table = sampling.stratified_split(table, "Rain", "event_id")
-    table = sampling.stratified_folds(table, "Rain", "event_id", 2)
+    table = sampling.stratified_folds(table, "Rain", "event_id", folds)
     path = scratch_path(spark, "training")
     models.with_weights(table, counted=table.where("split = 'train'")).write.parquet(path)
     return models.assemble(spark.read.parquet(path))
@@ -43,11 +43,19 @@ def quick_learners() -> dict:
     }
 
 
+def full_stack(spark, sf) -> tuple[models.Stack, DataFrame, DataFrame]:
+    """The stack at the library's settings, three folds, with its threshold; training and held-back rows."""
+    return _stack(training_frame(spark, sf, 3), models.base_learners(), 3)
+
+
 def quick_stack(spark, sf) -> tuple[models.Stack, DataFrame, DataFrame]:
-    """A fitted stack with its threshold, the training rows, and the held-back rows."""
-    whole = training_frame(spark, sf)
+    """A small stack, for queries that check scoring and not the fit."""
+    return _stack(training_frame(spark, sf), quick_learners(), 2)
+
+
+def _stack(whole: DataFrame, learners: dict, folds: int) -> tuple[models.Stack, DataFrame, DataFrame]:
     train, valid = whole.where("split = 'train'"), whole.where("split = 'valid'")
-    stack = models.fit_stack(train, quick_learners(), folds=2)
+    stack = models.fit_stack(train, learners, folds=folds)
     stack.threshold = models.choose_threshold(stack, valid)
     return stack, train, valid
 
@@ -56,7 +64,7 @@ def quick_stack(spark, sf) -> tuple[models.Stack, DataFrame, DataFrame]:
 @query("m09_baselines")
 def _(spark, sf):
     whole = training_frame(spark, sf)
-    fitted = models.fit_all(whole.where("split = 'train'"), models.baselines(trees=5, rounds=10))
+    fitted = models.fit_all(whole.where("split = 'train'"), models.baselines())
     found = models.probabilities(whole.where("split = 'valid'"), fitted, ["event_id", "Rain"])
     return metrics.compare_models(found, {m: F.col(f"p_{m}") for m in fitted}, "Rain")
 
@@ -64,7 +72,7 @@ def _(spark, sf):
 @query("m10_base_learners")
 def _(spark, sf):
     whole = training_frame(spark, sf)
-    fitted = models.fit_all(whole.where("split = 'train'"), quick_learners())
+    fitted = models.fit_all(whole.where("split = 'train'"), models.base_learners())
     found = models.probabilities(whole.where("split = 'valid'"), fitted, ["event_id", "Rain"])
     return metrics.compare_models(found, {m: F.col(f"p_{m}") for m in fitted}, "Rain")
 
@@ -79,7 +87,7 @@ def _(spark, sf):
 
 @query("m12_stacking")
 def _(spark, sf):
-    stack, _, valid = quick_stack(spark, sf)
+    stack, _, valid = full_stack(spark, sf)
     found = stack.score(valid, ["event_id", "Rain"])
     said = found.withColumn("said", (F.col("prob") >= stack.threshold).cast("int"))
     return metrics.scores(metrics.confusion(said, "Rain", "said")).withColumn("threshold", F.lit(stack.threshold))
