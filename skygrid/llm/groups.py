@@ -1,12 +1,13 @@
 """Connected groups from shared keys, without all pairs of a key.
 
-Rows (key, id) say that ids may belong together. Two rounds find the groups that checking every pair
+Rows (key, id) say that ids may belong together. The groups found are those that checking every pair
 of ids with a common key would give:
 
-1. Every id is paired with one id per key, the smallest, and of those with the one it shares most
-   keys with. Checked pairs make first groups; a large group of copies is one already.
-2. A pair within a group needs no check. Of each key whose ids are in several groups, ids outside
-   the key's largest group are paired with all its ids of other groups, and checked.
+1. In a few rounds, ids are paired with some ids of their keys' largest groups, and checked. At first
+   every id is a group of its own, and a key's partner is a single id. A large group of copies is one
+   group after these rounds, or nearly.
+2. A pair within a group needs no check. Of each key whose ids are still in several groups, ids
+   outside the key's largest group are paired with all its ids of other groups, and checked.
 
 Groups are labelled by their smallest id.
 """
@@ -15,12 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skygrid.llm.common import semi, written
 
-PAIRS = "a long, b long"
+#: Rounds of the first kind, and the ids of a key's largest group that others are paired with.
+ROUNDS, PARTNERS = 4, 8
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -64,28 +66,47 @@ def linked(
     """
     keys = shared(keys)
     spark = keys.sparkSession
-    lowest = keys.groupBy("key").agg(F.min("id").alias("low"))
-    common = keys.join(lowest, "key").filter("id <> low").groupBy("id", "low").agg(F.count("*").alias("n"))
-    best = common.groupBy("id").agg(F.max(F.struct("n", (-F.col("low")).alias("low"))).alias("best"))
-    first = written(best.select(F.col("id").alias("a"), (-F.col("best.low")).alias("b")), "pairs")
-    if first.isEmpty():
-        return spark.createDataFrame([], "id long, label long")
-    edges = written(verify(first), "links")
-    labels = connected(edges)
+    edges, labels, asked = None, spark.createDataFrame([], "id long, label long"), None
+    for turn in range(ROUNDS):
+        rows = _contested(keys, labels, traits, f"contested-{turn}")
+        partners = rows.filter("label = top")
+        place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(turn))))
+        partners = partners.withColumn("place", place).filter(F.col("place") <= PARTNERS).drop("place")
+        met = _pairs(rows, partners, near, None).groupBy("x").agg(F.min(F.struct(F.xxhash64("y", F.lit(turn)), "y")).alias("best"))
+        pairs = met.select(F.greatest("x", "best.y").alias("a"), F.least("x", "best.y").alias("b")).distinct()
+        if asked is not None:
+            pairs = pairs.join(asked, ["a", "b"], "left_anti")
+        pairs = written(pairs, "pairs")
+        asked = pairs if asked is None else asked.unionByName(pairs)
+        if pairs.isEmpty():
+            break
+        found = written(verify(pairs), "links")
+        if found.isEmpty():
+            break
+        edges = found if edges is None else edges.unionByName(found)
+        labels = connected(edges)
+    rows = _contested(keys, labels, traits, "contested")
+    rest = _pairs(rows, rows, near, meeting).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+    rest = written(rest.join(asked, ["a", "b"], "left_anti"), "pairs")
+    if rest.isEmpty():
+        return labels
+    more = written(verify(rest), "links")
+    if more.isEmpty():
+        return labels
+    return connected(more if edges is None else edges.unionByName(more))
+
 
+def _contested(keys: DataFrame, labels: DataFrame, traits: DataFrame, name: str) -> DataFrame:
+    """The rows of keys whose ids are in several groups: with label, the key's largest label, and traits."""
     named = keys.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     per = named.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"))
     several = per.filter("labels > 1").select("key", F.col("top.label").alias("top"))
-    rows = written(named.join(several, "key").join(traits, "id"), "contested")
-    x, y = rows.filter("label <> top").alias("x"), rows.alias("y")
+    return written(named.join(several, "key").join(traits, "id"), name)
+
+
+def _pairs(rows: DataFrame, others: DataFrame, near: Callable[[str, str], Column], meeting: Callable[[str, str], Column] | None) -> DataFrame:
+    """(x, y): rows outside their key's largest group with near ``others`` of the key in another group."""
+    x, y = rows.filter("label <> top").alias("x"), others.alias("y")
     once = F.col("x.key") == meeting("x", "y") if meeting else F.lit(True)
-    near_pairs = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & near("x", "y") & once)
-        .select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b"))
-        .distinct()
-    )
-    second = written(near_pairs.join(first, ["a", "b"], "left_anti"), "pairs")
-    if second.isEmpty():
-        return labels
-    more = written(verify(second), "links")
-    return labels if more.isEmpty() else connected(edges.unionByName(more))
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label"))
+    return x.join(y, same & near("x", "y") & once).select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
