@@ -76,9 +76,8 @@ def _level(groups: DataFrame, key: str, mean: Column, most_weight: float = 1e4)
     )
     # E[spread] = noise1 + noise2 * rho with rho = 1 / (weight + 1)
     rho = F.greatest(F.lit(1 / most_weight), F.least(F.lit(0.5), F.coalesce((F.col("spread") - F.col("noise1")) / F.nullif(F.col("noise2"), F.lit(0.0)), F.lit(1 / most_weight))))
-    weight = fit.select((1 / rho - 1).alias("weight"))
     return (
-        g.crossJoin(F.broadcast(weight))  # one row
+        g.withColumn("weight", fit.select((1 / rho - 1).alias("weight")).scalar())
         .withColumn("alpha", F.col("weight") * F.col("mean") + F.col("bad"))
         .withColumn("beta", F.col("weight") * (1 - F.col("mean")) + F.col("n") - F.col("bad"))
         .select(*groups.columns, "alpha", "beta", (F.col("alpha") / (F.col("alpha") + F.col("beta"))).alias(f"{key}_mean"))
@@ -92,11 +91,12 @@ def reputations(hosts: DataFrame, z: float = 1.645) -> DataFrame:
     flat prior's mean.
     """
     named = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+    named = written(named, "hosts")  # each level reads its groups twice
     total = named.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1.0) / (F.coalesce(F.sum("n"), F.lit(0)) + 2.0)).alias("all_mean"))
-    suffixes = named.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).crossJoin(F.broadcast(total))  # one row
-    suffixes = _level(suffixes, "suffix", F.col("all_mean")).select("suffix", "suffix_mean")
+    suffixes = named.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("all_mean", total.scalar())
+    suffixes = _level(written(suffixes, "suffixes"), "suffix", F.col("all_mean")).select("suffix", "suffix_mean")
     domains = named.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).join(suffixes, "suffix")
-    domains = _level(domains, "domain", F.col("suffix_mean")).select("domain", "domain_mean")
+    domains = _level(written(domains, "domains"), "domain", F.col("suffix_mean")).select("domain", "domain_mean")
     out = _level(named.join(domains, "domain"), "host", F.col("domain_mean"))
     both = F.col("alpha") + F.col("beta")
     sd = F.sqrt(F.col("alpha") * F.col("beta") / (both * both * (both + 1)))
