@@ -20,13 +20,14 @@ Tasks hold the block's term table and singular vectors: sizes that follow the bl
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skygrid.llm.common import rows_of, small_batches
 
@@ -76,35 +77,46 @@ class Block:
         self.ids, self.words, self.answers = [x[0] for x in kept], [x[1] for x in kept], [x[2] for x in kept]
         self.terms = {w: k for k, w in enumerate(sorted({w for x in self.words for w in x}))}
 
-    def term_ids(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.terms.get, words, repeat(-1)), np.int32, len(words))
+    def term_ids(self, words: Iterable[bytes], n: int) -> np.ndarray:
+        """The terms of ``n`` words; -1 for others."""
+        return np.fromiter(map(self.terms.get, words, repeat(-1)), np.int32, n)
 
 
-def passage_bounds(n: int, stride: int) -> np.ndarray:
-    """First words of the passages of a text of ``n`` words: the last one reaches the end."""
-    return np.arange(0, max(1, n - WINDOW + stride), stride)
+class Passages:
+    """The passages of a batch of texts, and the places of terms that carry weight.
 
+    ``starts`` are the passages' first words among all words of the batch and ``of`` their texts; a
+    text's last passage reaches its end. Passage p holds ``terms[low[p]:high[p]]``.
+    """
+
+    def __init__(self, block: Block, texts: list[list[bytes]], stride: int, idf: np.ndarray | None = None):
+        self.lengths = np.array([len(t) for t in texts], np.int64)
+        self.first = np.cumsum(self.lengths) - self.lengths
+        ids = block.term_ids(chain.from_iterable(texts), int(self.lengths.sum()))
+        # Term -1 reads the last weight, and is masked out by its own sign.
+        at = np.flatnonzero(ids >= 0 if idf is None else (ids >= 0) & (idf[ids] > 0))
+        self.terms = ids[at]
+        n = np.maximum(1, -(-(self.lengths - WINDOW) // stride) + 1)
+        self.of = np.repeat(np.arange(len(texts)), n)
+        self.starts = self.first[self.of] + (np.arange(len(self.of)) - np.repeat(np.cumsum(n) - n, n)) * stride
+        ends = np.minimum(self.starts + WINDOW, (self.first + self.lengths)[self.of])
+        self.low, self.high = np.searchsorted(at, self.starts), np.searchsorted(at, ends)
 
-def _occurrences(block: Block, idf: np.ndarray, words: list[bytes], stride: int):
-    """Terms with weight and where they stand, and for each passage the range of them."""
-    ids = block.term_ids(words)
-    at = np.flatnonzero((ids >= 0) & (idf[ids] > 0))
-    starts = passage_bounds(len(words), stride)
-    return ids[at], starts, np.searchsorted(at, starts), np.searchsorted(at, starts + WINDOW)
+    def rich(self) -> np.ndarray:
+        return np.flatnonzero(self.high - self.low >= LEAST_TERMS)
 
 
 def term_weights(docs: DataFrame, block: Block) -> tuple[np.ndarray, int]:
     """Inverse passage frequency of the terms over all documents, 0 for terms of no use; the passages."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, passages = np.zeros(len(block.terms) + 1, np.int64), 0
-        for (text,) in rows_of(batches, "text"):
-            ids = block.term_ids(words_of(text))
-            passages += -(-len(ids) // WINDOW)
-            at = np.flatnonzero(ids >= 0)
-            if len(at):
-                pairs = np.unique((at // WINDOW) * len(block.terms) + ids[at])
-                found += np.bincount(pairs % len(block.terms), minlength=len(found))
+        found, passages, n = np.zeros(len(block.terms) + 1, np.int64), 0, len(block.terms)
+        for batch in batches:
+            p = Passages(block, [words_of(t) for t in batch.column(0).to_pylist()], WINDOW)
+            passages += len(p.starts)
+            if len(p.terms):
+                cells = np.unique(np.repeat(np.arange(len(p.starts)), p.high - p.low) * n + p.terms)
+                found += np.bincount(cells % n, minlength=n + 1)
         found[-1] = passages
         some = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[some])], names=["term", "n"])
@@ -142,19 +154,14 @@ def singular_vectors(docs: DataFrame, block: Block, idf: np.ndarray, passages: i
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((n_terms, width))
-        held, of, n = [], [], 0
-        for (text,) in rows_of(batches, "text"):
-            terms, _, low, high = _occurrences(block, idf, words_of(text), WINDOW)
-            for a, b in zip(low, high):
-                if b - a >= LEAST_TERMS:
-                    held.append(terms[a:b])
-                    of.append(np.full(b - a, n))
-                    n += 1
-            if n >= 512:
-                gram(np.concatenate(held), np.concatenate(of), n, total)
-                held, of, n = [], [], 0
-        if n:
-            gram(np.concatenate(held), np.concatenate(of), n, total)
+        for batch in batches:
+            p = Passages(block, [words_of(t) for t in batch.column(0).to_pylist()], WINDOW, idf)
+            for part in np.array_split(rich := p.rich(), -(-len(rich) // 1024) or 1):
+                if len(part):
+                    counts = (p.high - p.low)[part]
+                    ends = np.cumsum(counts)
+                    places = np.arange(ends[-1]) + np.repeat(p.low[part] - (ends - counts), counts)
+                    gram(p.terms[places], np.repeat(np.arange(len(part)), counts), len(part), total)
         used = [k for k in range(0, n_terms, ROWS) if total[k : k + ROWS].any()]
         for k in used:
             yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([total[k : k + ROWS].tobytes()], pa.binary())], names=["first", "part"])
@@ -191,40 +198,49 @@ LEAK = "struct<item_id:long,cosine:double,lcs:int,item_words:int,answer_lcs:int,
 _LEAK = pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs", pa.int32()), ("item_words", pa.int32()), ("answer_lcs", pa.int32()), ("answer_words", pa.int32()), ("first_word", pa.int32())])
 
 
-def search(words: list[bytes], block: Block, idf: np.ndarray, weighted: np.ndarray, items: np.ndarray) -> list[dict]:
-    """The leaks of a block's items in a text, at most one per item: the place that covers it best.
+def search(texts: list[list[bytes]], block: Block, idf: np.ndarray, weighted: np.ndarray, items: np.ndarray) -> list[list[dict]]:
+    """For every text the leaks of a block's items, at most one per item: the place that covers it best.
 
     ``weighted`` has the terms' projections times their weights, ``items`` the items' unit ones.
     """
-    terms, starts, low, high = _occurrences(block, idf, words, STRIDE)
-    some = np.flatnonzero(high - low >= LEAST_TERMS)
-    if not len(some):
-        return []
-    best: dict[int, dict] = {}
-    for part in np.array_split(some, -(-len(some) // 1024)):
+    p = Passages(block, texts, STRIDE, idf)
+    best: list[dict[int, dict]] = [{} for _ in texts]
+    rich = p.rich()
+    for part in np.array_split(rich, -(-len(rich) // 1024)) if len(rich) else ():
         # Sums of projected terms over a passage are differences of running sums.
-        a, b = low[part[0]], high[part[-1]]
+        a, b = p.low[part[0]], p.high[part].max()
         sums = np.zeros((b - a + 1, weighted.shape[1]), np.float32)
-        np.cumsum(weighted[terms[a:b]], axis=0, out=sums[1:])
-        cosines = _unit(sums[high[part] - a] - sums[low[part] - a]) @ items.T
-        for p, k in zip(*np.nonzero(cosines >= NEAR)):
-            item, answer, start = block.words[k], block.answers[k], int(starts[part[p]])
-            region = words[max(0, start - len(item)) : start + WINDOW + len(item)]
-            there = set(region)
-            if sum(w in there for w in item) < PARTLY * len(item):
-                continue  # no subsequence can be longer
-            common = lcs(item, region)
-            if common < PARTLY * len(item):
-                continue
-            rare = [w for w in item if idf[block.terms[w]] > 0]
-            if lcs(rare, region) < PARTLY * len(rare) or (not rare and common < len(item)):
-                continue
-            said = lcs(answer, region)
-            if common >= COVERED * len(item) or said >= ANSWERED * len(answer):
-                row = {"item_id": block.ids[k], "cosine": float(cosines[p, k]), "lcs": common, "item_words": len(item), "answer_lcs": said, "answer_words": len(answer), "first_word": start}
-                if k not in best or (common, row["cosine"]) > (best[k]["lcs"], best[k]["cosine"]):
-                    best[k] = row
-    return list(best.values())
+        np.cumsum(weighted[p.terms[a:b]], axis=0, out=sums[1:])
+        cosines = _unit(sums[p.high[part] - a] - sums[p.low[part] - a]) @ items.T
+        for i, k in zip(*(x.tolist() for x in np.nonzero(cosines >= NEAR))):
+            text = int(p.of[part[i]])
+            start = int(p.starts[part[i]] - p.first[text])
+            leak = aligned(texts[text], start, block, k, idf)
+            if leak:
+                leak["cosine"] = float(cosines[i, k])
+                had = best[text].get(k)
+                if had is None or (leak["lcs"], leak["cosine"]) > (had["lcs"], had["cosine"]):
+                    best[text][k] = leak
+    return [list(x.values()) for x in best]
+
+
+def aligned(words: list[bytes], start: int, block: Block, k: int, idf: np.ndarray) -> dict | None:
+    """The leak of item ``k`` around the passage at ``start``, if it is one."""
+    item, answer = block.words[k], block.answers[k]
+    region = words[max(0, start - len(item)) : start + WINDOW + len(item)]
+    there = set(region)
+    if sum(w in there for w in item) < PARTLY * len(item):
+        return None  # no subsequence can be longer
+    common = lcs(item, region)
+    if common < PARTLY * len(item):
+        return None
+    rare = [w for w in item if idf[block.terms[w]] > 0]
+    if lcs(rare, region) < PARTLY * len(rare) or (not rare and common < len(item)):
+        return None
+    said = lcs(answer, region)
+    if common < COVERED * len(item) and said < ANSWERED * len(answer):
+        return None
+    return {"item_id": block.ids[k], "lcs": common, "item_words": len(item), "answer_lcs": said, "answer_words": len(answer), "first_word": start}
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -244,24 +260,25 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, columns: list[str] | None
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         block = Block([tuple(r) for r in part.collect()])
         if block.ids:
-            out = _searched(out, block, *term_weights(docs, block))
+            # Once the last block is searched, only what is asked for leaves the tasks.
+            out = _searched(out, block, *term_weights(docs, block), [*columns, "leaks"] if k == blocks - 1 else out.columns)
     return out.select(*columns, "leaks")
 
 
-def _searched(docs: DataFrame, block: Block, idf: np.ndarray, passages: int) -> DataFrame:
-    axes = singular_vectors(docs, block, idf, passages)
+def _searched(docs: DataFrame, block: Block, idf: np.ndarray, passages: int, keep: list[str]) -> DataFrame:
+    axes = singular_vectors(docs.select("text"), block, idf, passages)
     weighted = (idf[:, None] * axes).astype(np.float32)
-    items = _unit(np.array([weighted[t].sum(axis=0) for t in map(block.term_ids, block.words)])).astype(np.float32)
+    items = _unit(np.array([weighted[t].sum(axis=0) for t in (block.term_ids(w, len(w)) for w in block.words)])).astype(np.float32)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             names = b.schema.names
-            before = b.column(names.index("leaks")).to_pylist()
-            found = [x + search(words_of(t), block, idf, weighted, items) for x, t in zip(before, b.column(names.index("text")).to_pylist())]
-            columns = [pa.array(found, pa.list_(_LEAK)) if n == "leaks" else c for n, c in zip(names, b.columns)]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            texts = [words_of(t) for t in b.column(names.index("text")).to_pylist()]
+            found = [x + y for x, y in zip(b.column(names.index("leaks")).to_pylist(), search(texts, block, idf, weighted, items))]
+            columns = [pa.array(found, pa.list_(_LEAK)) if n == "leaks" else b.column(names.index(n)) for n in keep]
+            yield pa.RecordBatch.from_arrays(columns, names=keep)
 
-    return docs.mapInArrow(task, docs.schema)
+    return docs.mapInArrow(task, T.StructType([docs.schema[c] for c in keep]))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
