@@ -113,5 +113,3 @@ def test_constant_column_has_scale_one(spark):
 def test_label_codes_follow_the_alphabet(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",), (None,)], "name string")
     assert {r.name: r.code for r in M.label_codes(df, "name").collect()} == {"a": 0, "b": 1, "c": 2}
-    with pytest.raises(ValueError):
-        M.label_codes(df, "name", limit=2)
