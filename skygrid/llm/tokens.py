@@ -10,6 +10,7 @@ small, and pages carry an index: a read of a few documents or of the lengths alo
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -44,7 +45,7 @@ def default_tokenizer() -> str:
 
 
 #: Encoded pieces a worker keeps; about 200 bytes each.
-KEPT_PIECES = 600_000
+KEPT_PIECES = 1_000_000
 
 
 class Encoder:
@@ -73,14 +74,19 @@ class Encoder:
 
         class Pieces(dict):
             def __missing__(self, piece: str) -> bytes:
-                self[piece] = ids = encoder.by_pattern(" " + piece)
+                # Letters after a space are one word of the pattern.
+                words = [" " + piece] if piece.isalpha() else encoder.cut(" " + piece)
+                self[piece] = ids = encoder.ids_of(words)
                 return ids
 
         self.pieces = Pieces()
 
+    def ids_of(self, words: list[str]) -> bytes:
+        ids = [t.id for x in words for t in self.model.tokenize(x.encode("utf-8", "replace").decode("latin-1").translate(self.alphabet))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def by_pattern(self, text: str) -> bytes:
-        ids = [t.id for x in self.cut(text) for t in self.model.tokenize(x.encode("utf-8", "replace").decode("latin-1").translate(self.alphabet))]
-        return np.array(ids, "<u4").tobytes()
+        return self.ids_of(self.cut(text))
 
     def encode(self, text: str) -> bytes:
         if len(self.pieces) > KEPT_PIECES:
