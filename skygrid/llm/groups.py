@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from skygrid.llm.common import semi, written
 
 #: Rounds of the first kind, and the ids of a key's largest group that others are paired with.
-ROUNDS, PARTNERS = 4, 8
+ROUNDS, PARTNERS = 2, 16
 
 
 def connected(edges: DataFrame) -> DataFrame:
