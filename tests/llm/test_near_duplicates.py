@@ -179,3 +179,42 @@ def test_simhash_is_the_majority_of_bits(spark):
         taken = sorted(set(hashes))[: lines.FEATURES]
         want = sum((2 * sum((h % (1 << 64)) >> b & 1 for h in taken) > len(taken)) << b for b in range(60))
         assert out[k] == want, k
+
+
+def test_near_lines_meet_at_any_length_and_edit(spark):
+    """One original line and its edited copy per length and kind of edit: what brute force finds goes."""
+    rng = random.Random(11)
+    common = [f"c{i}" for i in range(30)]
+    pairs = []
+    for n in (5, 9, 10, 15, 20, 30, 60, 120, 200):
+        for most in {1, max(1, n // 10), n // 5}:
+            for kind in ("replace", "insert", "delete", "spread"):
+                for _ in range(2):
+                    a = [rng.choice(common) if rng.random() < 0.4 else f"w{rng.randint(0, 20_000)}" for _ in range(n)]
+                    b = list(a)
+                    for k in range(most):
+                        at = (k * 5 + 2) % n if kind == "spread" else rng.randrange(len(b))
+                        if kind in ("replace", "spread"):
+                            b[at] = f"n{rng.randint(0, 99_999)}"
+                        elif kind == "insert":
+                            b.insert(at, f"n{rng.randint(0, 99_999)}")
+                        else:
+                            del b[at]
+                    pairs.append((n, " ".join(a), " ".join(b)))
+    rows = [x for k, (_, a, b) in enumerate(pairs) for x in ((2 * k, a), (2 * k + 1, b))]
+    docs = spark.createDataFrame([(i, t, "l", "c", 1, 2) for i, t in rows], SCHEMA)
+    gone = {r.doc_id for r in lines.dedup_lines(docs).collect() if r.lines_removed}
+    assert not any(i % 2 == 0 for i in gone)
+    near = {2 * k + 1: n for k, (n, a, b) in enumerate(pairs) if len(b.split()) >= 5 and distance(a.split(), b.split()) <= max(len(a.split()), len(b.split())) // 5}
+    assert gone <= set(near) or all(distance(*(x.split() for x in pairs[i // 2][1:])) <= len(pairs[i // 2][1].split()) // 5 + 2 for i in gone - set(near))
+    for n in {*near.values()}:
+        asked = [i for i in near if near[i] == n]
+        assert sum(i in gone for i in asked) >= 0.95 * len(asked), n
+
+
+def test_near_lines_of_one_word_go(spark):
+    """The bound of test_near_lines_go_and_others_stay before its band was narrowed."""
+    rng = random.Random(9)
+    words = prose(rng, 120)
+    docs = spark.createDataFrame([(k, " ".join([*words[:-1], f"end{k}"]), "l", "c", 1, 2) for k in range(30)], SCHEMA)
+    assert sum(r.lines_removed == 0 for r in lines.dedup_lines(docs).collect()) <= 6
