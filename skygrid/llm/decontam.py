@@ -13,6 +13,10 @@ block, over all documents:
    ``COVERED`` of the item, or ``PARTLY`` of it with its answer (the last line or sentence) there;
    either way it covers ``PARTLY`` of the item's words that carry weight, since frequent words stand
    in much the same order anywhere.
+4. Items with few words that carry weight (made of frequent words, or frequent themselves as they leaked
+   into many passages) have next to no vector. Their places are those with ``MET`` of the item's pairs
+   of neighbouring words; a leak needs ``SPELLED`` of them in place of words that carry weight. The
+   alignment is the same; the cosine of what only this way finds is 0.
 
 Tasks hold the block's term table and singular vectors: sizes that follow the block, not the corpus.
 """
@@ -38,6 +42,10 @@ MOST_SHARE = 0.02
 LEAST_TERMS = 3
 NEAR, COVERED, PARTLY, ANSWERED = 0.4, 0.7, 0.5, 0.7
 MIN_ITEM_WORDS = 5
+#: Items have few weighted words below ``LEAST_WEIGHTED`` or this share of their words. A text with 0.7 of
+#: an item's words, others in place of the rest, has 0.4 of its pairs at least.
+LEAST_WEIGHTED, WEIGHTED = 6, 0.25
+MET, SPELLED = 0.25, 0.4
 ROWS = 64  # terms in a row of a summed matrix
 
 _SPACED = bytes(32 if b < 128 and not chr(b).isalnum() else ord(chr(b).lower()) if b < 128 else b for b in range(256))
@@ -82,6 +90,54 @@ class Block:
         return np.fromiter(map(self.terms.get, words, repeat(-1)), np.int32, n)
 
 
+class Frequent:
+    """The items with few words that carry weight, by their pairs of neighbouring words."""
+
+    def __init__(self, block: Block, idf: np.ndarray):
+        self.n = len(block.terms)
+        self.pairs: dict[int, set[tuple[bytes, bytes]]] = {}
+        items, codes = [], []
+        for k, words in enumerate(block.words):
+            ids = block.term_ids(words, len(words)).astype(np.int64)
+            if (idf[ids] > 0).sum() < max(LEAST_WEIGHTED, WEIGHTED * len(words)):
+                self.pairs[k] = set(zip(words, words[1:]))
+                own = np.unique(ids[:-1] * self.n + ids[1:])
+                items.append(np.full(len(own), k))
+                codes.append(own)
+        both = np.concatenate(codes) if codes else np.zeros(0, np.int64)
+        order = np.argsort(both, kind="stable")
+        self.codes, self.items = both[order], np.concatenate(items)[order] if items else both
+        self.least = np.array([MET * len(self.pairs.get(k, ())) for k in range(len(block.words))])
+
+    def spelled(self, k: int, region: list[bytes]) -> float:
+        """The share of item ``k``'s pairs in a region; 0 for items found by their weighted words."""
+        pairs = self.pairs.get(k)
+        return len(pairs.intersection(zip(region, region[1:]))) / len(pairs) if pairs else 0.0
+
+    def places(self, p: Passages) -> Iterator[tuple[int, int, int]]:
+        """(text, first word of a passage, item) of the passages of texts that have enough of an item's pairs."""
+        if not len(self.codes) or len(p.ids) < 2:
+            return
+        ids = p.ids.astype(np.int64)
+        code = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * self.n + ids[1:], -1)
+        low, high = np.searchsorted(self.codes, code), np.searchsorted(self.codes, code, "right")
+        at = np.flatnonzero(high > low)
+        if not len(at):
+            return
+        times = (high - low)[at]
+        places = np.repeat(at, times)
+        rows = np.arange(times.sum()) + np.repeat(low[at] - (np.cumsum(times) - times), times)
+        text = np.searchsorted(p.first + p.lengths, places, "right")
+        # Different pairs per text and item.
+        cell = text * len(self.least) + self.items[rows]
+        cells, pairs = np.unique(np.unique(cell * len(self.codes) + rows) // len(self.codes), return_counts=True)
+        enough = cells[pairs >= self.least[cells % len(self.least)]]
+        kept = np.isin(cell, enough)
+        starts = (places - p.first[text])[kept] // STRIDE * STRIDE
+        for c, start in sorted(set(zip(cell[kept].tolist(), starts.tolist()))):
+            yield c // len(self.least), start, c % len(self.least)
+
+
 class Passages:
     """The passages of a batch of texts, and the places of terms that carry weight.
 
@@ -95,7 +151,7 @@ class Passages:
         ids = block.term_ids(chain.from_iterable(texts), int(self.lengths.sum()))
         # Term -1 reads the last weight, and is masked out by its own sign.
         at = np.flatnonzero(ids >= 0 if idf is None else (ids >= 0) & (idf[ids] > 0))
-        self.terms = ids[at]
+        self.ids, self.terms = ids, ids[at]
         n = np.maximum(1, -(-(self.lengths - WINDOW) // stride) + 1)
         self.of = np.repeat(np.arange(len(texts)), n)
         self.starts = self.first[self.of] + (np.arange(len(self.of)) - np.repeat(np.cumsum(n) - n, n)) * stride
@@ -198,11 +254,20 @@ LEAK = "struct<item_id:long,cosine:double,lcs:int,item_words:int,answer_lcs:int,
 _LEAK = pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs", pa.int32()), ("item_words", pa.int32()), ("answer_lcs", pa.int32()), ("answer_words", pa.int32()), ("first_word", pa.int32())])
 
 
-def search(texts: list[list[bytes]], block: Block, idf: np.ndarray, weighted: np.ndarray, items: np.ndarray) -> list[list[dict]]:
+def search(texts: list[list[bytes]], block: Block, frequent: Frequent, idf: np.ndarray, weighted: np.ndarray, items: np.ndarray) -> list[list[dict]]:
     """For every text the leaks of a block's items, at most one per item: the place that covers it best.
 
     ``weighted`` has the terms' projections times their weights, ``items`` the items' unit ones.
     """
+
+    def note(text: int, start: int, k: int, cosine: float) -> None:
+        leak = aligned(texts[text], start, block, k, idf, frequent)
+        if leak:
+            leak["cosine"] = cosine
+            had = best[text].get(k)
+            if had is None or (leak["lcs"], leak["cosine"]) > (had["lcs"], had["cosine"]):
+                best[text][k] = leak
+
     p = Passages(block, texts, STRIDE, idf)
     best: list[dict[int, dict]] = [{} for _ in texts]
     rich = p.rich()
@@ -214,17 +279,13 @@ def search(texts: list[list[bytes]], block: Block, idf: np.ndarray, weighted: np
         cosines = _unit(sums[p.high[part] - a] - sums[p.low[part] - a]) @ items.T
         for i, k in zip(*(x.tolist() for x in np.nonzero(cosines >= NEAR))):
             text = int(p.of[part[i]])
-            start = int(p.starts[part[i]] - p.first[text])
-            leak = aligned(texts[text], start, block, k, idf)
-            if leak:
-                leak["cosine"] = float(cosines[i, k])
-                had = best[text].get(k)
-                if had is None or (leak["lcs"], leak["cosine"]) > (had["lcs"], had["cosine"]):
-                    best[text][k] = leak
+            note(text, int(p.starts[part[i]] - p.first[text]), k, float(cosines[i, k]))
+    for text, start, k in frequent.places(p):
+        note(text, start, k, 0.0)
     return [list(x.values()) for x in best]
 
 
-def aligned(words: list[bytes], start: int, block: Block, k: int, idf: np.ndarray) -> dict | None:
+def aligned(words: list[bytes], start: int, block: Block, k: int, idf: np.ndarray, frequent: Frequent) -> dict | None:
     """The leak of item ``k`` around the passage at ``start``, if it is one."""
     item, answer = block.words[k], block.answers[k]
     region = words[max(0, start - len(item)) : start + WINDOW + len(item)]
@@ -235,7 +296,7 @@ def aligned(words: list[bytes], start: int, block: Block, k: int, idf: np.ndarra
     if common < PARTLY * len(item):
         return None
     rare = [w for w in item if idf[block.terms[w]] > 0]
-    if lcs(rare, region) < PARTLY * len(rare) or (not rare and common < len(item)):
+    if (not rare or lcs(rare, region) < PARTLY * len(rare)) and (k not in frequent.pairs or frequent.spelled(k, region) < SPELLED):
         return None
     said = lcs(answer, region)
     if common < COVERED * len(item) and said < ANSWERED * len(answer):
@@ -268,13 +329,14 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, columns: list[str] | None
 def _searched(docs: DataFrame, block: Block, idf: np.ndarray, passages: int, keep: list[str]) -> DataFrame:
     axes = singular_vectors(docs.select("text"), block, idf, passages)
     weighted = (idf[:, None] * axes).astype(np.float32)
+    frequent = Frequent(block, idf)
     items = _unit(np.array([weighted[t].sum(axis=0) for t in (block.term_ids(w, len(w)) for w in block.words)])).astype(np.float32)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             names = b.schema.names
             texts = [words_of(t) for t in b.column(names.index("text")).to_pylist()]
-            found = [x + y for x, y in zip(b.column(names.index("leaks")).to_pylist(), search(texts, block, idf, weighted, items))]
+            found = [x + y for x, y in zip(b.column(names.index("leaks")).to_pylist(), search(texts, block, frequent, idf, weighted, items))]
             columns = [pa.array(found, pa.list_(_LEAK)) if n == "leaks" else b.column(names.index(n)) for n in keep]
             yield pa.RecordBatch.from_arrays(columns, names=keep)
 

@@ -73,3 +73,26 @@ def test_answer_and_words():
     assert decontam.answer_of("A b. C d?\nE f g.") == [b"e", b"f", b"g"]
     assert decontam.answer_of("A b. C d? ") == [b"c", b"d"]
     assert decontam.answer_of("") == []
+
+
+def test_items_in_a_third_of_the_rows_are_found(spark, data):
+    """One item in a third of the texts, copied or with a fifth of its words changed; one of frequent words only."""
+    items, docs, planted = data
+    rng = random.Random(12)
+    spread = [f"s{i}" for i in range(36)]
+    plain = " ".join(f"c{i}" for i in rng.sample(range(40), 12))
+    items = [*items, (70, "\n".join(" ".join(spread[i : i + 12]) for i in (0, 12, 24))), (71, plain)]
+    table, want = [], set(planted)
+    for d, text in docs:
+        words, text = text.split(), []
+        if d % 3 == 0:
+            text = [w if d % 2 or i >= 24 or rng.random() > 0.2 else "c3" for i, w in enumerate(spread)]
+            want.add((d, 70))
+        elif d % 50 == 1:
+            text = plain.split()
+            want.add((d, 71))
+        # At the end: planted items stay whole.
+        table.append((d, " ".join([*words, "then", *text, "and", f"e{d}"]), "x", 1, 2))
+    rows = decontam.leaks(spark.createDataFrame(table, SCHEMA).repartition(4), spark.createDataFrame([(i, t, 1) for i, t in items], ITEMS)).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == want
+    assert len(rows) == len(want)
