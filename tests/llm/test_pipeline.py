@@ -62,3 +62,12 @@ def test_registered():
     names = set(entry.queries())
     assert {"pipeline", *(f"op{n}" for n in range(1, 11))} <= {n.split("_")[0] for n in names}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "near duplicates", "benchmark decontamination", "best-fit packing"]
+
+
+def test_short_lines_of_its_own_keep_a_document(spark):
+    shared = "this footer stands under many documents"
+    verse = "\n".join(f"line {k} of verse" for k in range(30))
+    rows = [(1, shared), (2, verse + "\n" + shared), (3, shared + "\n --- \n")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    left = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert left == {1: shared, 2: verse}
