@@ -17,6 +17,15 @@ from pyspark.sql import functions as F
 
 from skygrid.llm.common import BROADCAST_ROWS, lower_ascii, written
 
+#: Suffixes of several labels under which sites of different owners are registered: common ones, not the
+#: whole public list, which callers pass as ``suffixes``.
+SUFFIXES = tuple(
+    "ac.uk co.uk gov.uk ltd.uk me.uk net.uk nhs.uk org.uk plc.uk sch.uk com.au edu.au gov.au id.au net.au org.au ac.nz co.nz govt.nz net.nz org.nz "
+    "ac.jp co.jp go.jp ne.jp or.jp ac.kr co.kr go.kr or.kr com.cn edu.cn gov.cn net.cn org.cn com.hk com.tw com.sg com.my com.ph com.vn co.id go.id "
+    "or.id ac.id co.th or.th ac.in co.in gov.in net.in org.in com.br gov.br net.br org.br com.ar com.mx com.co com.pe com.tr com.ua com.pl co.il "
+    "co.za org.za com.eg com.ng co.ke com.sa github.io gitlab.io blogspot.com wordpress.com herokuapp.com netlify.app vercel.app pages.dev web.app".split()
+)
+
 URL_PATTERN = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -54,13 +63,25 @@ def longest_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return F.array_max(F.array(*fitting))
 
 
-def domain_of(host: Column) -> Column:
-    """The last two labels of a host: its registered domain where suffixes have one label."""
-    return F.substring_index(host, ".", -2)
+def _labels(host: Column, suffixes: Sequence[str], more: int) -> Column:
+    """The last labels of a host, ``more`` than the longest of ``suffixes`` it ends with has, or than one."""
+    by_size: dict[int, list[str]] = {}
+    for s in suffixes:
+        by_size.setdefault(s.count(".") + 1, []).append(s)
+    out = F.substring_index(host, ".", -1 - more)
+    for n in sorted(by_size):
+        out = F.when(F.substring_index(host, ".", -n).isin(by_size[n]), F.substring_index(host, ".", -n - more)).otherwise(out)
+    return out
+
+
+def domain_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """The registered domain of a host: its suffix and one label."""
+    return _labels(host, suffixes, 1)
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def suffix_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """The longest of ``suffixes`` that a host ends with, else its last label."""
+    return _labels(host, suffixes, 0)
 
 
 def _level(groups: DataFrame, key: str, mean: Column, most_weight: float = 1e4) -> DataFrame:
@@ -84,13 +105,13 @@ def _level(groups: DataFrame, key: str, mean: Column, most_weight: float = 1e4)
     )
 
 
-def reputations(hosts: DataFrame, z: float = 1.645) -> DataFrame:
+def reputations(hosts: DataFrame, z: float = 1.645, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """host, alpha, beta, bad_mean, bad_low (lower posterior bound) from rows (host, n, bad), one per host.
 
     The bound is the beta posterior's normal one, mean - z sd. Without any label every host has the
     flat prior's mean.
     """
-    named = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+    named = hosts.withColumn("domain", domain_of(F.col("host"), suffixes)).withColumn("suffix", suffix_of(F.col("host"), suffixes))
     named = written(named, "hosts")  # each level reads its groups twice
     total = named.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1.0) / (F.coalesce(F.sum("n"), F.lit(0)) + 2.0)).alias("all_mean"))
     suffixes = named.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("all_mean", total.scalar())
@@ -115,7 +136,7 @@ def outcomes_by_host(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     return seen.unionByName(labelled).groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], most_bad: float = 0.5, z: float = 1.645) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], most_bad: float = 0.5, z: float = 1.645, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """page_id, host, path, rule, verdict for every row of ``pages`` (page_id, url).
 
     Null urls and urls without ``://`` have an empty host and path and are judged as that host.
@@ -123,7 +144,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], most_bad
     """
     host, path = parts(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("fit", longest_rule(F.col("host"), F.col("path"), rules))
-    known = reputations(outcomes_by_host(rows.select("page_id", "host"), outcomes), z)
+    known = reputations(outcomes_by_host(rows.select("page_id", "host"), outcomes), z, suffixes)
     worst = known.filter(F.col("bad_low") > most_bad).select("host", F.lit(True).alias("bad_host"), "bad_mean")
     worst = written(worst, "bad-hosts")
     # Only bad hosts are looked up. Too many to broadcast, they meet the pages in a sort-merge join,

@@ -60,3 +60,18 @@ def test_longest_rule_is_one_expression(spark, rules):
 
     row = spark.range(1).select(urls.longest_rule(F.lit("a.org"), F.lit("/x"), rules).alias("r")).first()
     assert (row.r.rule if row.r else None) == ("org/" if rules else None)
+
+
+def test_sites_under_a_shared_suffix_are_apart(spark):
+    from pyspark.sql import functions as F
+
+    want = {"a.b.co.uk": ("co.uk", "b.co.uk"), "co.uk": ("co.uk", "co.uk"), "me.github.io": ("github.io", "me.github.io"), "x.a.com": ("com", "a.com"), "com": ("com", "com"), "": ("", "")}
+    rows = spark.createDataFrame([(h,) for h in want], "host string").select("host", urls.suffix_of(F.col("host")).alias("s"), urls.domain_of(F.col("host")).alias("d"))
+    assert {r.host: (r.s, r.d) for r in rows.collect()} == want
+    given = spark.createDataFrame([("w.x.y.z",)], "host string").select(urls.domain_of(F.col("host"), ["y.z"]).alias("d"), urls.domain_of(F.col("host"), ["x.y.z", "y.z"]).alias("e")).first()
+    assert tuple(given) == ("x.y.z", "w.x.y.z")
+    # A bad site under co.uk says as little about another there as under a suffix of one label.
+    for suffix in ("co.uk", "net"):
+        hosts = [(f"www.s{i}.{suffix}", 200, 10 + i % 5) for i in range(40)] + [(f"h{i}.spam.{suffix}", 200, 190) for i in range(5)] + [(f"new.spam.{suffix}", 0, 0), (f"new.{suffix}", 0, 0)]
+        out = {r.host: r.bad_mean for r in urls.reputations(spark.createDataFrame(hosts, "host string, n long, bad long")).collect()}
+        assert out[f"new.spam.{suffix}"] > 0.8 and out[f"new.{suffix}"] < 0.3, suffix
