@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygrid.llm import chat, decontam, lines, minhash, mixing, packing, pages, quality, tokens, urls
+from skygrid.llm import alignment, bpe, chat, decontam, lines, merkle, minhash, mixing, packing, pages, quality, tokens, urls
+from skygrid.llm.common import lower_ascii
 from skygrid.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +161,76 @@ def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in a document."""
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof in the manifest; a third of them are folded with tampered texts."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    text = F.when(tampered, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    return merkle.verify(merkle.manifest_of(docs, changed={"text": text})).withColumnRenamed("id", "doc_id")
+
+
+def _merkle_sql(levels: int = 7) -> str:
+    """Lists of digests per language and level; trees of up to 8 ** levels leaves."""
+
+    def parents(nodes: str) -> str:
+        run = f"array_to_string(list_slice({nodes}, 8 * i + 1, 8 * i + 8), '')"
+        return f"CASE WHEN len({nodes}) > 1 THEN list_transform(range((len({nodes}) + 7) // 8), lambda i: sha256({run})) ELSE {nodes} END"
+
+    def up(nodes: str, at: str, cur: str, proof: str) -> tuple[str, str]:
+        left, right = f"array_to_string(list_slice({nodes}, 8 * ({at} // 8) + 1, {at}), '')", f"array_to_string(list_slice({nodes}, {at} + 2, 8 * ({at} // 8) + 8), '')"
+        return (
+            f"CASE WHEN len({nodes}) > 1 THEN sha256({left} || {cur} || {right}) ELSE {cur} END",
+            f"{proof} || CASE WHEN len({nodes}) > 1 THEN {left} || {right} ELSE '' END",
+        )
+
+    def leaf(text: str) -> str:
+        values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    number = "CAST(doc_id AS VARCHAR)"
+    fed = f"CAST(xor(c, CASE WHEN i % 8 = 0 THEN ord(substr({number}, i // 8 + 1, 1)) ELSE 0 END) AS BIGINT)"
+    bit = f"xor({fed} >> 1, CASE WHEN {fed} % 2 = 1 THEN 3988292384 ELSE 0 END)"
+    crc = f"xor(4294967295, list_reduce(range(8 * length({number})), lambda c, i: {bit}, CAST(4294967295 AS BIGINT)))"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    changed = f"CASE WHEN {crc} % 3 = 0 THEN translate(text, '{upper}', '{lower}') ELSE text END"
+    ctes = [
+        f"d AS (SELECT doc_id, lang, {leaf('text')} AS leaf, {leaf('t')} AS f0 FROM (SELECT *, {changed} AS t FROM documents))",
+        "o AS (SELECT *, '' AS p0, CAST(row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS BIGINT) AS pos FROM d)",
+        "l0 AS (SELECT lang, list(leaf ORDER BY pos) AS n0 FROM o GROUP BY lang)",
+    ]
+    for k in range(levels):
+        ctes.append(f"l{k + 1} AS (SELECT *, {parents(f'n{k}')} AS n{k + 1} FROM l{k})")
+    ctes.append(f"s AS (SELECT *, n{levels}[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS section FROM l{levels})")
+    ctes.append("t0 AS (SELECT list(subroot ORDER BY section) AS m0 FROM s)")
+    for k in range(levels):
+        ctes.append(f"t{k + 1} AS (SELECT *, {parents(f'm{k}')} AS m{k + 1} FROM t{k})")
+    ctes.append(f"x0 AS (SELECT o.*, s.* EXCLUDE (lang), t{levels}.* FROM o JOIN s ON o.lang IS NOT DISTINCT FROM s.lang, t{levels})")
+    for k in range(levels):
+        f, p = up(f"n{k}", f"(pos // {8**k})", f"f{k}", f"p{k}")
+        ctes.append(f"x{k + 1} AS (SELECT *, {f} AS f{k + 1}, {p} AS p{k + 1} FROM x{k})")
+    ctes.append(f"y0 AS (SELECT *, f{levels} AS g0, p{levels} AS q0 FROM x{levels})")
+    for k in range(levels):
+        f, p = up(f"m{k}", f"(section // {8**k})", f"g{k}", f"q{k}")
+        ctes.append(f"y{k + 1} AS (SELECT *, {f} AS g{k + 1}, {p} AS q{k + 1} FROM y{k})")
+    return (
+        "WITH " + ",\n".join(ctes) + f"\nSELECT doc_id, leaf, subroot, m{levels}[1] AS root, sha256(q{levels}) AS proof_sha256, g{levels} AS folded_root, g{levels} = m{levels}[1] AS verified FROM y{levels}"
+    )
+
+
+ORACLE_SQL["op11_merkle_manifest"] = _merkle_sql(5)
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of two vocabularies, aligned by their bytes."""
+    return alignment.alignments(table(spark, sf_dir, "documents"), spelled=False).drop("groups")
+
+
+@query
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, and decoded again."""
+    path = tokens.default_tokenizer()
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path), path)
