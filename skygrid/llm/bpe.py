@@ -10,7 +10,9 @@ words with a pair that fails are merged one by one.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
+import struct
 from collections.abc import Iterable, Iterator
 from functools import cached_property
 
@@ -20,8 +22,12 @@ from pyspark.sql import DataFrame
 
 from skygrid.llm.common import small_batches, worker_state
 
-#: Words and pieces a worker keeps; about 200 bytes each.
-KEPT = 500_000
+#: Pieces of text a worker keeps; about 200 bytes each.
+KEPT = 1_000_000
+#: Longer words are merged with a heap.
+LONG_WORD = 100
+#: Between words; no byte of a word.
+BREAK = "\uffff"
 NEVER = np.iinfo(np.int64).max
 
 
@@ -44,15 +50,17 @@ class Merges:
         self.tokens, self.ids = tokens, ids
         self.rank = np.full(size, -1, np.int64)  # of the merge that makes a token; -1: a byte
         self.left, self.right = np.arange(size), np.arange(size)
-        self.pair_rank: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank_by_key: dict[int, int] = {}  # by left id * size + right id
+        self.made: list[int] = []  # by rank
         ordered = True
         for rank, (a, b) in enumerate(merges):
             a, b, c = ids[a], ids[b], ids[a + b]
-            self.pair_rank.setdefault((a, b), (rank, c))
+            self.rank_by_key.setdefault(a * size + b, rank)
+            self.made.append(c)
             ordered &= self.rank[c] < 0 and len(tokens[c]) > 1 and all(len(tokens[x]) == 1 or self.rank[x] >= 0 for x in (a, b))
             self.rank[c], self.left[c], self.right[c] = rank, a, b
-        keys = np.array([a * size + b for a, b in self.pair_rank] or [-1], np.int64)
-        ranks = np.array([r for r, _ in self.pair_rank.values()] or [NEVER], np.int64)
+        keys = np.array(list(self.rank_by_key) or [-1], np.int64)
+        ranks = np.array(list(self.rank_by_key.values()) or [NEVER], np.int64)
         order = np.argsort(keys)
         self.size, self._keys, self._ranks = size, keys[order], ranks[order]
         #: Speculation needs one merge per token, made after its parts; else all words are merged.
@@ -99,74 +107,99 @@ class Merges:
         return {b: i for i, b in self.tokens.items() if fits[i]}
 
     @cached_property
-    def longest(self) -> dict[int, int]:
-        """Length of the longest token by first byte."""
-        out: dict[int, int] = {}
-        for b in self.whole:
-            out[b[0]] = max(out.get(b[0], 0), len(b))
+    def _automaton(self):
+        """Finds the longest token at each place of many words at once; BREAK stands between words."""
+        import ahocorasick
+
+        out = ahocorasick.Automaton()
+        for b, i in self.whole.items():
+            out.add_word(b.decode("latin-1"), i)
+        out.add_word(BREAK, -1)
+        out.make_automaton()
         return out
 
-    def propose(self, word: bytes) -> list[int]:
-        """The longest token at each place, from the left."""
-        whole, out, at = self.whole, [], 0
-        if word in whole:
-            return [whole[word]]
-        while at < len(word):
-            end = min(len(word), at + self.longest[word[at]])
-            while word[at:end] not in whole:
-                end -= 1
-            out.append(whole[word[at:end]])
-            at = end
-        return out
-
-    def merge(self, word: bytes) -> list[int]:
-        """The exact encoding: the merge of lowest rank first, the leftmost of equal ones.
+    def propose(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The longest token at each place, from the left: (word's number, id) of every token."""
+        text = BREAK.join(w.decode("latin-1") for w in words)
+        ids = np.fromiter((i for _, i in self._automaton.iter_long(text)), np.int64)
+        breaks = ids < 0
+        return np.cumsum(breaks)[~breaks], ids[~breaks]
 
-        Neighbours wait in a heap by (rank, place); parts that are gone are passed over.
-        """
-        import heapq
+    @cached_property
+    def _bytes(self) -> tuple[list[int], list[int]]:
+        """The id of every byte, and the rank of every two bytes."""
+        ids = [self.ids.get(bytes([x]), -1) for x in range(256)]
+        return ids, [self.rank_by_key.get(a * self.size + b, NEVER) for a in ids for b in ids]
 
+    def merge(self, word: bytes) -> list[int]:
+        """The exact encoding: the merge of lowest rank first, the leftmost of equal ones."""
+        if len(word) > LONG_WORD:
+            return self._merge_long(word)
+        size, rank_by_key, made, by_byte, of_bytes = self.size, self.rank_by_key, self.made, *self._bytes
+        parts = [by_byte[x] for x in word]
+        ranks = [of_bytes[x << 8 | y] for x, y in zip(word, word[1:])]
+        while ranks and (r := min(ranks)) != NEVER:
+            i = ranks.index(r)
+            parts[i : i + 2] = [c] = [made[r]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank_by_key.get(parts[i - 1] * size + c, NEVER)
+            if i < len(ranks):
+                ranks[i] = rank_by_key.get(c * size + parts[i + 1], NEVER)
+        return parts
+
+    def _merge_long(self, word: bytes) -> list[int]:
+        """The same for words of any length: neighbours wait in a heap by (rank, place), and those
+        of which a part is gone are passed over."""
         parts = [self.ids[word[i : i + 1]] for i in range(len(word))]
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-        heap = []
+        heap: list[tuple[int, int, int, int, int]] = []
 
         def offer(i: int, j: int) -> None:
-            if i >= 0 and j < len(parts) and (found := self.pair_rank.get((parts[i], parts[j]))):
-                heapq.heappush(heap, (found[0], i, j, parts[i], parts[j], found[1]))
+            if i >= 0 and j < len(parts) and (r := self.rank_by_key.get(parts[i] * self.size + parts[j])) is not None:
+                heapq.heappush(heap, (r, i, j, parts[i], parts[j]))
 
         for i in range(len(parts) - 1):
             offer(i, i + 1)
         while heap:
-            _, i, j, a, b, c = heapq.heappop(heap)
+            r, i, j, a, b = heapq.heappop(heap)
             if parts[i] != a or parts[j] != b or after[i] != j:
                 continue
-            parts[i], parts[j], after[i] = c, -1, after[j]
+            parts[i], parts[j], after[i] = self.made[r], -1, after[j]
             if after[j] < len(parts):
                 before[after[j]] = i
             offer(before[i], i)
             offer(i, after[i])
         return [p for p in parts if p >= 0]
 
-    def encode(self, words: list[bytes]) -> list[list[int]]:
-        """Every word's ids: proposed, checked all at once, merged where the check fails."""
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Every word's ids as little-endian 32-bit bytes: proposed, checked all at once, and merged
+        where the check fails. Words are not empty."""
+        if not words:
+            return []
         if not self.ordered:
-            return [self.merge(w) for w in words]
-        proposed = [self.propose(w) for w in words]
-        sizes = np.array([len(p) for p in proposed], np.int64)
-        ids = np.array([i for p in proposed for i in p], np.int64)
-        owner = np.repeat(np.arange(len(words)), sizes)
-        inside = owner[1:] == owner[:-1]
-        pairs, place = np.unique(ids[:-1][inside] * self.size + ids[1:][inside], return_inverse=True)
+            return [_packed(self.merge(w)) for w in words]
+        owner, ids = self.propose(words)
+        inside = np.flatnonzero(owner[1:] == owner[:-1])
+        pairs, place = np.unique(ids[inside] * self.size + ids[inside + 1], return_inverse=True)
         fits = self.compatible(pairs // self.size, pairs % self.size)[place]
-        for w in np.unique(owner[1:][inside][~fits]):
-            proposed[w] = self.merge(words[w])
-        return proposed
+        ends = (4 * np.searchsorted(owner, np.arange(len(words)), "right")).tolist()
+        held = ids.astype("<u4").tobytes()
+        out = [held[s:e] for s, e in zip([0, *ends], ends)]
+        for w in np.unique(owner[inside[~fits]]).tolist():
+            out[w] = _packed(self.merge(words[w]))
+        return out
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Codec:
     """Encodes and decodes whole texts as the tokenizers library does by its file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = True):
+        """``special``: whether strings of special tokens in texts become their ids."""
         import public_tokenizers
         import regex
 
@@ -182,54 +215,51 @@ class Codec:
         alphabet = byte_alphabet()
         to_bytes = lambda token: bytes(alphabet[c] for c in token)
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.added = {t["content"]: t["id"] for t in added}
-        tokens = {i: to_bytes(t) for t, i in model["vocab"].items() if t not in self.added}
+        names = {t["content"]: t["id"] for t in added}
+        tokens = {i: to_bytes(t) for t, i in model["vocab"].items() if t not in names}
         self.merges = Merges(tokens, [(to_bytes(a), to_bytes(b)) for a, b in merges])
-        self.bytes_of = tokens | {i: t.encode() for t, i in self.added.items()}
+        self.bytes_of = tokens | {i: t.encode() for t, i in names.items()}
+        self.added = names if special else {}
         self.cut = regex.compile(public_tokenizers.PATTERN).findall
         # Longer strings first: the library takes the longest at a place.
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else lambda text: [text]
         # The pattern always breaks before a space that a non-space follows. Elsewhere it decides.
         self.loose = regex.compile(r" (?:\s|\Z)").search
-        self.words: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}  # by what follows the space
 
-    def _learn(self, pieces: Iterable[str]) -> None:
-        """Encode the words not met before, all together."""
-        new = list({w for w in pieces if w not in self.words})
-        found = self.merges.encode([w.encode("utf-8", "replace") for w in new])
-        self.words.update((w, np.array(ids, "<u4").tobytes()) for w, ids in zip(new, found))
+    def words(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Ids of words of the pattern as little-endian 32-bit bytes."""
+        distinct = list(set(words))
+        return dict(zip(distinct, self.merges.encode([w.encode("utf-8", "replace") for w in distinct])))
+
+    def pieces(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """Ids of pieces that follow a space, with the space. Letters alone are one word of the pattern."""
+        cuts = {p: [" " + p] if p.isalpha() else self.cut(" " + p) for p in pieces}
+        found = self.words(w for cut in cuts.values() for w in cut)
+        return {p: found[cut[0]] if len(cut) == 1 else b"".join([found[w] for w in cut]) for p, cut in cuts.items()}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian 32-bit bytes, one value per text."""
-        if len(self.words) + len(self.spaced) > KEPT:
-            self.words.clear()
+        if len(self.spaced) > KEPT:
             self.spaced.clear()
-        plans, words, pieces = [], set(), set()
+        plans, words, new = [], set(), set()
         for text in texts:
             plan = []
             for part in self.split(text):
-                if not part:
-                    continue
                 if part in self.added:
                     plan.append(("id", self.added[part]))
                 elif self.loose(part):
-                    cut = self.cut(part)
+                    plan.append(("words", cut := self.cut(part)))
                     words.update(cut)
-                    plan.append(("words", cut))
-                else:
+                elif part:
                     first, *rest = part.split(" ")
-                    cut = self.cut(first)
+                    plan += [("words", cut := self.cut(first)), ("spaced", rest)]
                     words.update(cut)
-                    pieces.update(rest)
-                    plan += [("words", cut), ("spaced", rest)]
+                    new.update(rest)
             plans.append(plan)
-        # Letters after a space are one word of the pattern.
-        new = {p: [" " + p] if p.isalpha() else self.cut(" " + p) for p in pieces if p not in self.spaced}
-        self._learn(words.union(*new.values()))
-        self.spaced.update((p, b"".join(map(self.words.__getitem__, cut))) for p, cut in new.items())
-        home = {"words": self.words, "spaced": self.spaced}
-        return [b"".join(np.array([v], "<u4").tobytes() if kind == "id" else b"".join(map(home[kind].__getitem__, v)) for kind, v in plan) for plan in plans]
+        self.spaced.update(self.pieces([p for p in new if p not in self.spaced]))
+        home = {"words": self.words(words), "spaced": self.spaced}
+        return [b"".join([_packed([v]) if kind == "id" else b"".join(map(home[kind].__getitem__, v)) for kind, v in plan]) for plan in plans]
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids, special tokens shown; bytes that are no UTF-8 become U+FFFD."""

@@ -25,8 +25,12 @@ def codec():
     return bpe.Codec(PATH)
 
 
+def unpacked(encoded):
+    return [np.frombuffer(x, "<u4").tolist() for x in encoded]
+
+
 def ids_of(codec, text):
-    return np.frombuffer(codec.encode([text])[0], "<u4").tolist()
+    return unpacked(codec.encode([text]))[0]
 
 
 TEXTS = [
@@ -54,12 +58,32 @@ def test_words_of_joined_tokens(codec, library):
     rng = random.Random(5)
     letters = [b.decode() for b in codec.merges.tokens.values() if b.isalpha() and b.isascii()]
     words = ["".join(rng.choices(letters, k=rng.randint(2, 6))) for _ in range(3000)]
-    encoded = codec.merges.encode([w.encode() for w in words])
+    encoded = unpacked(codec.merges.encode([w.encode() for w in words]))
     assert encoded == [library.encode(w, add_special_tokens=False).ids for w in words]
-    failed = sum(codec.merges.propose(w.encode()) != ids for w, ids in zip(words, encoded))
+    failed = sum(codec.merges.propose([w.encode()])[1].tolist() != ids for w, ids in zip(words, encoded))
     assert 0 < failed < len(words)
 
 
+def test_proposals_are_the_longest_tokens(codec):
+    rng = random.Random(6)
+    words = [bytes(rng.choices(b"abcdeinrst =\xc3\xa9", k=rng.randint(1, 30))) for _ in range(500)]
+    owner, ids = codec.merges.propose(words)
+    for w, word in enumerate(words):
+        at = 0
+        for i in ids[owner == w].tolist():
+            longest = max((n for n in range(1, len(word) - at + 1) if word[at : at + n] in codec.merges.whole))
+            assert codec.merges.tokens[i] == word[at : at + longest]
+            at += longest
+        assert at == len(word)
+
+
+def test_long_words_are_merged_alike(codec):
+    rng = random.Random(7)
+    for n in (2, 30, 90):
+        word = bytes(rng.choices(b"abcdeinrst", k=n))
+        assert codec.merges.merge(word) == codec.merges._merge_long(word)
+
+
 def test_every_token_alone(codec, library):
     """``whole`` holds just the tokens that encode to themselves."""
     for b, i in list(codec.merges.ids.items())[::7]:
@@ -77,12 +101,12 @@ def test_pairs_fit_just_where_merging_keeps_them():
             assert m.compatible(np.array([i]), np.array([j]))[0] == (m.merge(x + y) == [i, j]), (x, y)
     rng = random.Random(1)
     words = [bytes(rng.choices(b"ab", k=rng.randint(1, 14))) for _ in range(4000)]
-    assert m.encode(words) == [m.merge(w) for w in words]
+    assert unpacked(m.encode(words)) == [m.merge(w) for w in words]
 
 
 def test_a_vocabulary_out_of_order_is_merged():
     m = bpe.Merges({97: b"a", 98: b"b", 1: b"ab", 2: b"aba", 3: b"ba"}, [(b"ab", b"a"), (b"a", b"b"), (b"b", b"a")])
-    assert not m.ordered and m.encode([b"aba", b"ba"]) == [[2], [3]]
+    assert not m.ordered and unpacked(m.encode([b"aba", b"ba"])) == [[2], [3]]
 
 
 ROWS = [(1, "Hello  world <|endoftext|> ok", "x", 1), (2, None, None, None), (3, "", "y", 2), (None, "no id", "z", 3), (4, "é中文 " + "word " * 20000, "z", 4), (1, "Hello  world <|endoftext|> ok", "x", 1)]
