@@ -5,7 +5,8 @@ rows, has a one where a token covers a byte; with A and B the matrices of the tw
 has an entry, the number of common bytes, for every pair of tokens that overlap. Offsets where tokens
 of both end cut the bytes into groups, and the product of the tokens-by-groups matrices links all
 tokens of a group. Products go by rows (Gustavson): row i of the result gathers the rows of the second
-factor that row i of the first names.
+factor that row i of the first names. Both cut before a space between words, so the matrices of texts are block diagonal;
+equal blocks are multiplied once, those of a batch in one product.
 
 Corpus-wide counts of linked id pairs stay distributed. A task closes a chunk of documents when its
 distinct pairs reach a bound, and stores each document's pairs as places in the chunk's sorted list.
@@ -16,6 +17,7 @@ often its documents hold them, and a pair that all documents hold is one row per
 from __future__ import annotations
 
 import hashlib
+import struct
 import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -25,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skygrid.llm.bpe import byte_alphabet
-from skygrid.llm.common import rows_of, small_batches, worker_state, written
-from skygrid.llm.tokens import default_tokenizer, encoder
+from skygrid.llm.bpe import Codec
+from skygrid.llm.common import small_batches, worker_state, written
+from skygrid.llm.tokens import default_tokenizer
 
 PIECES = "piece_bpe_32k.model"
 #: A chunk is closed at so many distinct pairs, or entries of documents; its memory follows from both.
@@ -75,14 +77,21 @@ def row_products(a: Rows, b: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     sizes = np.diff(b.starts)[a.columns]
     total = int(sizes.sum())
-    row = np.repeat(np.repeat(np.arange(a.starts.size - 1), np.diff(a.starts)), sizes)
-    into = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    key = row * b.width + b.columns[np.repeat(b.starts[a.columns], sizes) + into]
-    if total and np.any(key[1:] < key[:-1]):
-        key = np.sort(key)
-    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if total else np.zeros(0, np.int64)
-    found = key[first]
-    return found // max(b.width, 1), found % max(b.width, 1), np.diff(np.concatenate((first, [total])))
+    row = np.repeat(np.arange(a.starts.size - 1), np.diff(a.starts))
+    if (sizes == 1).all():
+        column = b.columns[b.starts[a.columns]]
+    else:
+        into = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        row, column = np.repeat(row, sizes), b.columns[np.repeat(b.starts[a.columns], sizes) + into]
+    if not total:
+        return row, column, row
+    new = (row[1:] != row[:-1]) | (column[1:] != column[:-1])
+    if np.any((row[1:] == row[:-1]) & (column[1:] < column[:-1])):  # rows ascend, columns may not
+        order = np.lexsort((column, row))
+        row, column = row[order], column[order]
+        new = (row[1:] != row[:-1]) | (column[1:] != column[:-1])
+    first = np.flatnonzero(np.concatenate(([True], new)))
+    return row[first], column[first], np.diff(first, append=total)
 
 
 def product_sizes(a: Rows, b: Rows) -> np.ndarray:
@@ -90,68 +99,6 @@ def product_sizes(a: Rows, b: Rows) -> np.ndarray:
     return np.diff(b.starts)[a.columns]
 
 
-class Pair:
-    """The two tokenizers of a worker: ids of pieces of text, and the bytes of every id.
-
-    No piece of the second vocabulary has a space after another character (checked), so nothing is
-    ever merged across such a place, and a text may be cut there: each distinct piece is encoded once.
-    """
-
-    def __init__(self, byte_level: str, pieces: str):
-        import json
-
-        import regex
-        import sentencepiece
-
-        self.a = encoder(byte_level)
-        with open(byte_level, encoding="utf-8") as f:
-            spec = json.load(f)
-        alphabet = byte_alphabet()
-        self.a_bytes = {i: bytes(alphabet[c] for c in t) for t, i in spec["model"]["vocab"].items()}
-        self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
-        inner = regex.compile("[^▁]▁")
-        self.cuts = not any(inner.search(p) for p in names)
-        self.cut = regex.compile(r"(?<=[^ ])(?= )").split if self.cuts else lambda text: [text]
-        self.kept: dict[str, bytes] = {}
-
-    def b_ids(self, text: str) -> bytes:
-        """Ids by the second tokenizer, which sets a space before the text."""
-        if len(self.kept) > KEPT_PIECES:
-            self.kept.clear()
-        out, kept = [], self.kept
-        for piece in self.cut(" " + text):
-            if (ids := kept.get(piece)) is None:
-                # The space that the tokenizer sets itself is the piece's own; an empty text gets none.
-                found = self.b.encode(piece[1:]) if len(piece) > 1 else [self.b.piece_to_id("▁")]
-                kept[piece] = ids = np.array(found, "<u4").tobytes()
-            out.append(ids)
-        return b"".join(out)
-
-    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids and ends in bytes by both; nothing if either does not spell space + text."""
-        none = np.zeros(0, np.int64)
-        if not text:
-            return none, none, none, none
-        whole = (" " + text).encode("utf-8", "replace")
-        out = []
-        for ids, spelled in ((self.a.encode(" " + text), self.a_bytes), (self.b_ids(text), self.b_bytes)):
-            ids = np.frombuffer(ids, "<u4").astype(np.int64)
-            parts = [spelled[i] for i in ids.tolist()]
-            if b"".join(parts) != whole:
-                return none, none, none, none
-            out += [ids, np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))]
-        return tuple(out)
-
-
-def pair_of(byte_level: str, pieces: str) -> Pair:
-    held = worker_state("token_pairs", dict)
-    if (byte_level, pieces) not in held:
-        held[byte_level, pieces] = Pair(byte_level, pieces)
-    return held[byte_level, pieces]
-
-
 class Aligned(NamedTuple):
     """Places of linked tokens, the group of every token, and the number of groups."""
 
@@ -167,17 +114,18 @@ class Aligned(NamedTuple):
         a, b = Rows.of_members(self.a_group, self.n_groups), Rows.of_members(self.b_group, self.n_groups)
         return row_products(a, b.transposed())[:2]
 
-    def n_group_links(self) -> int:
+    def group_sizes(self) -> np.ndarray:
+        """The number of such pairs of every token of the first."""
         a, b = Rows.of_members(self.a_group, self.n_groups), Rows.of_members(self.b_group, self.n_groups)
-        return int(product_sizes(a, b.transposed()).sum())
+        return product_sizes(a, b.transposed())
 
 
 def align(a_ends: np.ndarray, b_ends: np.ndarray) -> Aligned:
-    """Links and groups of two cuts of the same bytes. Tokens of no bytes are in the next group."""
+    """Links and groups of two cuts of the same bytes."""
     width = int(a_ends[-1]) if a_ends.size else 0
     a, b = Rows.of_ranges(a_ends, width), Rows.of_ranges(b_ends, width)
     i, j, common = row_products(a, b.transposed())
-    borders = np.intersect1d(a_ends, b_ends)
+    borders = np.intersect1d(a_ends, b_ends, assume_unique=True)  # no token is empty
     return Aligned(i, j, common, np.searchsorted(borders, a_ends), np.searchsorted(borders, b_ends), borders.size)
 
 
@@ -192,18 +140,118 @@ class Spelling:
             self.known[separator] = np.array([f"{i}{separator}" for i in range(size)], object)
         return self.known[separator]
 
-    def groups(self, a: np.ndarray, b: np.ndarray, by: Aligned, sizes: tuple[int, int]) -> str:
-        """``a1,a2|b1;a3|b2,b3``: the ids of every group, in order."""
+    def groups(self, a: np.ndarray, b: np.ndarray, by: Aligned, sizes: tuple[int, int]) -> list[str]:
+        """``a1,a2|b1;a3|b2,b3;``: the ids of every group, in order, a text per token."""
         out = np.empty(a.size + b.size, object)
-        for ids, group, other, end, last, size in (
-            (a, by.a_group, np.searchsorted(by.b_group, by.a_group), "|", "|", sizes[0]),
-            (b, by.b_group, np.searchsorted(by.a_group, by.b_group, "right"), ";", "", sizes[1]),
+        for ids, group, other, end, size in (
+            (a, by.a_group, np.searchsorted(by.b_group, by.a_group), "|", sizes[0]),
+            (b, by.b_group, np.searchsorted(by.a_group, by.b_group, "right"), ";", sizes[1]),
         ):
             texts = self.table(",", size)[ids]
             ends = np.flatnonzero(np.append(group[1:] != group[:-1], True)) if ids.size else np.zeros(0, np.int64)
             texts[ends] = self.table(end, size)[ids[ends]]
             out[np.arange(ids.size) + other] = texts
-        return "".join(out.tolist())[:-1]
+        return out.tolist()
+
+
+class Block(NamedTuple):
+    """A piece's groups, each with a semicolon; its links' keys (A id << 32 | B id); and its numbers of
+    A tokens, B tokens, groups and group links; numbers as little-endian 64-bit bytes."""
+
+    groups: str
+    keys: bytes
+    counts: bytes
+
+
+class Pair:
+    """The two tokenizers of a worker.
+
+    The first breaks before every space that a non-space follows. No piece of the second vocabulary has
+    a space after another character (checked), so it merges nothing across such a place either. Texts
+    are cut there, and each distinct piece of a batch is encoded once.
+    """
+
+    def __init__(self, byte_level: str, pieces: str):
+        import regex
+        import sentencepiece
+
+        self.a = Codec(byte_level, special=False)
+        self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
+        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        if any(map(regex.compile("[^▁]▁").search, names)):
+            raise ValueError(f"{pieces}: pieces with a space after another character cannot be cut at spaces")
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
+        self.sizes = max(self.a.bytes_of) + 1, len(names)
+        self.a_lengths = np.array([len(self.a.bytes_of.get(i, b"")) for i in range(self.sizes[0])])
+        self.b_lengths = np.array([len(x) for x in self.b_bytes])
+        self.space = self.b.piece_to_id("▁")
+        self.loose = regex.compile(r" (?:\s|\Z)").search
+        self.cut = regex.compile(r"(?<=\S) (?=\S)").split
+        self.spelling = Spelling()
+        self.kept: dict[str, Block | None] = {}
+
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of space + text, without the space that each begins with."""
+        return self.cut(text) if text[:1].isspace() or self.loose(text) else text.split(" ")
+
+    def tokens(self, pieces: list[str]) -> tuple[list[bytes], list[bytes], list[bool]]:
+        """Ids by both as little-endian 32-bit bytes, and whether both spell space + piece."""
+        a = self.a.pieces(pieces)
+        # The space that the tokenizer sets itself is the piece's own; an empty text gets none.
+        b = [ids if p else [self.space] for p, ids in zip(pieces, self.b.encode(pieces, num_threads=1))] if pieces else []
+        table = self.b_bytes
+        spelled = [b"".join([table[i] for i in ids]) == (" " + p).encode("utf-8", "replace") for p, ids in zip(pieces, b)]
+        return [a[p] for p in pieces], [struct.pack(f"<{len(ids)}I", *ids) for ids in b], spelled
+
+    def learn(self, texts: list[str]) -> None:
+        """Align the pieces of texts not met before, all in one product."""
+        if len(self.kept) > KEPT_PIECES:
+            self.kept.clear()
+        new = set()
+        for text in texts:
+            new.update(self.pieces(text))
+        new = [p for p in new if p not in self.kept]
+        a, b, spelled = self.tokens(new)
+        self.kept.update((p, None) for p, ok in zip(new, spelled) if not ok)
+        good = [i for i, ok in enumerate(spelled) if ok]
+        found = self.blocks([a[i] for i in good], [b[i] for i in good])
+        self.kept.update((new[i], block) for i, block in zip(good, found))
+
+    def blocks(self, a: list[bytes], b: list[bytes]) -> list[Block]:
+        """Every piece's alignment. The matrices of pieces side by side are block diagonal: a piece
+        starts where tokens of both end, so their one product holds every piece's."""
+        if not a:
+            return []
+        a_ids, b_ids = (np.frombuffer(b"".join(x), "<u4").astype(np.int64) for x in (a, b))
+        a_of, b_of = (np.cumsum([0, *(len(x) // 4 for x in y)]) for y in (a, b))
+        by = align(np.cumsum(self.a_lengths[a_ids]), np.cumsum(self.b_lengths[b_ids]))
+        keys = ((a_ids[by.a_linked] << 32) | b_ids[by.b_linked]).astype("<i8").tobytes()
+        links = np.searchsorted(by.a_linked, a_of)
+        groups = np.append(by.a_group, by.n_groups)[a_of]
+        together = np.concatenate(([0], np.cumsum(by.group_sizes())))[a_of]
+        counts = np.stack([np.diff(x) for x in (a_of, b_of, groups, together)], 1).astype("<i8").tobytes()
+        texts = self.spelling.groups(a_ids, b_ids, by, self.sizes)
+        places = (a_of + b_of).tolist()
+        links = (8 * links).tolist()
+        return [
+            Block("".join(texts[s:e]), keys[i:j], counts[32 * k : 32 * k + 32])
+            for k, (s, e, i, j) in enumerate(zip(places, places[1:], links, links[1:]))
+        ]
+
+    def document(self, text: str) -> tuple[str, bytes, np.ndarray]:
+        """Groups as text, keys of the links, and n_a, n_b, n_groups and group links; pieces are learnt."""
+        blocks = list(map(self.kept.__getitem__, self.pieces(text))) if text else []
+        if not blocks or None in blocks:
+            return "", b"", np.zeros(4, np.int64)
+        groups, keys, counts = zip(*blocks)
+        return "".join(groups)[:-1], b"".join(keys), np.frombuffer(b"".join(counts), "<i8").reshape(-1, 4).sum(0)
+
+
+def pair_of(byte_level: str, pieces: str) -> Pair:
+    held = worker_state("token_pairs", dict)
+    if (byte_level, pieces) not in held:
+        held[byte_level, pieces] = Pair(byte_level, pieces)
+    return held[byte_level, pieces]
 
 
 _CHUNKS = "chunk string, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_group_links long, groups string, groups_sha256 string, places binary, times binary, pairs array<long>, documents array<int>"
@@ -222,8 +270,7 @@ def aligned_chunks(docs: DataFrame, byte_level: str, pieces: str, spelled: bool)
     small_batches(docs.sparkSession)
 
     def align_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both, spelling = pair_of(byte_level, pieces), worker_state("id_spelling", Spelling)
-        sizes = max(both.a_bytes) + 1, len(both.b_bytes)
+        both = pair_of(byte_level, pieces)
         rows, keys, times, entries = [], [], [], 0
         seen = np.zeros(0, np.int64)
 
@@ -238,13 +285,17 @@ def aligned_chunks(docs: DataFrame, byte_level: str, pieces: str, spelled: bool)
                 columns = zip(*filled[at : at + 512])
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
 
-        for doc_id, text in rows_of(batches, "doc_id", "text"):
-            a, a_ends, b, b_ends = both.tokens(text)
-            by = align(a_ends, b_ends)
-            groups = spelling.groups(a, b, by, sizes)
-            key, n = np.unique((a[by.a_linked] << 32) | b[by.b_linked], return_counts=True)
-            digest = hashlib.sha256(groups.encode()).hexdigest() if a.size else ""
-            rows.append((doc_id, a.size, b.size, by.n_groups, by.a_linked.size, by.n_group_links(), groups if spelled else None, digest))
+        def documents() -> Iterator[tuple]:
+            for batch in batches:
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                both.learn(texts)
+                yield from zip(batch.column(0).to_pylist(), map(both.document, texts))
+
+        for doc_id, (groups, linked, counts) in documents():
+            key, n = np.unique(np.frombuffer(linked, "<i8"), return_counts=True)
+            n_a, n_b, n_groups, n_group_links = counts.tolist()
+            digest = hashlib.sha256(groups.encode()).hexdigest() if n_a else ""
+            rows.append((doc_id, n_a, n_b, n_groups, len(linked) // 8, n_group_links, groups if spelled else None, digest))
             keys.append(key)
             times.append(n)
             entries += key.size
