@@ -180,24 +180,27 @@ BLEND_WEIGHTS = [
     (0.25, 0.20, 0.55),
 ]
 
-#: Search spaces of the three boosted learners, under the names Spark ML uses.
+#: Search spaces of the three boosted learners.
 SEARCH_SPACES = {
     "xgb": {
-        "maxIter": [200, 300, 500],
-        "maxDepth": [3, 5, 7, 9],
-        "stepSize": [0.01, 0.05, 0.1, 0.2],
-        "subsamplingRate": [0.6, 0.8, 1.0],
-        "featureSubsetStrategy": ["0.6", "0.8", "1.0"],
+        "n_estimators": [200, 300, 500],
+        "max_depth": [3, 5, 7, 9],
+        "learning_rate": [0.01, 0.05, 0.1, 0.2],
+        "subsample": [0.6, 0.8, 1.0],
+        "colsample_bytree": [0.6, 0.8, 1.0],
     },
     "lgb": {
-        "numTrees": [200, 300, 500],
-        "maxDepth": [5, 10, 15],
-        "subsamplingRate": [0.6, 0.8, 1.0],
-        "featureSubsetStrategy": ["0.6", "0.8", "1.0"],
+        "n_estimators": [200, 300, 500],
+        "num_leaves": [31, 50, 70, 100],
+        "max_depth": [-1, 5, 10, 15],
+        "learning_rate": [0.01, 0.05, 0.1, 0.2],
+        "subsample": [0.6, 0.8, 1.0],
+        "colsample_bytree": [0.6, 0.8, 1.0],
     },
     "cat": {
-        "maxIter": [200, 300, 500],
-        "maxDepth": [4, 6, 8, 10],
-        "stepSize": [0.01, 0.05, 0.1, 0.2],
+        "iterations": [200, 300, 500],
+        "depth": [4, 6, 8, 10],
+        "learning_rate": [0.01, 0.05, 0.1, 0.2],
+        "l2_leaf_reg": [1, 3, 5, 7],
     },
 }

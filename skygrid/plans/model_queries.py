@@ -6,20 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skygrid.functions.constants import BLEND_WEIGHTS, FEATURE_ORDER
-from skygrid.operators import attribution, blending, features, metrics, models, sampling
+from skygrid.operators import attribution, blending, boosting, features, metrics, models, sampling
 from skygrid.plans.aggregate_queries import _auc_sql
 from skygrid.plans.dataset import FIXED_SHAPING, OBS, SCORED, obs, r6, s6, scored
 from skygrid.plans.registry import query
 from skygrid.session import scratch_path
 
-#: Small settings so that a whole fit takes seconds; the library's defaults are the full ones.
-QUICK_SPACES = {
-    "xgb": {"maxIter": [2, 3], "maxDepth": [2, 3], "stepSize": [0.1, 0.2]},
-    "lgb": {"numTrees": [5, 10], "maxDepth": [4, 5], "subsamplingRate": [0.8, 1.0]},
-    "cat": {"maxIter": [2, 3], "maxDepth": [2, 3], "stepSize": [0.1, 0.2]},
-}
-
-
 def training_frame(spark, sf, folds: int = 2) -> DataFrame:
     """Features, label, split and folds of all observations, written once to the shared folder.
 
@@ -37,9 +29,9 @@ def training_frame(spark, sf, folds: int = 2) -> DataFrame:
 def quick_learners() -> dict:
     learners = models.base_learners()
     return {
-        "xgb": learners["xgb"].setMaxIter(3).setMaxDepth(3),
-        "lgb": learners["lgb"].setNumTrees(5).setMaxDepth(4),
-        "cat": learners["cat"].setMaxIter(2).setMaxDepth(3),
+        "xgb": learners["xgb"].with_params({"n_estimators": 3, "max_depth": 3}),
+        "lgb": learners["lgb"].with_params({"n_estimators": 3, "num_leaves": 6}),
+        "cat": learners["cat"].with_params({"iterations": 3, "depth": 3}),
     }
 
 
@@ -77,10 +69,26 @@ def _(spark, sf):
     return metrics.compare_models(found, {m: F.col(f"p_{m}") for m in fitted}, "Rain")
 
 
+@query(
+    "m10_leaf_sums",
+    f"""with {OBS}, c as (select *, case when Rain = 1 then (select count(*) filter (where Rain = 0)*1e0/count(*) filter (where Rain = 1) from obs) else 1e0 end as w,
+      case when coalesce(Humidity, 0e0) > 50e0 then 4 when Cloud_Cover <= 40e0 then 2 else 3 end as leaf from obs)
+    select cast(leaf as integer) as leaf, count(*) as n, round(sum(w*(0.5e0 - Rain)), 2) as g, round(sum(w*0.25e0), 2) as h,
+      round(-0.3e0*sum(w*(0.5e0 - Rain))/(sum(w*0.25e0) + 1e0), 5) as value from c group by 1""",
+)
+def _(spark, sf):
+    """Gradient and Hessian sums, with class weights, in the leaves of a given tree, and their Newton steps."""
+    rows = models.assemble(models.with_weights(obs(spark, sf)).fillna({"Humidity": 0.0}), ["Humidity", "Cloud_Cover"])
+    tree = boosting.Tree(feature=[0, 1, -1, -1, -1], cut=[0, 0, 0, 0, 0], left=[1, 2, -1, -1, -1], right=[4, 3, -1, -1, -1], value=[0.0] * 5)
+    found = boosting.leaf_sums(rows, models.base_learners()["xgb"], tree, [[50.0], [40.0]])
+    return found.withColumns({"g": F.round("g", 2), "h": F.round("h", 2), "value": F.round("value", 5)})
+
+
 @query("m11_random_search")
 def _(spark, sf):
-    train = training_frame(spark, sf).where("split = 'train'").select("Rain", "features", "weight", "fold")
-    found = models.tune_bases(train, draws=2, folds=2, spaces=QUICK_SPACES)
+    """30 draws on 3 folds of each learner's space."""
+    train = training_frame(spark, sf, 3).where("split = 'train'").select("Rain", "features", "weight", "fold")
+    found = models.tune_bases(train)
     rows = [(m, k, str(v), float(f1)) for m, (setting, f1) in found.items() for k, v in setting.items()]
     return spark.createDataFrame(rows, "model string, param string, value string, f1 double")
 

@@ -9,7 +9,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 from onnx_bytes import logistic
 
 from skygrid.functions import constants as K
-from skygrid.operators import models, sampling, scoring
+from skygrid.operators import boosting, models, sampling, scoring
 from skygrid.plans import model_queries
 
 
@@ -88,7 +88,9 @@ def test_stack_beats_the_prior(rain, stack):
 
 def test_out_of_fold_rows_are_whole_and_once(rain):
     train = rain.where("split = 'train'")
-    found = models.out_of_fold(train, {"cat": model_queries.quick_learners()["cat"]}, 2, ["id", "Rain"])
+    cat = model_queries.quick_learners()["cat"]
+    apart = {(k, "cat"): m for k, m in enumerate(boosting.fit_side_by_side(train, [(cat, 0), (cat, 1)]))}
+    found = models.out_of_fold(train, apart, ["id", "Rain"])
     assert sorted(r.id for r in found.collect()) == sorted(r.id for r in train.select("id").collect())
 
 
@@ -105,10 +107,10 @@ def test_search_draws_and_picks(rain):
     settings = models.draw_params(K.SEARCH_SPACES["xgb"], 30)
     assert len(settings) == 30 and len({tuple(s.items()) for s in settings}) == 30
     assert models.draw_params({"a": [1, 2]}, 30) in ([{"a": 1}, {"a": 2}], [{"a": 2}, {"a": 1}])
-    space = {"maxIter": [1, 2], "maxDepth": [2]}
+    space = {"iterations": [1, 2], "depth": [2]}
     train = rain.where("split = 'train'").select("Rain", "features", "weight", "fold")
     _, setting, f1 = models.search(train, models.base_learners()["cat"], space, draws=2, folds=2)
-    assert setting["maxIter"] in (1, 2) and 0 < f1 <= 1
+    assert setting["iterations"] in (1, 2) and 0 < f1 <= 1
 
 
 def test_background_takes_real_values(spark, rain):
