@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from skygrid.functions.scalars import floor_hour, percent, unit_of, unpivot, wide_to_rows
 from skygrid.operators.joins import densify
+from skygrid.operators import selection
 from skygrid.operators.ranks import quantiles, value_counts
 
 
@@ -50,7 +51,7 @@ def forecast_rollup(df: DataFrame, time: str) -> DataFrame:
 def feature_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """One row per feature: mean, sample deviation, min, median, max, to two places, and unit."""
     moments = _moments(df, features, {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max})
-    medians = quantiles(value_counts(df, features), {"median": 0.5}).drop("n")
+    medians = selection.quantiles(df, features, {"median": 0.5}).drop("n")
     both = moments.join(F.broadcast(medians), "feature", "left")  # one row per feature
     return both.select(
         "feature",
@@ -244,40 +245,49 @@ def box_stats(df: DataFrame, features: Sequence[str], label: str = "Rain") -> Da
 
     ``label`` is a 0/1 class.
     """
-    keys = [label, "feature"]
-    values = value_counts(df.where(F.col(label).isin(0, 1)), features, [label])
-    q = quantiles(values, {"q1": 0.25, "median": 0.5, "q3": 0.75}, keys)
-    reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
-    kept = F.col("x").between(F.col("q1") - reach, F.col("q3") + reach)
-    return (
-        values.join(F.broadcast(q), keys)  # one row per class and feature
-        .groupBy(*keys, "n", "q1", "median", "q3")
-        .agg(
-            F.min(F.when(kept, F.col("x"))).alias("whisker_low"),
-            F.max(F.when(kept, F.col("x"))).alias("whisker_high"),
-            F.sum(F.when(~kept, F.col("c")).otherwise(0)).alias("outside"),
+    known = df.where(F.col(label).isin(0, 1))
+    found = selection.quantile_values(known, features, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [label])
+    spark, kind = df.sparkSession, df.schema[label].dataType.simpleString()
+    if not found:
+        return spark.createDataFrame([], f"`{label}` {kind}, feature string, n long, q1 double, median double, q3 double, whisker_low double, whisker_high double, outside long")
+    parts = []
+    for (y, f), q in found.items():
+        x, reach = F.col(f).cast("double"), 1.5 * (q["q3"] - q["q1"])
+        mine = (F.col(label) == y) & x.isNotNull()
+        kept = mine & x.between(q["q1"] - reach, q["q3"] + reach)
+        parts.append([F.min(F.when(kept, x)), F.max(F.when(kept, x)), F.count_if(mine & ~kept)])
+    # One pass for all classes and features.
+    wide = known.agg(*[e.alias(f"c{i}_{j}") for i, es in enumerate(parts) for j, e in enumerate(es)])
+    rows = [
+        F.struct(
+            F.lit(y).cast(kind).alias(label), F.lit(f).alias("feature"), F.lit(q["n"]).cast("long").alias("n"),
+            *[F.lit(float(q[c])).alias(c) for c in ("q1", "median", "q3")],
+            F.col(f"c{i}_0").alias("whisker_low"), F.col(f"c{i}_1").alias("whisker_high"), F.col(f"c{i}_2").alias("outside"),
         )
-    )
+        for i, ((y, f), q) in enumerate(found.items())
+    ]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def outliers(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Rows strictly outside 1.5 IQR per feature, as count and percent of all rows."""
-    values = value_counts(df, features)
-    q = quantiles(values, {"q1": 0.25, "q3": 0.75}).drop("n")
-    reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
-    out = (F.col("x") < F.col("q1") - reach) | (F.col("x") > F.col("q3") + reach)
-    rows = df.agg(F.count("*").alias("n")).scalar()
-    counted = (
-        values.join(F.broadcast(q), "feature")  # one row per feature
-        .groupBy("feature")
-        .agg(F.sum(F.when(out, F.col("c")).otherwise(0)).alias("outside"))
-    )
-    # A column without values has no row above, and no outliers.
-    every = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
-    count = F.coalesce("outside", F.lit(0))
-    return every.join(counted, "feature", "left").select(
-        "feature", count.alias("count"), F.coalesce(count / rows * 100, F.lit(0.0)).alias("percentage")
-    )
+    """Rows strictly outside 1.5 IQR per feature, as count and percent of all rows.
+
+    A column without values has no outliers.
+    """
+    found = selection.quantile_values(df, features, {"q1": 0.25, "q3": 0.75})
+
+    def outside(f: str) -> Column:
+        if (f,) not in found:
+            return F.lit(0).cast("long")
+        q1, q3 = found[f,]["q1"], found[f,]["q3"]
+        reach, x = 1.5 * (q3 - q1), F.col(f).cast("double")
+        return F.count_if((x < q1 - reach) | (x > q3 + reach))
+
+    # One pass for all features.
+    wide = df.agg(F.count("*").alias("rows"), *[outside(f).alias(f"c{i}") for i, f in enumerate(features)])
+    share = [F.coalesce(F.col(f"c{i}") / F.nullif(F.col("rows"), F.lit(0)) * 100, F.lit(0.0)) for i in range(len(features))]
+    rows = [F.struct(F.lit(f).alias("feature"), F.col(f"c{i}").alias("count"), share[i].alias("percentage")) for i, f in enumerate(features)]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def _skew(c: Column) -> Column:

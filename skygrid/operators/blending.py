@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skygrid.functions.constants import BLEND_WEIGHTS, DEFAULT_THRESHOLD
@@ -25,56 +23,54 @@ def compare_blends(df: DataFrame, probs: Sequence[str], label: str = "Rain", set
     return compare_models(df, models, label, DEFAULT_THRESHOLD)
 
 
-def weight_grid(points: int = 101) -> np.ndarray:
-    """(a, b, 1 - a - b): a over [0, 1], then b over [0, 1 - a], evenly."""
-    rows = []
-    for a in np.linspace(0, 1, points):
-        b = np.linspace(0, 1 - a, points)
-        rows.append(np.column_stack([np.full(points, a), b, 1.0 - a - b]))
-    return np.vstack(rows)
+#: Probabilities closer than this are tried at every weight: rounding alone may turn their class.
+CLOSE = 1e-6
 
 
-def search_blend(
-    df: DataFrame, probs: Sequence[str], label: str = "Rain", points: int = 101, chunk: int = 128
-) -> DataFrame:
-    """F1 of every weight combination: (idx, w_0, w_1, w_2, f1), best first by f1 then idx.
+def search_blend(df: DataFrame, probs: Sequence[str], label: str = "Rain", points: int = 101) -> DataFrame:
+    """F1 of every weight combination: (idx, w_0, w_1, w_2, tp, fp, f1).
 
-    Equal rows are counted together first. Each task keeps one running pair of counts per
-    combination and hands over only those, so what is shuffled does not grow with the rows.
-    """
-    p = list(probs)
-    counted = df.where(F.col(label).isin(0, 1)).groupBy(*p, label).agg(F.count("*").alias("w"))
-
-    def tally(frames):
-        grid = weight_grid(points)
-        tp, fp = np.zeros(len(grid)), np.zeros(len(grid))
-        for pdf in frames:
-            x = pdf[p].to_numpy(dtype=np.float64)
-            w = pdf["w"].to_numpy(dtype=np.float64)
-            y = pdf[label].to_numpy()
-            for at in range(0, len(x), chunk):
-                part = x[at : at + chunk]
-                # Written out term by term: the same rounding as a plain expression.
-                mix = part[:, 0:1] * grid[:, 0] + part[:, 1:2] * grid[:, 1]
-                mix += part[:, 2:3] * grid[:, 2]
-                said = mix >= DEFAULT_THRESHOLD
-                wet = np.where(y[at : at + chunk] == 1, w[at : at + chunk], 0.0)
-                dry = np.where(y[at : at + chunk] == 0, w[at : at + chunk], 0.0)
-                tp += wet @ said
-                fp += dry @ said
-        yield pd.DataFrame({"idx": np.arange(len(grid)), "tp": tp.astype("int64"), "fp": fp.astype("int64")})
+    For a given first weight the blend is linear in the second, so a row's class turns at one value of
+    it. A row adds to a difference table there, and sums over that table give the counts of all second
+    weights: a few updates per first weight in place of one per combination. The place is found by
+    division and settled by the blend itself, so rounding is that of a plain comparison. What is
+    shuffled is at most one row per combination, class and task.
 
+    Rows without a class of 0 or 1 are not counted; rows with a null or NaN probability count as dry
+    forecasts. An empty table gives every combination with zeros.
+    """
+    p0, p1, p2 = (F.col(p).cast("double") for p in probs)
+    last = points - 1
+    rows = df.where(F.col(label).isin(0, 1)).select(F.col(label).alias("y"), p0.alias("p0"), p1.alias("p1"), p2.alias("p2"))
+    whole = [F.col(p).isNotNull() & ~F.isnan(p) for p in ("p0", "p1", "p2")]
+    rows = rows.where(whole[0] & whole[1] & whole[2]).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(last))))
+    rows = rows.withColumn("a", F.when(F.col("i") == last, 1.0).otherwise(F.col("i") * F.lit(1.0 / last)))
+
+    def said(j: Column) -> Column:
+        b = F.when(j == last, 1 - F.col("a")).otherwise(j * ((1 - F.col("a")) / last))
+        return F.col("p0") * F.col("a") + F.col("p1") * b + F.col("p2") * (1 - F.col("a") - b) >= DEFAULT_THRESHOLD
+
+    slope = (F.col("p1") - F.col("p2")) * ((1 - F.col("a")) / last)
+    turn = (F.lit(DEFAULT_THRESHOLD) - F.col("p0") * F.col("a") - F.col("p2") * (1 - F.col("a"))) / F.nullif(slope, F.lit(0.0))
+    near = F.floor(F.least(F.greatest(turn, F.lit(0.0)), F.lit(float(last)))).cast("int")
+    around = F.sequence(F.greatest(near - 1, F.lit(1)), F.least(near + 2, F.lit(last)))
+    tried = F.when(F.col("a") == 1, F.array().cast("array<int>")).when(F.abs(F.col("p1") - F.col("p2")) < CLOSE, F.sequence(F.lit(1), F.lit(last))).otherwise(around)
+    turns = F.filter(tried, lambda j: said(j) != said(j - 1))
+    steps = F.concat(
+        F.array(F.struct(F.lit(0).alias("j"), said(F.lit(0)).cast("int").alias("d"))),
+        F.transform(turns, lambda j: F.struct(j.alias("j"), F.when(said(j), 1).otherwise(-1).alias("d"))),
+    )
+    steps = rows.select("y", "i", F.inline(steps)).where("d <> 0")
+    counted = steps.groupBy("i", "j").agg(*[F.sum(F.when(F.col("y") == y, F.col("d")).otherwise(0)).alias(n) for n, y in (("tp", 1), ("fp", 0))])
+    grid = df.sparkSession.range(points * points).select((F.col("id") / points).cast("int").alias("i"), (F.col("id") % points).cast("int").alias("j"), F.col("id").cast("int").alias("idx"))
+    w_0 = F.when(F.col("i") == last, 1.0).otherwise(F.col("i") * F.lit(1.0 / last))
+    w_1 = F.when(F.col("j") == last, 1 - F.col("w_0")).otherwise(F.col("j") * ((1 - F.col("w_0")) / last))
+    so_far = Window.partitionBy("i").orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
+    table = grid.join(counted, ["i", "j"], "left").withColumn("w_0", w_0).withColumn("w_1", w_1).withColumn("w_2", 1 - F.col("w_0") - F.col("w_1"))
+    table = table.withColumns({n: F.coalesce(F.sum(n).over(so_far), F.lit(0)) for n in ("tp", "fp")})
     positives = df.agg(F.count_if(F.col(label) == 1).alias("n")).scalar()
-    # The work is rows times combinations, so small inputs are spread out too.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = counted.repartition(tasks).mapInPandas(tally, "idx int, tp bigint, fp bigint")
-    sums = parts.groupBy("idx").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))
     f1 = safe_ratio(F.col("tp") * 2, F.col("tp") + F.col("fp") + positives)
-    table = df.sparkSession.createDataFrame(
-        [(i, *map(float, w)) for i, w in enumerate(weight_grid(points))],
-        "idx int, w_0 double, w_1 double, w_2 double",
-    )
-    return table.join(sums.select("idx", "tp", "fp", f1.alias("f1")), "idx")
+    return table.select("idx", "w_0", "w_1", "w_2", "tp", "fp", f1.alias("f1"))
 
 
 def best_blend(found: DataFrame) -> DataFrame:

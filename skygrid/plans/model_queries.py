@@ -164,8 +164,10 @@ def _(spark, sf):
     return _score_columns(blending.compare_blends(scored(spark, sf), _PROBS))
 
 
-_GRID_11 = """a as (select case when i = 10 then 1e0 else i*0.1e0 end as w_0, i from (select unnest(range(11)) as i)),
-b as (select w_0, i*11 + j as idx, case when j = 10 then 1e0 - w_0 else j*((1e0 - w_0)/10e0) end as w_1 from a cross join (select unnest(range(11)) as j)),
+def _grid_sql(points: int) -> str:
+    last, step = points - 1, 1 / (points - 1)
+    return f"""a as (select case when i = {last} then 1e0 else i*{step!r}e0 end as w_0, i from (select unnest(range({points})) as i)),
+b as (select w_0, i*{points} + j as idx, case when j = {last} then 1e0 - w_0 else j*((1e0 - w_0)/{last}) end as w_1 from a cross join (select unnest(range({points})) as j)),
 g as (select cast(idx as integer) as idx, w_0, w_1, 1e0 - w_0 - w_1 as w_2 from b),
 k as (select idx, any_value(w_0) as w_0, any_value(w_1) as w_1, any_value(w_2) as w_2,
   count(*) filter (where Rain=1 and w_0*p_xgb + w_1*p_lgb + w_2*p_cat >= 0.5e0) as tp,
@@ -173,15 +175,19 @@ k as (select idx, any_value(w_0) as w_0, any_value(w_1) as w_1, any_value(w_2) a
   count(*) filter (where Rain=1) as pos from scored cross join g group by idx)"""
 
 
-@query("m15_blend_grid", f"with {SCORED}, {_GRID_11} select idx, {s6('w_0')} as w_0, {s6('w_1')} as w_1, {s6('w_2')} as w_2, tp, fp, {s6('coalesce(2*tp/nullif(tp+fp+pos,0),0e0)')} as f1 from k")
+@query("m15_blend_grid", f"with {SCORED}, {_grid_sql(11)} select idx, {s6('w_0')} as w_0, {s6('w_1')} as w_1, {s6('w_2')} as w_2, tp, fp, {s6('coalesce(2*tp/nullif(tp+fp+pos,0),0e0)')} as f1 from k")
 def _(spark, sf):
     found = blending.search_blend(scored(spark, sf), _PROBS, points=11)
     return found.withColumns({c: r6(c) for c in ("w_0", "w_1", "w_2", "f1")})
 
 
-@query("m15_best_blend")
+@query(
+    "m15_best_blend",
+    f"with {SCORED}, {_grid_sql(101)}, f as (select *, coalesce(2*tp/nullif(tp+fp+pos,0),0e0) as f1 from k) select {s6('w_0')} as w_0, {s6('w_1')} as w_1, {s6('w_2')} as w_2, {s6('f1')} as f1 from f where f1 > 0 order by f.f1 desc, idx limit 1",
+)
 def _(spark, sf):
-    return blending.best_blend(blending.search_blend(scored(spark, sf), _PROBS))
+    found = blending.best_blend(blending.search_blend(scored(spark, sf), _PROBS))
+    return found.withColumns({c: r6(c) for c in found.columns})
 
 
 @query("m17_model_comparison", f"with {SCORED} " + " union all ".join(_model_scores_sql(p[2:], p) for p in _PROBS))

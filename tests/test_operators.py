@@ -191,7 +191,8 @@ def test_blend_search_is_brute_force(spark):
     df = spark.createDataFrame([(*map(float, r), int(c)) for r, c in zip(x, y)], "a double, b double, c double, Rain int")
     best = blending.best_blend(blending.search_blend(df, ["a", "b", "c"], points=21)).first()
     top = 0.0
-    for w in blending.weight_grid(21):
+    grid = [(i / 20, (1 - i / 20) * j / 20) for i in range(21) for j in range(21)]
+    for w in [(a, b, 1 - a - b) for a, b in grid]:
         said = (x[:, 0] * w[0] + x[:, 1] * w[1]) + x[:, 2] * w[2] >= 0.5
         tp = int((said & (y == 1)).sum())
         f1 = 2 * tp / (said.sum() + y.sum()) if tp else 0.0
@@ -238,3 +239,27 @@ def test_scalar_edges(spark):
     assert [tuple(r) for r in rows] == [(0, None, 0.12), (1, 1.5, 0.38)]
     assert S.time_column(df) is None
     assert S.safe_ratio(F.lit(1), F.lit(0)) is not None
+
+
+@pytest.mark.parametrize("points", [2, 11, 101])
+def test_every_blend_is_a_plain_comparison(spark, points):
+    """All combinations, with ties at the threshold, equal probabilities, nulls and NaN."""
+    rng = np.random.default_rng(8)
+    x = np.vstack([rng.random((60, 3)), rng.choice([0.0, 0.25, 0.5, 0.75, 1.0], (60, 3)), np.full((3, 3), 0.5), np.repeat(rng.random((20, 1)), 3, 1), [[0.7, 0.5 + 1e-9, 0.5 - 1e-9]]])
+    y = rng.integers(0, 2, len(x))
+    rows = [(*map(float, r), int(c)) for r, c in zip(x, y)]
+    rows += [(None, 0.9, 0.9, 1), (float("nan"), 0.9, 0.9, 0), (0.9, 0.9, 0.9, None)]
+    df = spark.createDataFrame(rows, "p double, q double, r double, Rain int")
+    found = {r.idx: r for r in blending.search_blend(df, ["p", "q", "r"], points=points).collect()}
+    assert len(found) == points * points
+    for k, r in found.items():
+        said = x[:, 0] * r.w_0 + x[:, 1] * r.w_1 + x[:, 2] * r.w_2 >= 0.5
+        assert (r.tp, r.fp) == ((said & (y == 1)).sum(), (said & (y == 0)).sum()), k
+    plan = blending.search_blend(df, ["p", "q", "r"], points=points)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_blends_of_nothing(spark):
+    none = spark.createDataFrame([], "p double, q double, r double, Rain int")
+    rows = blending.search_blend(none, ["p", "q", "r"], points=3).collect()
+    assert len(rows) == 9 and all((r.tp, r.fp) == (0, 0) for r in rows)
