@@ -23,7 +23,8 @@ def compare_blends(df: DataFrame, probs: Sequence[str], label: str = "Rain", set
     return compare_models(df, models, label, DEFAULT_THRESHOLD)
 
 
-#: Probabilities closer than this are tried at every weight: rounding alone may turn their class.
+#: Last probabilities closer than this, with a blend as close to the threshold, are tried at every
+#: weight: rounding alone may turn their class.
 CLOSE = 1e-6
 
 
@@ -39,37 +40,56 @@ def search_blend(df: DataFrame, probs: Sequence[str], label: str = "Rain", point
     Rows without a class of 0 or 1 are not counted; rows with a null or NaN probability count as dry
     forecasts. An empty table gives every combination with zeros.
     """
-    p0, p1, p2 = (F.col(p).cast("double") for p in probs)
+    p0, p1, p2 = (F.nanvl(F.col(p).cast("double"), F.lit(None).cast("double")) for p in probs)
     last = points - 1
     rows = df.where(F.col(label).isin(0, 1)).select(F.col(label).alias("y"), p0.alias("p0"), p1.alias("p1"), p2.alias("p2"))
-    whole = [F.col(p).isNotNull() & ~F.isnan(p) for p in ("p0", "p1", "p2")]
-    rows = rows.where(whole[0] & whole[1] & whole[2]).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(last))))
-    rows = rows.withColumn("a", F.when(F.col("i") == last, 1.0).otherwise(F.col("i") * F.lit(1.0 / last)))
+    half, a, i = F.lit(DEFAULT_THRESHOLD), F.col("a"), F.col("i")
+    first_weight = F.when(i == last, 1.0).otherwise(i * F.lit(1.0 / last))
+
+    def by_weight(some: DataFrame) -> DataFrame:
+        return some.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(last)))).withColumn("a", first_weight)
+
+    def blended(j: Column) -> Column:
+        b = F.when(j == last, 1 - a).otherwise(j * ((1 - a) / last))
+        return F.col("p0") * a + F.col("p1") * b + F.col("p2") * (1 - a - b)
 
     def said(j: Column) -> Column:
-        b = F.when(j == last, 1 - F.col("a")).otherwise(j * ((1 - F.col("a")) / last))
-        return F.col("p0") * F.col("a") + F.col("p1") * b + F.col("p2") * (1 - F.col("a") - b) >= DEFAULT_THRESHOLD
+        return F.coalesce(blended(j) >= half, F.lit(False))
 
-    slope = (F.col("p1") - F.col("p2")) * ((1 - F.col("a")) / last)
-    turn = (F.lit(DEFAULT_THRESHOLD) - F.col("p0") * F.col("a") - F.col("p2") * (1 - F.col("a"))) / F.nullif(slope, F.lit(0.0))
+    # Rows of nearly equal last probabilities whose blend is at the threshold itself.
+    close = F.abs(F.col("p1") - F.col("p2")) < CLOSE
+    tight = F.coalesce(close & (F.abs(blended(F.lit(0)) - half) < 2 * CLOSE) & (a < 1), F.lit(False))
+    slope = (F.col("p1") - F.col("p2")) * ((1 - a) / last)
+    turn = (half - F.col("p0") * a - F.col("p2") * (1 - a)) / F.nullif(slope, F.lit(0.0))
     near = F.floor(F.least(F.greatest(turn, F.lit(0.0)), F.lit(float(last)))).cast("int")
-    around = F.sequence(F.greatest(near - 1, F.lit(1)), F.least(near + 2, F.lit(last)))
-    tried = F.when(F.col("a") == 1, F.array().cast("array<int>")).when(F.abs(F.col("p1") - F.col("p2")) < CLOSE, F.sequence(F.lit(1), F.lit(last))).otherwise(around)
-    turns = F.filter(tried, lambda j: said(j) != said(j - 1))
-    steps = F.concat(
-        F.array(F.struct(F.lit(0).alias("j"), said(F.lit(0)).cast("int").alias("d"))),
-        F.transform(turns, lambda j: F.struct(j.alias("j"), F.when(said(j), 1).otherwise(-1).alias("d"))),
+    plain = by_weight(rows).where(~tight).select("*", near.alias("near"), said(F.lit(0)).alias("start"), said(F.lit(last)).alias("end"))
+    place = F.least(F.col("near") + 2, F.lit(last))
+    for ahead in (1, 0, -1):  # the earliest place that differs is written outermost
+        at = F.least(F.greatest(F.col("near") + ahead, F.lit(1)), F.lit(last))
+        place = F.when(said(at) != F.col("start"), at).otherwise(place)
+    start, end = F.col("start").cast("int"), F.col("end").cast("int")
+    # At the last weight every row is counted once as place -1: the positives.
+    steps = F.array(
+        F.struct(F.lit(0).alias("j"), start.alias("d")),
+        F.struct(place.alias("j"), (end - start).alias("d")),
+        F.struct(F.lit(-1).alias("j"), (i == last).cast("int").alias("d")),
     )
-    steps = rows.select("y", "i", F.inline(steps)).where("d <> 0")
+    turned = plain.select("y", "i", F.inline(steps))
+    tried = by_weight(rows.where(close)).where(tight).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(last))))
+    was = F.when(F.col("j") > 0, said(F.col("j") - 1)).otherwise(False)
+    tried = tried.select("y", "i", "j", (said(F.col("j")).cast("int") - was.cast("int")).alias("d"))
+    steps = turned.unionByName(tried).where("d <> 0")
     counted = steps.groupBy("i", "j").agg(*[F.sum(F.when(F.col("y") == y, F.col("d")).otherwise(0)).alias(n) for n, y in (("tp", 1), ("fp", 0))])
     grid = df.sparkSession.range(points * points).select((F.col("id") / points).cast("int").alias("i"), (F.col("id") % points).cast("int").alias("j"), F.col("id").cast("int").alias("idx"))
-    w_0 = F.when(F.col("i") == last, 1.0).otherwise(F.col("i") * F.lit(1.0 / last))
+    grid = grid.unionByName(df.sparkSession.range(1).select(F.lit(last).alias("i"), F.lit(-1).alias("j"), F.lit(-1).alias("idx")))
+    w_0 = F.when(i == last, 1.0).otherwise(i * F.lit(1.0 / last))
     w_1 = F.when(F.col("j") == last, 1 - F.col("w_0")).otherwise(F.col("j") * ((1 - F.col("w_0")) / last))
     so_far = Window.partitionBy("i").orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
     table = grid.join(counted, ["i", "j"], "left").withColumn("w_0", w_0).withColumn("w_1", w_1).withColumn("w_2", 1 - F.col("w_0") - F.col("w_1"))
-    table = table.withColumns({n: F.coalesce(F.sum(n).over(so_far), F.lit(0)) for n in ("tp", "fp")})
-    positives = df.agg(F.count_if(F.col(label) == 1).alias("n")).scalar()
-    f1 = safe_ratio(F.col("tp") * 2, F.col("tp") + F.col("fp") + positives)
+    # One row per combination.
+    table = table.withColumn("positives", F.coalesce(F.max(F.when(F.col("j") < 0, F.col("tp"))).over(Window.partitionBy(F.lit(0))), F.lit(0)))
+    table = table.where("j >= 0").withColumns({n: F.coalesce(F.sum(n).over(so_far), F.lit(0)) for n in ("tp", "fp")})
+    f1 = safe_ratio(F.col("tp") * 2, F.col("tp") + F.col("fp") + F.col("positives"))
     return table.select("idx", "w_0", "w_1", "w_2", "tp", "fp", f1.alias("f1"))
 
 
