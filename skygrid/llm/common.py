@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,13 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
+def apart(docs: DataFrame, used: Iterable[str]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with all columns but the used ones under names that clash with nothing, and the columns
+    that give the caller's names back."""
+    held = [c if c in used else f"_column_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*held), [F.col(h).alias(c) for h, c in zip(held, docs.columns)]
+
+
 def semi(df: DataFrame, ids: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows of ``df`` whose key is in ``ids``; ids are broadcast if they are counted to be few."""
     few = ids.count() <= BROADCAST_ROWS

@@ -83,7 +83,7 @@ URL_RULES = (
 def op3_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's verdict. A page's outcome is the label of the document its path numbers."""
     rows = table(spark, sf_dir, "pages").select("page_id", "url")
-    number = F.regexp_extract(urls.parts(F.col("url"))[1], r"^/[^/]*/(\d{1,18})", 1)
+    number = F.regexp_extract(urls.parts(F.col("url"))[1], r"^/[^/]*/(\d{1,18})(?!\d)", 1)
     numbered = rows.select("page_id", number.alias("number")).filter("number <> ''").withColumn("doc_id", F.col("number").cast("long"))
     labels = table(spark, sf_dir, "labels").filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(1 - F.col("quality")).alias("bad"))
     outcomes = numbered.join(labels, "doc_id").select("page_id", "bad")

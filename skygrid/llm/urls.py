@@ -127,12 +127,15 @@ def reputations(hosts: DataFrame, z: float = 1.645, suffixes: Sequence[str] = SU
 def outcomes_by_host(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     """(host, n, bad) for every host of ``pages`` (page_id, host); ``outcomes`` has page_id, bad (0 or 1).
 
+    A page counts once per host, however often its row or its outcome is repeated; of different outcomes
+    the bad one holds. Null ids and outcomes tell nothing.
+
     Hosts are counted before and after the join on page ids, so that a host with a third of all pages
     meets as partial counts.
     """
     seen = pages.groupBy("host").agg(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("bad"))
-    known = outcomes.filter("bad IS NOT NULL")
-    labelled = pages.filter("page_id IS NOT NULL").join(known, "page_id").groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
+    known = outcomes.filter("page_id IS NOT NULL AND bad IS NOT NULL").groupBy("page_id").agg(F.max("bad").alias("bad"))
+    labelled = pages.filter("page_id IS NOT NULL").select("host", "page_id").distinct().join(known, "page_id").groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
     return seen.unionByName(labelled).groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
 
@@ -140,7 +143,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], most_bad
     """page_id, host, path, rule, verdict for every row of ``pages`` (page_id, url).
 
     Null urls and urls without ``://`` have an empty host and path and are judged as that host.
-    Repeated rows stay; an empty table gives none; other columns are not read.
+    Repeated rows stay, and count once as outcomes; an empty table gives none; other columns are not read.
     """
     host, path = parts(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("fit", longest_rule(F.col("host"), F.col("path"), rules))

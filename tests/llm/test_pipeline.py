@@ -71,3 +71,27 @@ def test_short_lines_of_its_own_keep_a_document(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
     left = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
     assert left == {1: shared, 2: verse}
+
+
+CLASHES = ["text_hash", "gone", "gone_id", "gone_hash", "kept", "rejected_by", "leaks", "lines_removed", "label", "places", "pos", "Text"]
+
+
+def test_columns_of_any_name_come_back_as_given(spark, tmp_path):
+    rng = random.Random(13)
+    line = lambda n: " ".join(f"w{rng.randint(0, 3000)}" for _ in range(n))
+    shared, item = line(25), line(30)
+    texts = [line(60) + "\n" + shared for _ in range(6)] + [line(60) + "\n" + item]
+    more = ", ".join(f"`{c}` string" for c in CLASHES)
+    rows = [(i, t, "en", "s", len(t), *(f"{c} {i}" for c in CLASHES)) for i, t in enumerate(texts)]
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        docs = spark.createDataFrame(rows, f"{SCHEMA}, {more}")
+        spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, str(tmp_path))
+            assert out.dtypes == docs.dtypes, name
+            left = out.collect()
+            assert left and all(r[c] == f"{c} {r.doc_id}" for r in left for c in CLASHES), name
+        assert corpus_pipeline.best_fit_packing(spark, docs, "").count() >= len(texts)
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")

@@ -75,3 +75,11 @@ def test_sites_under_a_shared_suffix_are_apart(spark):
         hosts = [(f"www.s{i}.{suffix}", 200, 10 + i % 5) for i in range(40)] + [(f"h{i}.spam.{suffix}", 200, 190) for i in range(5)] + [(f"new.spam.{suffix}", 0, 0), (f"new.{suffix}", 0, 0)]
         out = {r.host: r.bad_mean for r in urls.reputations(spark.createDataFrame(hosts, "host string, n long, bad long")).collect()}
         assert out[f"new.spam.{suffix}"] > 0.8 and out[f"new.{suffix}"] < 0.3, suffix
+
+
+def test_repeated_pages_and_outcomes_count_once(spark):
+    """A page of fifty rows, whose outcome has fifty rows, is one outcome."""
+    pages = spark.createDataFrame([(1, "a.com")] * 50 + [(2, "a.com"), (3, "a.com"), (None, "a.com"), (4, "b.org")], "page_id long, host string")
+    outcomes = spark.createDataFrame([(1, 1)] * 50 + [(2, 0), (2, 0), (3, 0), (3, 1), (None, 1), (4, None)], "page_id long, bad int")
+    found = {r.host: (r.n, r.bad) for r in urls.outcomes_by_host(pages, outcomes).collect()}
+    assert found == {"a.com": (3, 2), "b.org": (0, 0)}
