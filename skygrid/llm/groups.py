@@ -3,13 +3,16 @@
 Rows (key, id) say that ids may belong together. The groups found are those that checking every pair
 of ids with a common key would give:
 
-1. In a few rounds, ids are paired with some ids of their keys' largest groups, and checked. At first
-   every id is a group of its own, and a key's partner is a single id. A large group of copies is one
-   group after these rounds, or nearly.
+1. In rounds, ids are paired with some ids of the largest groups of some of their keys, and the
+   nearest by sketch are checked. At first every id is a group of its own, and a key's partner is a
+   single id. Rounds go on while they link ids. Each makes at most ``KEYS * PARTNERS`` pairs an id, so
+   a large group whose members link becomes one group, or nearly, at a cost that is linear in it.
 2. A pair within a group needs no check. Of each key whose ids are still in several groups, ids
-   outside the key's largest group are paired with all its ids of other groups, and checked.
+   outside the key's largest group are paired with all its ids of other groups, and checked. Keys of
+   more than ``CROWD`` ids can be left to the caller, who knows what links can hold among so many.
 
-Groups are labelled by their smallest id.
+Rounds only save pairs of the second step; what they leave out, it makes. Groups are labelled by their
+smallest id.
 """
 
 from __future__ import annotations
@@ -21,8 +24,13 @@ from pyspark.sql import functions as F
 
 from skygrid.llm.common import semi, written
 
-#: Rounds of the first kind, and the ids of a key's largest group that others are paired with.
-ROUNDS, PARTNERS = 2, 16
+#: Rounds of the first kind at most, an id's keys of one round, the ids of a key's largest group that
+#: others are paired with, and the pairs an id has checked in a round.
+ROUNDS, KEYS, PARTNERS, CHECKED = 8, 4, 16, 3
+#: Keys of more ids are a crowd.
+CROWD = 64
+#: Rounds end when fewer than this share of the ids that they paired were linked.
+WORTH = 0.02
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -56,24 +64,24 @@ def linked(
     near: Callable[[str, str], Column],
     verify: Callable[[DataFrame], DataFrame],
     meeting: Callable[[str, str], Column] | None = None,
+    distance: Callable[[str, str], Column] | None = None,
+    crowd: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(id, label) of the ids that have a verified link; ``keys`` has distinct rows (key, id).
 
-    ``traits`` has one row per id with what ``near`` compares (columns of the aliases x and y): it
-    must hold for every pair that ``verify`` accepts. ``verify`` returns the rows of a DataFrame of
-    pairs (a, b), a > b, that are true links. ``meeting`` names one of the keys that two ids share:
-    a pair with many common keys is then made under that one only.
+    ``traits`` has one row per id with what ``near`` and ``distance`` compare (columns of the aliases x
+    and y): ``near`` must hold for every pair that ``verify`` accepts, and ``distance`` says which pairs
+    are worth a check first. ``verify`` returns the rows of a DataFrame of pairs (a, b), a > b, that
+    are true links. ``meeting`` names one of the keys that two ids share: a pair with many common keys
+    is then made under that one only. ``crowd`` returns (x, y), all pairs of ids with different labels
+    that may link, of rows (crowd, id, label): the ids that share a crowded key are in one crowd.
     """
     keys = shared(keys)
     spark = keys.sparkSession
     edges, labels, asked = None, spark.createDataFrame([], "id long, label long"), None
     for turn in range(ROUNDS):
-        rows = _contested(keys, labels, traits, f"contested-{turn}")
-        partners = rows.filter("label = top")
-        place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(turn))))
-        partners = partners.withColumn("place", place).filter(F.col("place") <= PARTNERS).drop("place")
-        met = _pairs(rows, partners, near, None).groupBy("x").agg(F.min(F.struct(F.xxhash64("y", F.lit(turn)), "y")).alias("best"))
-        pairs = met.select(F.greatest("x", "best.y").alias("a"), F.least("x", "best.y").alias("b")).distinct()
+        met = written(_round(_contested(keys, labels, f"contested-{turn}"), traits, near, distance, turn), "nearest")
+        pairs = met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
         if asked is not None:
             pairs = pairs.join(asked, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
@@ -84,9 +92,18 @@ def linked(
         if found.isEmpty():
             break
         edges = found if edges is None else edges.unionByName(found)
-        labels = connected(edges)
-    rows = _contested(keys, labels, traits, "contested")
-    rest = _pairs(rows, rows, near, meeting).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+        was, labels = labels, connected(edges)
+        if _groups_joined(was, labels) < WORTH * met.select("x").distinct().count():
+            break
+    rows = _contested(keys, labels, "contested")
+    few = (rows.filter(F.col("n_ids") <= CROWD) if crowd else rows).join(traits, "id")
+    x, y = few.filter("label <> top").alias("x"), few.alias("y")
+    once = F.col("x.key") == meeting("x", "y") if meeting else F.lit(True)
+    rest = x.join(y, _apart("x", "y") & near("x", "y") & once).select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
+    if crowd:
+        many = rows.filter(F.col("n_ids") > CROWD).select(F.col("top").alias("crowd"), "id", "label").distinct()
+        rest = rest.unionByName(crowd(written(many, "crowds")))
+    rest = rest.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
     rest = written(rest.join(asked, ["a", "b"], "left_anti"), "pairs")
     if rest.isEmpty():
         return labels
@@ -96,17 +113,33 @@ def linked(
     return connected(more if edges is None else edges.unionByName(more))
 
 
-def _contested(keys: DataFrame, labels: DataFrame, traits: DataFrame, name: str) -> DataFrame:
-    """The rows of keys whose ids are in several groups: with label, the key's largest label, and traits."""
+def _groups_joined(was: DataFrame, now: DataFrame) -> int:
+    """How many groups fewer there are, ids without a label being groups of their own."""
+    size = F.struct(F.count("*"), F.count_distinct("label"))
+    (ids0, groups0), (ids1, groups1) = was.agg(size).first()[0], now.agg(size).first()[0]
+    return (ids1 - groups1) - (ids0 - groups0)
+
+
+def _contested(keys: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """The rows of keys whose ids are in several groups: with label, the key's largest label and
+    how many ids that and the key have."""
     named = keys.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    per = named.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"))
-    several = per.filter("labels > 1").select("key", F.col("top.label").alias("top"))
-    return written(named.join(several, "key").join(traits, "id"), name)
+    per = named.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"), F.sum("n").alias("n_ids"))
+    several = per.filter("labels > 1").select("key", F.col("top.label").alias("top"), F.col("top.n").alias("size"), "n_ids")
+    return written(named.join(several, "key"), name)
 
 
-def _pairs(rows: DataFrame, others: DataFrame, near: Callable[[str, str], Column], meeting: Callable[[str, str], Column] | None) -> DataFrame:
-    """(x, y): rows outside their key's largest group with near ``others`` of the key in another group."""
-    x, y = rows.filter("label <> top").alias("x"), others.alias("y")
-    once = F.col("x.key") == meeting("x", "y") if meeting else F.lit(True)
-    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label"))
-    return x.join(y, same & near("x", "y") & once).select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
+def _apart(x: str, y: str) -> Column:
+    return (F.col(f"{x}.key") == F.col(f"{y}.key")) & (F.col(f"{x}.label") != F.col(f"{y}.label"))
+
+
+def _round(rows: DataFrame, traits: DataFrame, near: Callable[[str, str], Column], distance: Callable[[str, str], Column] | None, turn: int) -> DataFrame:
+    """(x, y): ids outside their key's largest group with the ``CHECKED`` nearest of some of its ids."""
+    first = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("size"), F.xxhash64("key", F.lit(turn))))
+    x = rows.filter("label <> top").withColumn("place", first).filter(F.col("place") <= KEYS).join(traits, "id").alias("x")
+    first = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(turn))))
+    y = rows.filter("label = top").withColumn("place", first).filter(F.col("place") <= PARTNERS).join(traits, "id").alias("y")
+    far = distance("x", "y") if distance else F.lit(0)
+    pairs = x.join(y, _apart("x", "y") & near("x", "y")).select(F.col("x.id").alias("x"), F.struct(far.alias("far"), F.xxhash64("y.id", F.lit(turn)), F.col("y.id").alias("y")).alias("met"))
+    nearest = pairs.groupBy("x").agg(F.slice(F.sort_array(F.collect_set("met")), 1, CHECKED).alias("met"))
+    return nearest.select("x", F.explode("met.y").alias("y"))

@@ -6,6 +6,9 @@ values, and all pairs give 64 tables: two documents meet if they agree on some h
 collection and on some of the second. At similarity 0.8 they do with probability
 (1 - (1 - 0.64)^8)^2 = 0.9994. Only hashes that another document has as well are paired up.
 
+A table key that many documents share is met by differences from a centre (``crowd_pairs``), not by
+all pairs: near copies of one text that mostly do not reach the similarity would make them all.
+
 Documents with the same shingle set are one class from the start; classes that meet are checked on
 their full sets, and connected classes form a component. Before that, four bits of each of 64 minwise
 values (32 of them computed for this alone) rule out pairs that are far from similar.
@@ -17,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skygrid.llm.common import rows_of, semi, small_batches, worker_state, written
+from skygrid.llm.common import BROADCAST_ROWS, rows_of, semi, small_batches, worker_state, written
 from skygrid.llm.groups import linked, shared
 
 HALVES = 8
@@ -30,6 +33,10 @@ MULTIPLIERS = _RANDOM.integers(1, 1 << 62, 8 * HALVES, dtype=np.uint64) * np.uin
 OFFSETS = _RANDOM.integers(0, 1 << 62, 8 * HALVES, dtype=np.uint64)
 PLACES = _RANDOM.integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 KEPT_WORDS = 200_000
+#: At similarity 0.8, 12 of 64 minwise values are expected to differ, with a standard deviation of 3.1.
+MOST_DIFFERING = 25
+#: Members whose shingles make a crowd's centre, and copies of a centre that its members are dealt to.
+CENTRE_OF, SALTS = 32, 32
 
 
 def _word_hashes():
@@ -128,6 +135,82 @@ def similarity_check(docs: DataFrame, size: int, percent: int):
     return verify
 
 
+def differing(x: str, y: str) -> Column:
+    """How many of the 64 minwise values of two documents differ in their low bits."""
+
+    def in_column(c: str) -> Column:
+        d = F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
+        return F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return sum((in_column(c) for c in LOW), F.lit(0))
+
+
+def crowd_pairs(docs: DataFrame, size: int, percent: int):
+    """Pairs (x, y) of a crowd's ids that may link, by how their sets differ from the crowd's centre.
+
+    The centre holds the shingles of most of ``CENTRE_OF`` members. Let D be a set's difference from it,
+    of d shingles. Two sets of n shingles differ in as many places as their differences do, and link
+    if those are at most r (n_x + n_y), r = (1 - t) / (1 + t). So
+
+    * with d_x + d_y below that bound they link for certain. Whoever has such a link has one with the
+      member of the largest r n - d, and that one is enough for the groups;
+    * else their differences share (d_x + d_y - r (n_x + n_y)) / 2 shingles. They meet on those, rarest
+      first, and go as soon as too few are left after the first that they share.
+
+    No link is lost, whatever the centre is.
+    """
+    share = (100 - percent) / (100 + percent)
+    longest = share * (1 + 100 / percent)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [shingle_set(t, size).view(np.int64) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "shingles"])
+
+    def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own, centre = (b.column(b.schema.get_field_index(c)) for c in ("shingles", "centre"))
+            d = [np.setxor1d(x.values.to_numpy(), c.values.to_numpy() if c.is_valid else [], assume_unique=True).astype(np.int64) for x, c in zip(own, centre)]
+            keep = [b.column(b.schema.get_field_index(c)) for c in ("crowd", "id", "label")]
+            n = pa.array([len(x.values) for x in own], pa.int64())
+            yield pa.RecordBatch.from_arrays([*keep, n, pa.array(d, pa.list_(pa.int64()))], names=["crowd", "id", "label", "n", "diff"])
+
+    def pairs(members: DataFrame) -> DataFrame:
+        ids = written(members.select(F.col("id").alias("doc_id")).distinct(), "crowd-ids")
+        texts = semi(docs.select(F.col("doc_id").cast("long"), "text"), ids, "doc_id").dropDuplicates(["doc_id"])
+        found = written(texts.mapInArrow(sets, "id long, shingles array<long>"), "crowd-sets")
+        place = F.row_number().over(Window.partitionBy("crowd").orderBy(F.xxhash64("id")))
+        some = members.withColumn("place", place).filter(F.col("place") <= CENTRE_OF).join(found, "id")
+        held = some.select("crowd", F.explode("shingles").alias("e")).groupBy("crowd", "e").agg(F.count("*").alias("held"))
+        sizes = some.groupBy("crowd").agg(F.count("*").alias("asked"))
+        centres = held.join(sizes, "crowd").filter("2 * held > asked").groupBy("crowd").agg(F.collect_list("e").alias("centre"))
+        # A crowd may hold a third of all documents: its members are dealt to SALTS copies of its centre.
+        centres = centres.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(found, "id").join(centres, ["crowd", "salt"], "left")
+        apart = salted.select("crowd", "id", "label", "shingles", "centre").mapInArrow(differences, "crowd long, id long, label long, n long, diff array<long>")
+        apart = written(apart.withColumn("d", F.size("diff")), "crowd-differences")
+        slack = share * F.col("n") - F.col("d")
+        hubs = apart.groupBy("crowd").agg(F.max(F.struct(slack.alias("slack"), F.col("id"), F.col("label"))).alias("hub"))
+        certain = apart.join(F.broadcast(hubs) if hubs.count() <= BROADCAST_ROWS else hubs, "crowd").filter((slack + F.col("hub.slack") >= -1e-6) & (F.col("label") != F.col("hub.label")))
+        certain = certain.select(F.col("id").alias("x"), F.col("hub.id").alias("y"))
+        rows = apart.select("crowd", "id", "label", "n", "d", F.explode("diff").alias("e"))
+        often = rows.groupBy("crowd", "e").agg(F.count("*").alias("often"))
+        # The rarest of a document are those that it alone has; they only count as places passed.
+        ranked = rows.join(often, ["crowd", "e"]).withColumn("p", F.row_number().over(Window.partitionBy("crowd", "id").orderBy("often", "e")) - 1)
+        ranked = written(ranked.filter((F.col("often") > 1) & (F.col("p") <= longest * F.col("n") + 1e-6)).drop("often"), "crowd-places")
+        x, y = ranked.alias("x"), ranked.alias("y")
+        left = F.least(F.col("x.d") - F.col("x.p"), F.col("y.d") - F.col("y.p"))
+        need = (F.col("x.d") + F.col("y.d") - share * (F.col("x.n") + F.col("y.n"))) / 2
+        few, many = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+        same = (F.col("x.crowd") == F.col("y.crowd")) & (F.col("x.e") == F.col("y.e")) & (F.col("x.id") > F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
+        met = x.join(y, same & (need > -1e-6) & (left >= need - 1e-6) & (100 * few >= percent * many))
+        return certain.unionByName(met.select(F.col("x.id").alias("x"), F.col("y.id").alias("y")))
+
+    return pairs
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
@@ -148,19 +231,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     keys = sides.select(F.explode(table_keys).alias("key"), "id")
 
     def close(x: str, y: str) -> Column:
-        """Set sizes allow the similarity, and of the 64 minwise values' low bits at most 25 differ.
-
-        At similarity 0.8, 12 are expected to differ, with a standard deviation of 3.1.
-        """
+        """Set sizes allow the similarity, and few of the minwise values differ."""
         few, many = F.least(f"{x}.n_shingles", f"{y}.n_shingles"), F.greatest(f"{x}.n_shingles", f"{y}.n_shingles")
-
-        def differing(c: str) -> Column:
-            d = F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))
-            d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
-            d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
-            return F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
-
-        return (100 * few >= percent * many) & (sum((differing(c) for c in LOW), F.lit(0)) <= 25)
+        return (100 * few >= percent * many) & (differing(x, y) <= MOST_DIFFERING)
 
     def meeting(x: str, y: str) -> Column:
         """The key of the first hashes of each collection that agree."""
@@ -172,7 +245,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     halves_of = [f"{side}{i}" for side in "ab" for i in range(HALVES)]
     traits = classes.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n_shingles", *LOW, *halves_of)])
-    labels = linked(keys, traits, close, similarity_check(docs, size, percent), meeting)
+    labels = linked(keys, traits, close, similarity_check(docs, size, percent), meeting, differing, crowd_pairs(docs, size, percent))
     named = classes.join(labels, "id", "left").filter("n > 1 OR label IS NOT NULL").select("set1", "set2", F.coalesce("label", "id").alias("component_id"))
     named = written(named, "components")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))

@@ -100,6 +100,56 @@ def test_near_duplicates(spark, corpus, size):
     assert sorted(r.doc_id or -1 for r in kept.collect()) == sorted((i or -1) if i is None or want[i] == i else -2 for i, _ in corpus if i is None or want[i] == i)
 
 
+def near_copies(rng, n, replaced):
+    """Texts of 300 words, each the base with some words replaced: 6 give a mean similarity of 0.74, 3 of 0.85."""
+    base = prose(rng, 300)
+    for _ in range(n):
+        words = list(base)
+        for _ in range(replaced):
+            words[rng.randrange(300)] = f"n{rng.randint(0, 99_999)}"
+        yield " ".join(words)
+
+
+def test_pairs_of_a_crowd(spark, monkeypatch):
+    """Near copies of one text around the threshold: components of brute force. Pairs grow in proportion
+    to copies that link; those that mostly do not still make some of all pairs."""
+    made, plain = [], groups.written
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name == "pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(groups, "written", counted)
+    asked = {}
+    for n, replaced in ((200, 3), (600, 3), (200, 6)):
+        rows = list(enumerate(near_copies(random.Random(n), n, replaced)))
+        made.clear()
+        docs = spark.createDataFrame([(i, t, "l", "c", 1, 2) for i, t in rows], SCHEMA)
+        out = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, 4).collect()}
+        sets = {i: shingles(t, 4) for i, t in rows}
+        links = [(a, b) for (a, x), (b, y) in combinations(sets.items(), 2) if 100 * len(x & y) >= 80 * len(x | y)]
+        want = components(sets, links)
+        assert sum(out[i] != want[i] for i in sets) <= 0.01 * n
+        asked[n, replaced] = sum(made)
+    assert asked[600, 3] <= 4 * asked[200, 3] <= 4 * 10 * 200
+    assert asked[200, 6] <= 0.5 * 200 * 199 / 2
+
+
+def test_crowd_pairs_lose_no_link(spark):
+    """Every component of a crowd's links can be built from its pairs, whatever the labels."""
+    rng = random.Random(3)
+    texts = [*near_copies(rng, 80, 4), *near_copies(rng, 40, 5), "", None, "one", " ".join(prose(rng, 2000))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    members = spark.createDataFrame([(1, i, i // 2) for i in range(len(texts))] + [(2, i, i) for i in range(0, len(texts), 3)], "crowd long, id long, label long")
+    got = {(max(r), min(r)) for r in minhash.crowd_pairs(docs, 4, 80)(members).collect()}
+    sets = {i: shingles(t, 4) for i, t in enumerate(texts)}
+    links = {(b, a) for a, b in combinations(sets, 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    same = [(i, i + 1) for i in range(0, len(texts) - 1, 2)]
+    assert components(sets, [*same, *(got & links)]) == components(sets, [*same, *links])
+
+
 def test_no_documents(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert minhash.near_duplicates(none).count() == 0 and minhash.first_of_groups(none).count() == 0
