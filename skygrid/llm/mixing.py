@@ -5,7 +5,7 @@ one escape; every bit of a code is a binary decision at a node of the code's tre
 bit are counts of its outcomes in four contexts: the node alone; the node with the word before, with
 the two words before, and with the word before the last, the three hashed into tables of fixed size.
 A mixer adds the predictors' log odds by weights that a gate selects (how much the two closest
-contexts have seen), learned online in the tasks; a last table refines what the mixer says by what
+contexts have seen), learned online in shards of documents; a last table refines what the mixer says by what
 came true. An escaped word costs its smoothed share of the escaped words' counts in addition.
 
 Predictors learn from eight of nine training folds, mixer and refinement from the ninth, so that
@@ -20,7 +20,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,8 @@ FOLDS, HELD_OUT_FOLD, MIXER_FOLD = 10, 0, 1
 #: The code's words, the log2 of a context table's slots, counters kept while counting words.
 HEAD, TABLE_BITS, KEPT_WORDS = 262_144, 20, 400_000
 CONTEXTS, GATES, INPUTS, CELLS = 3, 16, 5, 33
-CHUNK = 65_536
+#: Documents of a shard, on average, that one mixer learns from.
+CHUNK, SHARD_DOCS = 65_536, 1024
 BLOCK = 1 << 14
 END = ""  # no word is empty
 START_HASH = np.uint64(0x51A7)
@@ -289,11 +290,19 @@ def _placed(value: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
 
 
 def mixer_weights(docs: DataFrame, code: Code, tables: np.ndarray) -> np.ndarray:
-    """gates x inputs: online logistic regression in every task, averaged by the bits a gate has seen."""
+    """gates x inputs: online logistic regression in every shard of documents, averaged by the bits a gate
+    has seen.
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Documents are dealt to shards by a hash of their ids, and are learned in order of id there: weights
+    do not depend on files, partitions or lost executors. Shards number with the documents.
+    """
+    shards = 1 + docs.count() // SHARD_DOCS
+    dealt = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard"), "doc_id", "text")
+    order = ["shard", "doc_id", "text"]
+
+    def learned(texts: Iterator[str | None]) -> pa.RecordBatch:
         weights, squares, seen = FIRST_WEIGHTS.copy(), np.full((GATES, INPUTS), 1e-6), np.zeros(GATES)
-        for _, symbols, last, second in _streams(code, ((0, words_of(t)) for (t,) in rows_of(batches, "text"))):
+        for _, symbols, last, second in _streams(code, ((0, words_of(t)) for t in texts)):
             _, bit, gate, x = _inputs(code, tables, symbols, last, second)
             for a in range(0, len(bit), 4096):
                 g, part = gate[a : a + 4096], x[:, a : a + 4096]
@@ -303,9 +312,14 @@ def mixer_weights(docs: DataFrame, code: Code, tables: np.ndarray) -> np.ndarray
                 weights += 0.05 * step / np.sqrt(squares)
                 seen += np.bincount(g, minlength=GATES)
         every = np.repeat(seen[:, None], INPUTS, axis=1)
-        yield _placed(weights * every, every)
+        return _placed(weights * every, every)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in groupby(rows_of(batches, "shard", "text"), key=lambda row: row[0]):
+            yield learned(text for _, text in rows)
 
-    value, weight = _summed(docs.select("text").mapInArrow(task, "place long, value double, weight double"), (GATES, INPUTS))
+    parts = dealt.repartition("shard").sortWithinPartitions(*order).mapInArrow(task, "place long, value double, weight double")
+    value, weight = _summed(parts, (GATES, INPUTS))
     return np.where(weight > 0, value / np.maximum(weight, 1), FIRST_WEIGHTS)
 
 

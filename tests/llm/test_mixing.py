@@ -1,6 +1,7 @@
 """Context mixing: base scores against a plain count, a proper code, and held-out gain."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -78,3 +79,11 @@ def test_chunks_do_not_change_streams(monkeypatch):
     monkeypatch.setattr(mixing, "CHUNK", 3)
     parts = [np.concatenate(x) for x in zip(*mixing._streams(code, iter(texts)))]
     assert all((x == y).all() for x, y in zip(whole, parts))
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.7))}" for _ in range(rng.randint(5, 80)))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one, many = ({r.doc_id: r.score for r in mixing.score(docs.repartition(n)).collect()} for n in (1, 7))
+    assert one.keys() == many.keys() and all(abs(one[i] - many[i]) <= 1e-6 * abs(one[i]) for i in one)
