@@ -24,6 +24,9 @@ RUNTIME_CONF = {
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Jobs end in written tables, so shuffle files are of no use once a query has run; a query run again
+    # finds them missing and shuffles once more.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
