@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Iterable, Iterator
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +29,34 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+#: The folders of scratch tables.
+_TABLES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: it cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _TABLES[table] = path
+    return table
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` itself if it is a written table, else written."""
+    return df if df in _TABLES else written(df, name)
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete the files of written tables that no later read needs: whatever was made of them is written
+    too. Anything but a written table is left alone."""
+    for table in tables:
+        path = _TABLES.pop(table, None) if table is not None else None
+        if path is not None:
+            context = table.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def lower_ascii(column: Column) -> Column:

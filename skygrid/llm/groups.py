@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skygrid.llm.common import semi, written
+from skygrid.llm.common import discard, semi, stored, written
 
 #: Rounds of the first kind at most, an id's keys of one round, the ids of a key's largest group that
 #: others are paired with, and the pairs an id has checked in a round.
@@ -34,7 +34,7 @@ WORTH = 0.02
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """(id, label) of every id in ``edges`` (a, b): label is the smallest id it is connected with.
+    """(id, label, was) of every id in ``edges`` (a, b): label is the smallest id it is connected with.
 
     Every round takes the smallest label among neighbours, then that label's own label; each is
     written, so that lineage stays short. Rounds go with the logarithm of a group's width.
@@ -47,15 +47,19 @@ def connected(edges: DataFrame) -> DataFrame:
         jump = labels.select(F.col("id").alias("label"), F.col("label").alias("further"))
         step = low.join(jump, "label").select("id", "was", F.least("label", "further").alias("label"))
         step = written(step, "labels")
-        labels = step.select("id", "label")
+        discard(labels)
+        labels = step
         if step.filter("label <> was").isEmpty():
+            discard(both)
             return labels
 
 
 def shared(keys: DataFrame) -> DataFrame:
     """The rows of ``keys`` whose key has several rows."""
     several = written(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "shared-keys")
-    return written(semi(keys, several, "key"), "keys")
+    out = written(semi(keys, several, "key"), "keys")
+    discard(several)
+    return out
 
 
 def linked(
@@ -72,28 +76,35 @@ def linked(
     ``traits`` has one row per id with what ``near`` and ``distance`` compare (columns of the aliases x
     and y): ``near`` must hold for every pair that ``verify`` accepts, and ``distance`` says which pairs
     are worth a check first. ``verify`` returns the rows of a DataFrame of pairs (a, b), a > b, that
-    are true links. ``meeting`` names one of the keys that two ids share: a pair with many common keys
-    is then made under that one only. ``crowd`` returns (x, y), all pairs of ids with different labels
+    are true links; a written table is used as it is. ``meeting`` names one of the keys that two ids
+    share: a pair with many common keys is then made under that one only. ``crowd`` returns (x, y), all pairs of ids with different labels
     that may link, of rows (crowd, id, label): the ids that share a crowded key are in one crowd.
     """
     keys = shared(keys)
     spark = keys.sparkSession
     edges, labels, asked = None, spark.createDataFrame([], "id long, label long"), None
+    tables = [keys]
     for turn in range(ROUNDS):
-        met = written(_round(_contested(keys, labels, f"contested-{turn}"), traits, near, distance, turn), "nearest")
+        rows = _contested(keys, labels, f"contested-{turn}")
+        met = written(_round(rows, traits, near, distance, turn), "nearest")
+        discard(rows)
         pairs = met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
         if asked is not None:
             pairs = pairs.join(asked, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
+        tables += [met, pairs]
         asked = pairs if asked is None else asked.unionByName(pairs)
         if pairs.isEmpty():
             break
-        found = written(verify(pairs), "links")
+        found = stored(verify(pairs), "links")
+        tables.append(found)
         if found.isEmpty():
             break
         edges = found if edges is None else edges.unionByName(found)
         was, labels = labels, connected(edges)
-        if _groups_joined(was, labels) < WORTH * met.select("x").distinct().count():
+        joined = _groups_joined(was, labels)
+        discard(was)
+        if joined < WORTH * met.select("x").distinct().count():
             break
     rows = _contested(keys, labels, "contested")
     few = (rows.filter(F.col("n_ids") <= CROWD) if crowd else rows).join(traits, "id")
@@ -101,16 +112,21 @@ def linked(
     once = F.col("x.key") == meeting("x", "y") if meeting else F.lit(True)
     rest = x.join(y, _apart("x", "y") & near("x", "y") & once).select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
     if crowd:
-        many = rows.filter(F.col("n_ids") > CROWD).select(F.col("top").alias("crowd"), "id", "label").distinct()
-        rest = rest.unionByName(crowd(written(many, "crowds")))
+        many = written(rows.filter(F.col("n_ids") > CROWD).select(F.col("top").alias("crowd"), "id", "label").distinct(), "crowds")
+        tables.append(many)
+        tables.append(crowd(many))
+        rest = rest.unionByName(tables[-1])
     rest = rest.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
     rest = written(rest.join(asked, ["a", "b"], "left_anti"), "pairs")
-    if rest.isEmpty():
-        return labels
-    more = written(verify(rest), "links")
-    if more.isEmpty():
-        return labels
-    return connected(more if edges is None else edges.unionByName(more))
+    discard(rows)
+    if not rest.isEmpty():
+        more = stored(verify(rest), "links")
+        tables.append(more)
+        if not more.isEmpty():
+            was, labels = labels, connected(more if edges is None else edges.unionByName(more))
+            discard(was)
+    discard(rest, *tables)
+    return labels.select("id", "label")
 
 
 def _groups_joined(was: DataFrame, now: DataFrame) -> int:
@@ -123,7 +139,7 @@ def _groups_joined(was: DataFrame, now: DataFrame) -> int:
 def _contested(keys: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     """The rows of keys whose ids are in several groups: with label, the key's largest label and
     how many ids that and the key have."""
-    named = keys.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    named = keys.join(labels.select("id", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     per = named.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"), F.sum("n").alias("n_ids"))
     several = per.filter("labels > 1").select("key", F.col("top.label").alias("top"), F.col("top.n").alias("size"), "n_ids")
     return written(named.join(several, "key"), name)

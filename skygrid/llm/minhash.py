@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skygrid.llm.common import BROADCAST_ROWS, rows_of, semi, small_batches, worker_state, written
+from skygrid.llm.common import BROADCAST_ROWS, discard, rows_of, semi, small_batches, worker_state, written
 from skygrid.llm.groups import linked, shared
 
 HALVES = 8
@@ -130,7 +130,9 @@ def similarity_check(docs: DataFrame, size: int, percent: int):
         found = written(texts.mapInArrow(sets, "id long, shingles binary"), "near-sets")
         x = found.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
         y = found.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-        return pairs.join(x, "a").join(y, "b").mapInArrow(check, "a long, b long").distinct()
+        links = written(pairs.join(x, "a").join(y, "b").mapInArrow(check, "a long, b long").distinct(), "links")
+        discard(ids, found)
+        return links
 
     return verify
 
@@ -206,7 +208,9 @@ def crowd_pairs(docs: DataFrame, size: int, percent: int):
         few, many = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
         same = (F.col("x.crowd") == F.col("y.crowd")) & (F.col("x.e") == F.col("y.e")) & (F.col("x.id") > F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
         met = x.join(y, same & (need > -1e-6) & (left >= need - 1e-6) & (100 * few >= percent * many))
-        return certain.unionByName(met.select(F.col("x.id").alias("x"), F.col("y.id").alias("y")))
+        out = written(certain.unionByName(met.select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))), "crowd-pairs")
+        discard(ids, found, apart, ranked)
+        return out
 
     return pairs
 
@@ -248,6 +252,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     labels = linked(keys, traits, close, similarity_check(docs, size, percent), meeting, differing, crowd_pairs(docs, size, percent))
     named = classes.join(labels, "id", "left").filter("n > 1 OR label IS NOT NULL").select("set1", "set2", F.coalesce("label", "id").alias("component_id"))
     named = written(named, "components")
+    discard(classes, met)
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     out = rows.join(named, ["set1", "set2"], "left")
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
