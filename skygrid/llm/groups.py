@@ -5,7 +5,7 @@ of ids with a common key would give:
 
 1. In rounds, ids are paired with some ids of the largest groups of some of their keys, and the
    nearest by sketch are checked. At first every id is a group of its own, and a key's partner is a
-   single id. Rounds go on while they link ids. Each makes at most ``KEYS * PARTNERS`` pairs an id, so
+   single id. Keys of few ids wait for the second step: they make few pairs. Rounds go on while they link ids. Each makes at most ``KEYS * PARTNERS`` pairs an id, so
    a large group whose members link becomes one group, or nearly, at a cost that is linear in it.
 2. A pair within a group needs no check. Of each key whose ids are still in several groups, ids
    outside the key's largest group are paired with all its ids of other groups, and checked. Keys of
@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skygrid.llm.common import discard, semi, stored, written
+from skygrid.llm.common import BROADCAST_ROWS, discard, semi, stored, written
 
 #: Rounds of the first kind at most, an id's keys of one round, the ids of a key's largest group that
 #: others are paired with, and the pairs an id has checked in a round.
@@ -62,6 +62,16 @@ def shared(keys: DataFrame) -> DataFrame:
     return out
 
 
+def _first(keys: DataFrame) -> DataFrame:
+    """The rows of keys that several ids share, every id being a group of its own: as ``_contested``."""
+    several = keys.groupBy("key").agg(F.max("id").alias("top"), F.count("*").alias("n_ids")).filter("n_ids > 1")
+    several = written(several.select("key", "top", F.lit(1).cast("long").alias("size"), "n_ids"), "shared-keys")
+    met = F.broadcast(several) if several.count() <= BROADCAST_ROWS else several
+    out = written(keys.withColumn("label", F.col("id")).join(met, "key"), "contested")
+    discard(several)
+    return out
+
+
 def linked(
     keys: DataFrame,
     traits: DataFrame,
@@ -70,6 +80,8 @@ def linked(
     meeting: Callable[[str, str], Column] | None = None,
     distance: Callable[[str, str], Column] | None = None,
     crowd: Callable[[DataFrame], DataFrame] | None = None,
+    few: int = 0,
+    read_once: DataFrame | None = None,
 ) -> DataFrame:
     """(id, label) of the ids that have a verified link; ``keys`` has distinct rows (key, id).
 
@@ -79,15 +91,15 @@ def linked(
     are true links; a written table is used as it is. ``meeting`` names one of the keys that two ids
     share: a pair with many common keys is then made under that one only. ``crowd`` returns (x, y), all pairs of ids with different labels
     that may link, of rows (crowd, id, label): the ids that share a crowded key are in one crowd.
+    Rounds leave out keys of up to ``few`` ids. ``read_once`` is a written table that only ``keys`` reads.
     """
-    keys = shared(keys)
     spark = keys.sparkSession
+    rows = _first(keys)
+    discard(read_once)
     edges, labels, asked = None, spark.createDataFrame([], "id long, label long"), None
-    tables = [keys]
+    tables: list[DataFrame] = []
     for turn in range(ROUNDS):
-        rows = _contested(keys, labels, f"contested-{turn}")
-        met = written(_round(rows, traits, near, distance, turn), "nearest")
-        discard(rows)
+        met = written(_round(rows.filter(F.col("n_ids") > few), traits, near, distance, turn), "nearest")
         pairs = met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
         if asked is not None:
             pairs = pairs.join(asked, ["a", "b"], "left_anti")
@@ -104,11 +116,11 @@ def linked(
         was, labels = labels, connected(edges)
         joined = _groups_joined(was, labels)
         discard(was)
+        rows = _contested(rows, labels)
         if joined < WORTH * met.select("x").distinct().count():
             break
-    rows = _contested(keys, labels, "contested")
-    few = (rows.filter(F.col("n_ids") <= CROWD) if crowd else rows).join(traits, "id")
-    x, y = few.filter("label <> top").alias("x"), few.alias("y")
+    asked_all = (rows.filter(F.col("n_ids") <= CROWD) if crowd else rows).join(traits, "id")
+    x, y = asked_all.filter("label <> top").alias("x"), asked_all.alias("y")
     once = F.col("x.key") == meeting("x", "y") if meeting else F.lit(True)
     rest = x.join(y, _apart("x", "y") & near("x", "y") & once).select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
     if crowd:
@@ -136,13 +148,17 @@ def _groups_joined(was: DataFrame, now: DataFrame) -> int:
     return (ids1 - groups1) - (ids0 - groups0)
 
 
-def _contested(keys: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+def _contested(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of keys whose ids are in several groups: with label, the key's largest label and
-    how many ids that and the key have."""
-    named = keys.join(labels.select("id", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    how many ids that and the key have. A key that is in one group stays so: ``rows`` are replaced."""
+    few = labels.count() <= BROADCAST_ROWS
+    labels = labels.select("id", "label")
+    named = rows.select("key", "id").join(F.broadcast(labels) if few else labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     per = named.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"), F.sum("n").alias("n_ids"))
     several = per.filter("labels > 1").select("key", F.col("top.label").alias("top"), F.col("top.n").alias("size"), "n_ids")
-    return written(named.join(several, "key"), name)
+    out = written(named.join(several, "key"), "contested")
+    discard(rows)
+    return out
 
 
 def _apart(x: str, y: str) -> Column:

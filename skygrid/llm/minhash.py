@@ -249,10 +249,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     halves_of = [f"{side}{i}" for side in "ab" for i in range(HALVES)]
     traits = classes.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n_shingles", *LOW, *halves_of)])
-    labels = linked(keys, traits, close, similarity_check(docs, size, percent), meeting, differing, crowd_pairs(docs, size, percent))
+    labels = linked(keys, traits, close, similarity_check(docs, size, percent), meeting, differing, crowd_pairs(docs, size, percent), read_once=met)
     named = classes.join(labels, "id", "left").filter("n > 1 OR label IS NOT NULL").select("set1", "set2", F.coalesce("label", "id").alias("component_id"))
     named = written(named, "components")
-    discard(classes, met)
+    discard(classes)
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     out = rows.join(named, ["set1", "set2"], "left")
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
