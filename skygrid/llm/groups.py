@@ -91,15 +91,16 @@ def linked(
     are true links; a written table is used as it is. ``meeting`` names one of the keys that two ids
     share: a pair with many common keys is then made under that one only. ``crowd`` returns (x, y), all pairs of ids with different labels
     that may link, of rows (crowd, id, label): the ids that share a crowded key are in one crowd.
-    Rounds leave out keys of up to ``few`` ids. ``read_once`` is a written table that only ``keys`` reads.
+    Keys of up to ``few`` ids are left out of rounds; all their pairs are made at the end. ``read_once`` is a written table that only ``keys`` reads.
     """
     spark = keys.sparkSession
-    rows = _first(keys)
+    start = _first(keys)
     discard(read_once)
+    rows = start.filter(F.col("n_ids") > few)
     edges, labels, asked = None, spark.createDataFrame([], "id long, label long"), None
-    tables: list[DataFrame] = []
+    tables = [start]
     for turn in range(ROUNDS):
-        met = written(_round(rows.filter(F.col("n_ids") > few), traits, near, distance, turn), "nearest")
+        met = written(_round(rows, traits, near, distance, turn), "nearest")
         pairs = met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
         if asked is not None:
             pairs = pairs.join(asked, ["a", "b"], "left_anti")
@@ -123,6 +124,10 @@ def linked(
     x, y = asked_all.filter("label <> top").alias("x"), asked_all.alias("y")
     once = F.col("x.key") == meeting("x", "y") if meeting else F.lit(True)
     rest = x.join(y, _apart("x", "y") & near("x", "y") & once).select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
+    if few:
+        small = _named(start.filter(F.col("n_ids") <= few), labels).join(traits, "id")
+        x, y = small.alias("x"), small.alias("y")
+        rest = rest.unionByName(x.join(y, _apart("x", "y") & (F.col("x.id") > F.col("y.id")) & near("x", "y") & once).select(F.col("x.id").alias("x"), F.col("y.id").alias("y")))
     if crowd:
         many = written(rows.filter(F.col("n_ids") > CROWD).select(F.col("top").alias("crowd"), "id", "label").distinct(), "crowds")
         tables.append(many)
@@ -148,12 +153,17 @@ def _groups_joined(was: DataFrame, now: DataFrame) -> int:
     return (ids1 - groups1) - (ids0 - groups0)
 
 
+def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, id, label of ``rows``; an id without a label is a group of its own."""
+    few = labels.count() <= BROADCAST_ROWS
+    labels = labels.select("id", "label")
+    return rows.select("key", "id").join(F.broadcast(labels) if few else labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+
 def _contested(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of keys whose ids are in several groups: with label, the key's largest label and
     how many ids that and the key have. A key that is in one group stays so: ``rows`` are replaced."""
-    few = labels.count() <= BROADCAST_ROWS
-    labels = labels.select("id", "label")
-    named = rows.select("key", "id").join(F.broadcast(labels) if few else labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    named = _named(rows, labels)
     per = named.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"), F.sum("n").alias("n_ids"))
     several = per.filter("labels > 1").select("key", F.col("top.label").alias("top"), F.col("top.n").alias("size"), "n_ids")
     out = written(named.join(several, "key"), "contested")
