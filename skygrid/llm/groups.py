@@ -65,9 +65,9 @@ def shared(keys: DataFrame) -> DataFrame:
 def _first(keys: DataFrame) -> DataFrame:
     """The rows of keys that several ids share, every id being a group of its own: as ``_contested``."""
     several = keys.groupBy("key").agg(F.max("id").alias("top"), F.count("*").alias("n_ids")).filter("n_ids > 1")
-    several = written(several.select("key", "top", F.lit(1).cast("long").alias("size"), "n_ids"), "shared-keys")
+    several = written(several, "shared-keys")
     met = F.broadcast(several) if several.count() <= BROADCAST_ROWS else several
-    out = written(keys.withColumn("label", F.col("id")).join(met, "key"), "contested")
+    out = written(keys.join(met, "key").withColumn("label", F.col("id")).withColumn("size", F.lit(1).cast("long")), "contested")
     discard(several)
     return out
 
