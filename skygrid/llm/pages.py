@@ -1,17 +1,19 @@
 """HTML extraction (operator 8): nearest-URL page differencing.
 
-Pages are range-partitioned and sorted by host, path and id; the neighbours of a page are the pages
-before and after it in its host, the nearest by path. The lines of the page that stand outside its
-article are aligned with a neighbour's by longest common subsequence, and shared lines go. Lines of
-an article or main element are kept also where a neighbour has them, since copies of an article may
-stand side by side, and lines of menus, footers, notices and the like go also where a site varies
-them. Where a page has no article, the rest of its lines are the text, unless both pages are copies.
-
-Pages at the edge of a task have one neighbour, so that no host is gathered in one task.
+Pages are range-partitioned and sorted by host, path and id; the neighbours of a page are the
+``NEAREST`` pages before and after it in its host, the nearest by path. Every page's lines are aligned
+with each neighbour's by longest common subsequence, those of an article or main element too; a
+neighbour that shares most of them is a copy and says nothing. An article's line goes if all other
+neighbours share it, ``WITNESSES`` at least: lines that only some pages have are the article's own, as
+sentences recur. Where a page has no article, a line goes if the page before or after shares it, and the
+rest are the text. Lines of menus, footers, notices and the like go also where a site varies them.
+
+Pages at the edge of a task have neighbours on one side, so that no host is gathered in one task.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from itertools import chain
 
@@ -25,6 +27,8 @@ from skygrid.llm.urls import parts
 
 #: Of two pages that share this part of their lines, one is a copy of the other: nothing is deleted.
 COPY_SHARE = 0.8
+#: Neighbours on each side, and how many that are no copies it takes to call an article's line the site's.
+NEAREST, WITNESSES = 3, 3
 
 
 def shared_lines(a: list[str], b: list[str]) -> set[int]:
@@ -60,11 +64,23 @@ def shared_lines(a: list[str], b: list[str]) -> set[int]:
     return found
 
 
-def main_text(lines: list[tuple[str, str]], neighbours: list[list[tuple[str, str]]]) -> str:
-    """The page's text, given its (part, text) lines and those of its neighbours."""
+def site_lines(texts: list[str], neighbours: list[list[str]]) -> set[int]:
+    """Places of the lines that all neighbours share, of which ``WITNESSES`` at least are no copies."""
+    common, witnesses = set(range(len(texts))), 0
+    for other in neighbours:
+        found = shared_lines(texts, other)
+        if len(found) < COPY_SHARE * len(texts):
+            common &= found
+            witnesses += 1
+    return common if witnesses >= WITNESSES else set()
+
+
+def main_text(lines: list[tuple[str, str]], neighbours: list[list[tuple[str, str]]], further: list[list[tuple[str, str]]] = []) -> str:
+    """The page's text, given its (part, text) lines, those of its neighbours, and those of the neighbours beyond."""
     body = [t for p, t in lines if p == "body"]
     if body:
-        return "\n".join(body)
+        gone = site_lines(body, [[t for _, t in other] for other in [*neighbours, *further]])
+        return "\n".join(t for i, t in enumerate(body) if i not in gone)
     rest = [(p, t) for p, t in lines if p != "chrome"]
     texts, gone = [t for _, t in rest], set()
     for other in neighbours:
@@ -92,13 +108,15 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> Iterator[tuple]:
-            before = now = None
-            for page_id, url, page, host in chain(rows_of(batches, "page_id", "url", "html", "host"), [(None, None, None, None)]):
-                after = (host, page_id, url, blocks(page) if page else [])
+            # The page in the middle of ``near`` has all its neighbours; None: no page.
+            near: deque = deque([None] * (2 * NEAREST + 1), 2 * NEAREST + 1)
+            for row in chain(rows_of(batches, "page_id", "url", "html", "host"), [None] * NEAREST):
+                near.append(row and (row[3], row[0], row[1], blocks(row[2]) if row[2] else []))
+                now = near[NEAREST]
                 if now is not None:
-                    text = main_text(now[3], [x[3] for x in (before, after) if x is not None and x[0] == now[0]])
+                    around = [(abs(i - NEAREST), x[3]) for i, x in enumerate(near) if i != NEAREST and x is not None and x[0] == now[0]]
+                    text = main_text(now[3], [x for far, x in around if far == 1], [x for far, x in around if far > 1])
                     yield now[1], now[2], text, len(text)
-                before, now = now, after
 
         yield from in_batches(out(), SCHEMA)
 

@@ -66,3 +66,18 @@ def test_copies_without_articles_keep_their_text():
     lines = [("other", f"line {i}") for i in range(9)]
     assert pages.main_text(lines, [lines]) == "\n".join(t for _, t in lines)
     assert pages.main_text(lines, []) == "\n".join(t for _, t in lines)
+
+
+def test_lines_that_all_pages_of_a_host_have_leave_articles_too(spark):
+    """Lines of some pages only, and those of copies, stay."""
+    shared = "<p>Read more on our app today</p>"
+    page = lambda i: f"<article><h1>Title {i}</h1>{shared}<p>Story {i} is told</p>{'<p>And so on.</p>' if i % 2 else ''}</article>"
+    rows = [(i, f"http://a.com/{i}", page(i)) for i in range(8)]
+    rows += [(10 + i, f"http://copies.com/{i}", page(1)) for i in range(8)]
+    rows += [(20 + i, f"http://two.com/{i}", page(i)) for i in range(2)]
+    docs = spark.createDataFrame([(*r, "t", 1) for r in rows], SCHEMA).coalesce(1)
+    got = {r.page_id: r.text for r in pages.extract(docs).collect()}
+    for i in range(8):
+        assert got[i] == f"Title {i}\nStory {i} is told" + ("\nAnd so on." if i % 2 else "")
+        assert got[10 + i] == "Title 1\nRead more on our app today\nStory 1 is told\nAnd so on."
+    assert got[20].split("\n")[1] == got[21].split("\n")[1] == "Read more on our app today"
