@@ -1,5 +1,6 @@
 """Groups, MinHash near copies and line dedup against brute force over all pairs."""
 
+import math
 import random
 import re
 from collections import defaultdict
@@ -7,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skygrid.llm import groups, lines, minhash
 
@@ -288,3 +290,15 @@ def test_joint_codes_count_words(spark):
     pair = spark.createDataFrame([(a[:700], b[:700]), (a[:3], ["w0", "w2", "z"])], "wa array<string>, wb array<string>").withColumn("joint", F.array_distinct(F.concat("wa", "wb")))
     got = pair.select(F.levenshtein(lines.joint_code(F.col("wa"), F.col("joint")), lines.joint_code(F.col("wb"), F.col("joint"))).alias("d")).collect()
     assert [r.d for r in got] == [2, 2]
+
+
+def test_word_pairs_are_counted_in_all_documents(spark):
+    """Also beyond the 8,000 documents of which a part was counted once."""
+    docs = spark.range(9_000).select(F.col("id").alias("doc_id"), F.col("id").alias("text_hash"), F.when(F.col("id") == 5, "v w x y z").otherwise("a b c d e").alias("text"))
+    found = docs.select(lines.pair_levels(docs, 5).alias("levels")).first().levels
+    want = bytearray(lines.BUCKETS)
+    for line, n in (("a b c d e", 8_999), ("v w x y z", 1)):
+        hashes = spark.range(1).select(lines.word_pairs(F.transform(F.split(F.lit(line), " "), lambda w: F.xxhash64(w))).alias("h")).first().h
+        for pair in hashes:
+            want[pair & (lines.BUCKETS - 1)] = 1 + int(2 * math.log2(n))
+    assert bytes(found) == bytes(want)
