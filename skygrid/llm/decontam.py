@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skygrid.llm.common import rows_of, small_batches
+from skygrid.llm.common import discard, rows_of, small_batches, written
 
 BLOCK_ITEMS = 400
 RANK, OVERSAMPLE = 144, 24
@@ -231,10 +231,13 @@ def singular_vectors(docs: DataFrame, block: Block, idf: np.ndarray, passages: i
             yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([x.tobytes()], pa.binary())], names=["first", "part"])
 
     parts = docs.select("text").mapInArrow(task, "first long, part binary").repartition("first").mapInArrow(added, "first long, part binary")
+    # Written first: rows taken straight from a shuffle would have the passages summed twice.
+    sums = written(parts, "singular-sums")
     total = np.zeros((n_terms, width))
-    for r in parts.toLocalIterator():
+    for r in sums.toLocalIterator():
         x = np.frombuffer(bytes(r.part)).reshape(-1, width)
         total[r.first : r.first + len(x)] += x
+    discard(sums)
     items = [np.array([block.terms[w] for w in x], np.int64) for x in block.words]
     items = [x[idf[x] > 0] for x in items]
     items = [x for x in items if len(x)]

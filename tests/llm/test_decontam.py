@@ -96,3 +96,18 @@ def test_items_in_a_third_of_the_rows_are_found(spark, data):
     rows = decontam.leaks(spark.createDataFrame(table, SCHEMA).repartition(4), spark.createDataFrame([(i, t, 1) for i, t in items], ITEMS)).collect()
     assert {(r.doc_id, r.item_id) for r in rows} == want
     assert len(rows) == len(want)
+
+
+def test_singular_vectors_read_every_text_once(spark, data, monkeypatch, tmp_path):
+    items, docs, _ = data
+    block, read, words_of = decontam.Block(items), tmp_path / "read", decontam.words_of
+
+    def noted(text):
+        with open(read, "a") as f:
+            f.write("x\n")
+        return words_of(text)
+
+    monkeypatch.setattr(decontam, "words_of", noted)
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    axes = decontam.singular_vectors(table, block, decontam.np.ones(len(block.terms)), len(docs))
+    assert axes.shape == (len(block.terms), decontam.RANK) and len(read.read_text().split()) == len(docs)
