@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skygrid.llm.common import in_batches, rows_of, small_batches, worker_state, written
+from skygrid.llm.common import rows_of, small_batches, worker_state, written
 
 FOLDS, HELD_OUT_FOLD, MIXER_FOLD = 10, 0, 1
 #: The code's words, the log2 of a context table's slots, counters kept while counting words.
@@ -40,6 +40,7 @@ BLOCK = 1 << 14
 END = ""  # no word is empty
 START_HASH = np.uint64(0x51A7)
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
+NODE_STEP = np.uint64(int(ODD[1]) * int(ODD[2]) % (1 << 64))
 LIMIT = 12.0
 
 
@@ -56,17 +57,18 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts, with the end of each text as the empty word."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            held: Counter = Counter()
-            for (text,) in rows_of(batches, "text"):
-                held.update(words_of(text))
-                held[b""] += 1
-                if len(held) > KEPT_WORDS:
-                    yield from ((w.decode(), n) for w, n in held.items())
-                    held.clear()
-            yield from ((w.decode(), n) for w, n in held.items())
-
-        yield from in_batches(rows(), pa.schema([("word", pa.string()), ("n", pa.int64())]), 16_384)
+        held: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()).cast(pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"])
+
+        for (text,) in rows_of(batches, "text"):
+            held.update(words_of(text))
+            held[b""] += 1
+            if len(held) > KEPT_WORDS:
+                yield out()
+                held.clear()
+        yield out()
 
     return docs.select("text").mapInArrow(task, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -197,15 +199,21 @@ def _bits(code: Code, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     ends = np.cumsum(lengths)
     token = np.repeat(np.arange(len(symbols)), lengths)
     place = np.arange(len(token)) + np.repeat(code.starts[symbols] - (ends - lengths), lengths)
-    return token, code.nodes[place], code.bits[place]
+    return token, code.nodes.take(place), code.bits.take(place)
 
 
 def _slots(last: np.ndarray, second: np.ndarray, token: np.ndarray, node: np.ndarray) -> list[np.ndarray]:
     """The bit's slot in the table of each hashed context."""
     contexts = [last * ODD[0], (last * ODD[1] + second) * ODD[0], second * ODD[2] + np.uint64(1)]
-    step = node.astype(np.uint64) * ODD[1]
-    shift = np.uint64(64 - TABLE_BITS)
-    return [((((c ^ (c >> np.uint64(29)))[token] + step) * ODD[2]) >> shift).astype(np.int64) for c in contexts]
+    # Multiplied before they are repeated and added: the products are the same, modulo 2 ** 64.
+    step = node.astype(np.uint64) * NODE_STEP
+    slots = []
+    for c in contexts:
+        slot = ((c ^ (c >> np.uint64(29))) * ODD[2]).take(token)
+        slot += step
+        slot >>= np.uint64(64 - TABLE_BITS)
+        slots.append(slot.view(np.int64))
+    return slots
 
 
 def context_tables(docs: DataFrame, code: Code) -> np.ndarray:
@@ -241,7 +249,7 @@ def context_tables(docs: DataFrame, code: Code) -> np.ndarray:
     ddl = "block long, part binary"
     parts = docs.select("text").mapInArrow(count, ddl).repartition("block").mapInArrow(add, ddl)
     out = np.full((CONTEXTS * size // BLOCK, BLOCK), 128, np.uint16)
-    for r in parts.toLocalIterator():
+    for r in parts.collect():  # two bytes a slot; an iterator would run the counting twice
         out[r.block] = np.frombuffer(bytes(r.part), np.uint16)
     return out.reshape(CONTEXTS, size)
 
@@ -253,21 +261,25 @@ FIRST_WEIGHTS = np.tile(np.array([0.4, 0.3, 0.3, 0.1, 0.0]), (GATES, 1))
 def _inputs(code: Code, tables: np.ndarray, symbols: np.ndarray, last: np.ndarray, second: np.ndarray):
     """Per bit: token, bit, gate, and the inputs of the mixer."""
     token, node, bit = _bits(code, symbols)
-    entries = [t[s] for t, s in zip(tables, _slots(last, second, token, node))]
+    entries = [t.take(s) for t, s in zip(tables, _slots(last, second, token, node))]
     gate = (entries[0] >> 8) * 4 + (entries[1] >> 8)
     x = np.empty((INPUTS, len(token)), np.float32)
-    x[0] = code.node_odds[node]
+    # No place is out of range; without a check the values are not buffered.
+    code.node_odds.take(node, out=x[0], mode="clip")
     for k, e in enumerate(entries):
-        x[1 + k] = ODDS[e & 255]
+        ODDS.take(e & 255, out=x[1 + k], mode="clip")
     x[4] = 1
     return token, bit, gate.astype(np.int64), x
 
 
 def _mixed(x: np.ndarray, gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
     w = weights.T.astype(np.float32)
-    z = x[0] * w[0][gate]
+    z = w[0].take(gate)
+    z *= x[0]
     for k in range(1, INPUTS):
-        z += x[k] * w[k][gate]
+        part = w[k].take(gate)
+        part *= x[k]
+        z += part
     return np.clip(z, -LIMIT, LIMIT, out=z)
 
 
@@ -347,7 +359,8 @@ def token_scores(code: Code, tables: np.ndarray, weights: np.ndarray, refined: n
     token, bit, gate, x = _inputs(code, tables, symbols, last, second)
     z = _mixed(x, gate, weights)
     low, part = _cell(z)
-    z = (z + refined[gate, low] * (1 - part) + refined[gate, low + 1] * part) / 2
+    place = gate * CELLS + low
+    z = (z + refined.take(place) * (1 - part) + refined.take(place + 1) * part) / 2
     cost = np.log1p(np.exp(np.where(bit == 1, -z, z)))
     return -np.bincount(token, cost, len(symbols)) / math.log(10)
 
@@ -388,24 +401,24 @@ def score(docs: DataFrame) -> DataFrame:
         base_of = np.append(np.log10((code.counts + 0.1) / base_total), 0.0)
         known_of = np.append(code.counts > 0, False).astype(float)
 
-        def parts() -> Iterator[tuple]:
-            number = 0
-            for batch in batches:
-                docs_here = [(d, f, words_of(t), len((t or "").encode())) for d, f, t in rows_of([batch], "doc_id", "fold", "text")]
-                n = len(docs_here)
-                base, known, coded = np.zeros(n), np.zeros(n), np.zeros(n)
-                for which, symbols, last, second in _streams(code, ((k, x[2]) for k, x in enumerate(docs_here))):
-                    coded += np.bincount(which, token_scores(code, tables, weights, refined, symbols, last, second), n)
-                    base += np.bincount(which, base_of[symbols], n)
-                    known += np.bincount(which, known_of[symbols], n)
-                for k, (doc_id, fold, words, n_bytes) in enumerate(docs_here):
-                    row = first + number
-                    number += 1
-                    yield f" {row}", row, 0, doc_id, fold == HELD_OUT_FOLD, len(words) + 1, n_bytes, int(known[k]), base[k], coded[k]
-                    for w, times in Counter(w for w in words if w not in code.ids).items():
-                        yield w.decode(), row, times, None, None, None, None, None, None, None
-
-        yield from in_batches(parts(), PARTS, 16_384)
+        for batch in batches:
+            docs_here = [(d, f, words_of(t), len((t or "").encode())) for d, f, t in rows_of([batch], "doc_id", "fold", "text")]
+            n = len(docs_here)
+            base, known, coded = np.zeros(n), np.zeros(n), np.zeros(n)
+            for which, symbols, last, second in _streams(code, ((k, x[2]) for k, x in enumerate(docs_here))):
+                coded += np.bincount(which, token_scores(code, tables, weights, refined, symbols, last, second), n)
+                base += np.bincount(which, base_of[symbols], n)
+                known += np.bincount(which, known_of[symbols], n)
+            doc_ids, folds, words, n_bytes = zip(*docs_here) if n else ((),) * 4
+            own = np.arange(first, first + n)
+            first += n
+            n_tokens = [len(w) + 1 for w in words]
+            scored = [[f" {r}" for r in own.tolist()], own, np.zeros(n, np.int64), doc_ids, [f == HELD_OUT_FOLD for f in folds], n_tokens, n_bytes, known.astype(np.int64), base, coded]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(scored, PARTS)], schema=PARTS)
+            escaped = [Counter(w for w in x if w not in code.ids) for x in words]
+            lengths = [len(x) for x in escaped]
+            met = [pa.array([w for x in escaped for w in x], pa.binary()).cast(pa.string()), pa.array(np.repeat(own, lengths)), pa.array([k for x in escaped for k in x.values()], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*met, *(pa.nulls(len(met[0]), f.type) for f in list(PARTS)[3:])], schema=PARTS)
 
     # A document's own row has a key that no word has: words hold no space. It spreads these rows
     # over the join. Escaped words are rare by their choice, so no key of the join is hot.

@@ -87,3 +87,18 @@ def test_scores_do_not_depend_on_partitions(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     one, many = ({r.doc_id: r.score for r in mixing.score(docs.repartition(n)).collect()} for n in (1, 7))
     assert one.keys() == many.keys() and all(abs(one[i] - many[i]) <= 1e-6 * abs(one[i]) for i in one)
+
+
+def test_context_tables_read_every_text_once(spark, monkeypatch, tmp_path):
+    read, words_of = tmp_path / "read", mixing.words_of
+
+    def noted(text):
+        with open(read, "a") as f:
+            f.write("x\n")
+        return words_of(text)
+
+    monkeypatch.setattr(mixing, "words_of", noted)
+    monkeypatch.setattr(mixing, "TABLE_BITS", 16)
+    docs = spark.createDataFrame([(i, f"a{i % 7} b c") for i in range(60)], "doc_id long, text string").repartition(3)
+    mixing.context_tables(docs, mixing.Code([("", 60), ("b", 60), ("c", 60)], 240))
+    assert len(read.read_text().split()) == 60
