@@ -18,12 +18,12 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby, repeat
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +32,12 @@ from skygrid.llm.common import rows_of, small_batches, worker_state, written
 
 FOLDS, HELD_OUT_FOLD, MIXER_FOLD = 10, 0, 1
 #: The code's words, the log2 of a context table's slots, counters kept while counting words.
-HEAD, TABLE_BITS, KEPT_WORDS = 262_144, 20, 400_000
+HEAD, TABLE_BITS, KEPT_WORDS = 262_144, 20, 1_000_000
 CONTEXTS, GATES, INPUTS, CELLS = 3, 16, 5, 33
 #: Documents of a shard, on average, that one mixer learns from.
 CHUNK, SHARD_DOCS = 65_536, 1024
+#: Chunks whose words are looked up together.
+TOGETHER = 12
 BLOCK = 1 << 14
 END = ""  # no word is empty
 START_HASH = np.uint64(0x51A7)
@@ -57,18 +59,31 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts, with the end of each text as the empty word."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        counted, words, size = [], [], 0
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()).cast(pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"])
+        def count() -> int:
+            of = pa.array(words, pa.binary()).value_counts()
+            counted.append(pa.table([of.field("values"), of.field("counts")], ["word", "n"]))
+            words.clear()
+            return len(of)
+
+        def out() -> list[pa.RecordBatch]:
+            summed = pa.concat_tables(counted).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            counted.clear()
+            return pa.table([summed["word"].cast(pa.string()), summed["n_sum"]], ["word", "n"]).combine_chunks().to_batches()
 
         for (text,) in rows_of(batches, "text"):
-            held.update(words_of(text))
-            held[b""] += 1
-            if len(held) > KEPT_WORDS:
-                yield out()
-                held.clear()
-        yield out()
+            words += words_of(text)
+            words.append(b"")
+            if len(words) >= TOGETHER * CHUNK:
+                size += count()
+            if size > KEPT_WORDS:
+                yield from out()
+                size = 0
+        if words:
+            count()
+        if counted:
+            yield from out()
 
     return docs.select("text").mapInArrow(task, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -104,7 +119,7 @@ def huffman(weights: list[int]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Code:
-    """The words' codes, with counts; symbol ``len(ids)`` is the escape.
+    """The words' codes, with counts; symbol ``len(words)`` is the escape.
 
     It travels as its words, counts and tree; the codes are laid out again where it arrives: per
     symbol the start and length of its code in two flat arrays, nodes passed and bits taken.
@@ -123,7 +138,7 @@ class Code:
         self.state = state
         words, counts, self.escaped, parent, side = state
         self.counts = counts.astype(float)
-        self.ids = {w: k for k, w in enumerate(words.split(b" "))}  # no word holds a space
+        self.words = pa.array(words.split(b" "), pa.binary())  # no word holds a space
         n = len(counts) + 1
         mixed = np.arange(1, n + 1, dtype=np.uint64) * ODD[0]
         self.hashes = (mixed ^ (mixed >> np.uint64(32))) * ODD[1]
@@ -146,7 +161,7 @@ class Code:
 
     @property
     def escape(self) -> int:
-        return len(self.ids)
+        return len(self.words)
 
 
 def _word_hashes():
@@ -160,60 +175,85 @@ def _word_hashes():
     return Hashes()
 
 
-def _pieces(code: Code, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Symbols of a text and its end with the hashes of the one and of the two words before, in chunks."""
-    known = worker_state("mixing_hashes", _word_hashes)
+def _looked_up(code: Code, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Symbols and hashes of words; and the escaped ones, in order."""
+    symbols = pc.fill_null(pc.index_in(pa.array(words, pa.binary()), value_set=code.words), code.escape).to_numpy().astype(np.int64)
+    hashes, known = code.hashes.take(symbols), worker_state("mixing_hashes", _word_hashes)
     if len(known) > 200_000:
         known.clear()
-    before = np.full(2, START_HASH)
-    for at in range(0, len(words) + 1, CHUNK):
-        part = words[at : at + CHUNK]
-        symbols = np.fromiter(map(code.ids.get, part, repeat(code.escape)), np.int64, len(part))
-        hashes = np.concatenate([before, code.hashes[symbols]])
-        for i in np.flatnonzero(symbols == code.escape).tolist():
-            hashes[2 + i] = known[part[i]]
-        if at + CHUNK > len(words):
-            symbols = np.append(symbols, code.ids[b""])
-        n = len(symbols)
-        yield symbols, hashes[1 : 1 + n], hashes[:n]
-        before = hashes[-2:]
+    places = np.flatnonzero(symbols == code.escape)
+    escaped = [words[i] for i in places.tolist()]
+    hashes[places] = np.fromiter(map(known.__getitem__, escaped), np.uint64, len(escaped))
+    return symbols, hashes, pa.array(escaped, pa.binary())
+
+
+def _chunks(code: Code, texts: Iterator[tuple[int, list[bytes]]]) -> Iterator[tuple]:
+    """Chunks over many texts and their ends: which text, symbol, hash of the word before, of the word
+    before that; and the escaped words.
+
+    A long text goes on in the next chunk. The words of some chunks are looked up together.
+    """
+    flat, numbers, lengths, opens, cuts, before = [], [], [], [], [0], (START_HASH, START_HASH)
+
+    def group() -> Iterator[tuple]:
+        symbols, hashes, escaped = _looked_up(code, flat)
+        starts = np.cumsum(lengths) - lengths
+        last, second = np.empty_like(hashes), np.empty_like(hashes)
+        last[1:], second[2:] = hashes[:-1], hashes[:-2]
+        last[0], second[0], second[1:2] = before[1], before[0], before[1]
+        first = starts[opens]
+        last[first] = second[first] = START_HASH
+        second[np.minimum(first + 1, len(second) - 1)] = START_HASH
+        which, met = np.repeat(numbers, lengths), np.append(0, np.cumsum(symbols == code.escape))
+        for a, b in pairwise(cuts):
+            yield which[a:b], symbols[a:b], last[a:b], second[a:b], escaped[met[a] : met[b]]
+        return last[-1], hashes[-1]
+
+    for number, words in texts:
+        for start in range(0, len(words) + 1, CHUNK):
+            part = words[start : start + CHUNK]
+            ended = start + CHUNK > len(words)
+            flat += part
+            if ended:
+                flat.append(b"")
+            numbers.append(number)
+            opens.append(start == 0)
+            lengths.append(len(part) + ended)
+            if len(flat) - cuts[-1] >= CHUNK:
+                cuts.append(len(flat))
+            if len(cuts) > TOGETHER:
+                before = yield from group()
+                flat, numbers, lengths, opens, cuts = [], [], [], [], [0]
+    if flat:
+        if cuts[-1] < len(flat):
+            cuts.append(len(flat))
+        yield from group()
 
 
 def _streams(code: Code, texts: Iterator[tuple[int, list[bytes]]]) -> Iterator[tuple[np.ndarray, ...]]:
     """Chunks over many texts: which text, symbol, hash of the word before, of the word before that."""
-    held, size = [], 0
-    for number, words in texts:
-        for symbols, last, second in _pieces(code, words):
-            held.append((np.full(len(symbols), number), symbols, last, second))
-            size += len(symbols)
-            if size >= CHUNK:
-                yield tuple(np.concatenate(x) for x in zip(*held))
-                held, size = [], 0
-    if held:
-        yield tuple(np.concatenate(x) for x in zip(*held))
+    return (chunk[:4] for chunk in _chunks(code, texts))
 
 
 def _bits(code: Code, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every bit of the symbols' codes: its token, its node, the bit."""
-    lengths = code.lengths[symbols]
-    ends = np.cumsum(lengths)
-    token = np.repeat(np.arange(len(symbols)), lengths)
-    place = np.arange(len(token)) + np.repeat(code.starts[symbols] - (ends - lengths), lengths)
-    return token, code.nodes.take(place), code.bits.take(place)
+    """For every bit of the symbols' codes its node and the bit; and how many each symbol has."""
+    lengths = code.lengths.take(symbols)
+    place = np.repeat(code.starts.take(symbols) - (np.cumsum(lengths) - lengths), lengths)
+    place += np.arange(len(place))
+    return code.nodes.take(place), code.bits.take(place), lengths
 
 
-def _slots(last: np.ndarray, second: np.ndarray, token: np.ndarray, node: np.ndarray) -> list[np.ndarray]:
+def _slots(last: np.ndarray, second: np.ndarray, lengths: np.ndarray, node: np.ndarray) -> Iterator[np.ndarray]:
     """The bit's slot in the table of each hashed context."""
     contexts = [last * ODD[0], (last * ODD[1] + second) * ODD[0], second * ODD[2] + np.uint64(1)]
     # Multiplied before they are repeated and added: the products are the same, modulo 2 ** 64.
-    step = node.astype(np.uint64) * NODE_STEP
-    slots = []
+    step = node.astype(np.uint64)
+    step *= NODE_STEP
     for c in contexts:
-        slot = ((c ^ (c >> np.uint64(29))) * ODD[2]).take(token)
+        slot = np.repeat((c ^ (c >> np.uint64(29))) * ODD[2], lengths)
         slot += step
         slot >>= np.uint64(64 - TABLE_BITS)
-        slots.append(slot.view(np.int64))
-    return slots
+        yield slot.view(np.int64)
 
 
 def context_tables(docs: DataFrame, code: Code) -> np.ndarray:
@@ -227,9 +267,11 @@ def context_tables(docs: DataFrame, code: Code) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = np.zeros((CONTEXTS, 2 * size), np.uint32)
         for _, symbols, last, second in _streams(code, ((0, words_of(t)) for (t,) in rows_of(batches, "text"))):
-            token, node, bit = _bits(code, symbols)
-            for table, slot in zip(tables, _slots(last, second, token, node)):
-                np.add.at(table, 2 * slot + bit, np.uint32(1))
+            node, bit, lengths = _bits(code, symbols)
+            for table, slot in zip(tables, _slots(last, second, lengths, node)):
+                slot *= 2
+                slot += bit
+                np.add.at(table, slot, np.uint32(1))
         flat = tables.reshape(-1, 2 * BLOCK)
         for k in np.flatnonzero(flat.any(axis=1)).tolist():
             yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([zlib.compress(flat[k].tobytes(), 1)], pa.binary())], names=["block", "part"])
@@ -255,21 +297,28 @@ def context_tables(docs: DataFrame, code: Code) -> np.ndarray:
 
 
 ODDS = ((np.arange(256) - 128) * (LIMIT / 127)).astype(np.float32)
+SIGNS = np.array([1.0, -1.0])
 FIRST_WEIGHTS = np.tile(np.array([0.4, 0.3, 0.3, 0.1, 0.0]), (GATES, 1))
 
 
-def _inputs(code: Code, tables: np.ndarray, symbols: np.ndarray, last: np.ndarray, second: np.ndarray):
-    """Per bit: token, bit, gate, and the inputs of the mixer."""
-    token, node, bit = _bits(code, symbols)
-    entries = [t.take(s) for t, s in zip(tables, _slots(last, second, token, node))]
+def _entries(code: Code, tables: np.ndarray, symbols: np.ndarray, last: np.ndarray, second: np.ndarray):
+    """Per bit: node, bit, gate, and the tables' log odds as bytes; and how many bits each symbol has."""
+    node, bit, lengths = _bits(code, symbols)
+    entries = [t.take(s) for t, s in zip(tables, _slots(last, second, lengths, node))]
     gate = (entries[0] >> 8) * 4 + (entries[1] >> 8)
-    x = np.empty((INPUTS, len(token)), np.float32)
+    return node, bit, gate.astype(np.int64), [e & 255 for e in entries], lengths
+
+
+def _inputs(code: Code, tables: np.ndarray, symbols: np.ndarray, last: np.ndarray, second: np.ndarray):
+    """Per bit: bit, gate, and the inputs of the mixer."""
+    node, bit, gate, entries, _ = _entries(code, tables, symbols, last, second)
+    x = np.empty((INPUTS, len(node)), np.float32)
     # No place is out of range; without a check the values are not buffered.
     code.node_odds.take(node, out=x[0], mode="clip")
     for k, e in enumerate(entries):
-        ODDS.take(e & 255, out=x[1 + k], mode="clip")
+        ODDS.take(e, out=x[1 + k], mode="clip")
     x[4] = 1
-    return token, bit, gate.astype(np.int64), x
+    return bit, gate, x
 
 
 def _mixed(x: np.ndarray, gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -283,6 +332,18 @@ def _mixed(x: np.ndarray, gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.clip(z, -LIMIT, LIMIT, out=z)
 
 
+def _said(code: Code, node: np.ndarray, gate: np.ndarray, entries: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
+    """What ``_mixed`` gives, by tables of all products of a gate's weight and a context's log odds."""
+    w = weights.T.astype(np.float32)
+    z = w[0].take(gate)
+    z *= code.node_odds.take(node)
+    row = gate << 8
+    for k, e in enumerate(entries):
+        z += (w[1 + k][:, None] * ODDS).ravel().take(row + e)
+    z += w[4].take(gate)
+    return np.clip(z, -LIMIT, LIMIT, out=z)
+
+
 def _cell(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     place = (z + np.float32(LIMIT)) * np.float32((CELLS - 1) / (2 * LIMIT))
     low = np.minimum(place.astype(np.int64), CELLS - 2)
@@ -315,7 +376,7 @@ def mixer_weights(docs: DataFrame, code: Code, tables: np.ndarray) -> np.ndarray
     def learned(texts: Iterator[str | None]) -> pa.RecordBatch:
         weights, squares, seen = FIRST_WEIGHTS.copy(), np.full((GATES, INPUTS), 1e-6), np.zeros(GATES)
         for _, symbols, last, second in _streams(code, ((0, words_of(t)) for t in texts)):
-            _, bit, gate, x = _inputs(code, tables, symbols, last, second)
+            bit, gate, x = _inputs(code, tables, symbols, last, second)
             for a in range(0, len(bit), 4096):
                 g, part = gate[a : a + 4096], x[:, a : a + 4096]
                 error = bit[a : a + 4096] - 1 / (1 + np.exp(-_mixed(part, g, weights)))
@@ -341,8 +402,8 @@ def refinement(docs: DataFrame, code: Code, tables: np.ndarray, weights: np.ndar
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ones, every = np.zeros(GATES * CELLS), np.zeros(GATES * CELLS)
         for _, symbols, last, second in _streams(code, ((0, words_of(t)) for (t,) in rows_of(batches, "text"))):
-            _, bit, gate, x = _inputs(code, tables, symbols, last, second)
-            low, part = _cell(_mixed(x, gate, weights))
+            node, bit, gate, entries, _ = _entries(code, tables, symbols, last, second)
+            low, part = _cell(_said(code, node, gate, entries, weights))
             for place, share in ((gate * CELLS + low, 1 - part), (gate * CELLS + low + 1, part)):
                 ones += np.bincount(place, share * bit, len(ones))
                 every += np.bincount(place, share, len(every))
@@ -356,13 +417,28 @@ def refinement(docs: DataFrame, code: Code, tables: np.ndarray, weights: np.ndar
 
 def token_scores(code: Code, tables: np.ndarray, weights: np.ndarray, refined: np.ndarray, symbols, last, second) -> np.ndarray:
     """log10 probability of every symbol."""
-    token, bit, gate, x = _inputs(code, tables, symbols, last, second)
-    z = _mixed(x, gate, weights)
+    node, bit, gate, entries, lengths = _entries(code, tables, symbols, last, second)
+    z = _said(code, node, gate, entries, weights)
     low, part = _cell(z)
-    place = gate * CELLS + low
+    place, refined = gate * CELLS + low, refined.ravel()
     z = (z + refined.take(place) * (1 - part) + refined.take(place + 1) * part) / 2
-    cost = np.log1p(np.exp(np.where(bit == 1, -z, z)))
-    return -np.bincount(token, cost, len(symbols)) / math.log(10)
+    z *= SIGNS.take(bit)
+    np.exp(z, out=z)
+    z += 1
+    return np.add.reduceat(np.log(z, out=z), np.cumsum(lengths) - lengths) / -math.log(10)
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """doc_id, fold, words and bytes of texts, of some chunks' words at a time."""
+    held, size = [], 0
+    for doc_id, fold, text in rows_of(batches, "doc_id", "fold", "text"):
+        held.append((doc_id, fold, words_of(text), len((text or "").encode())))
+        size += 1 + len(held[-1][2])
+        if size >= TOGETHER * CHUNK:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 PARTS = pa.schema([
@@ -401,24 +477,24 @@ def score(docs: DataFrame) -> DataFrame:
         base_of = np.append(np.log10((code.counts + 0.1) / base_total), 0.0)
         known_of = np.append(code.counts > 0, False).astype(float)
 
-        for batch in batches:
-            docs_here = [(d, f, words_of(t), len((t or "").encode())) for d, f, t in rows_of([batch], "doc_id", "fold", "text")]
-            n = len(docs_here)
-            base, known, coded = np.zeros(n), np.zeros(n), np.zeros(n)
-            for which, symbols, last, second in _streams(code, ((k, x[2]) for k, x in enumerate(docs_here))):
-                coded += np.bincount(which, token_scores(code, tables, weights, refined, symbols, last, second), n)
-                base += np.bincount(which, base_of[symbols], n)
-                known += np.bincount(which, known_of[symbols], n)
-            doc_ids, folds, words, n_bytes = zip(*docs_here) if n else ((),) * 4
+        for texts in _held(batches):
+            n = len(texts)
             own = np.arange(first, first + n)
             first += n
+            base, known, coded = np.zeros(n), np.zeros(n), np.zeros(n)
+            for which, symbols, last, second, escaped in _chunks(code, ((k, x[2]) for k, x in enumerate(texts))):
+                coded += np.bincount(which, token_scores(code, tables, weights, refined, symbols, last, second), n)
+                base += np.bincount(which, base_of.take(symbols), n)
+                known += np.bincount(which, known_of.take(symbols), n)
+                distinct = escaped.dictionary_encode()
+                met = len(distinct.dictionary)
+                pairs, times = np.unique(which[symbols == code.escape] * met + distinct.indices.to_numpy(), return_counts=True)
+                rows = [distinct.dictionary.take(pa.array(pairs % max(1, met))).cast(pa.string()), pa.array(own[pairs // max(1, met)]), pa.array(times)]
+                yield pa.RecordBatch.from_arrays([*rows, *(pa.nulls(len(pairs), f.type) for f in list(PARTS)[3:])], schema=PARTS)
+            doc_ids, folds, words, n_bytes = zip(*texts)
             n_tokens = [len(w) + 1 for w in words]
             scored = [[f" {r}" for r in own.tolist()], own, np.zeros(n, np.int64), doc_ids, [f == HELD_OUT_FOLD for f in folds], n_tokens, n_bytes, known.astype(np.int64), base, coded]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(scored, PARTS)], schema=PARTS)
-            escaped = [Counter(w for w in x if w not in code.ids) for x in words]
-            lengths = [len(x) for x in escaped]
-            met = [pa.array([w for x in escaped for w in x], pa.binary()).cast(pa.string()), pa.array(np.repeat(own, lengths)), pa.array([k for x in escaped for k in x.values()], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*met, *(pa.nulls(len(met[0]), f.type) for f in list(PARTS)[3:])], schema=PARTS)
 
     # A document's own row has a key that no word has: words hold no space. It spreads these rows
     # over the join. Escaped words are rare by their choice, so no key of the join is hot.

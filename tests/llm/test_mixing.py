@@ -81,6 +81,29 @@ def test_chunks_do_not_change_streams(monkeypatch):
     assert all((x == y).all() for x, y in zip(whole, parts))
 
 
+def test_words_of_chunks_are_looked_up_together(monkeypatch):
+    """Contexts do not reach over the start of a text, but over chunks and groups of chunks; escaped words
+    come along; what is said by tables of products is what the mixer says."""
+    code = mixing.Code([("", 9), ("a", 5), ("b", 3)], 20)
+    rng = random.Random(1)
+    texts = [(k, [rng.choice([b"a", b"b", b"x", b"yy"]) for _ in range(rng.choice([0, 1, 2, 5, 6, 7, 40]))]) for k in range(60)]
+    name = {w: k for k, w in enumerate([b"", b"a", b"b"])}
+    hash_of = lambda w: code.hashes[name[w]] if w in name else np.uint64(mixing._word_hashes()[w])
+    want = [(k, name.get(w, 3), p, q) for k, x in texts for w, p, q in zip([*x, b""], [mixing.START_HASH, *map(hash_of, x)], [mixing.START_HASH] * 2 + [hash_of(w) for w in x])]
+    for chunk, together in ((1 << 16, 8), (6, 1), (6, 3), (2, 2)):
+        monkeypatch.setattr(mixing, "CHUNK", chunk)
+        monkeypatch.setattr(mixing, "TOGETHER", together)
+        chunks = list(mixing._chunks(code, iter(texts)))
+        assert [r for c in chunks for r in zip(*(x.tolist() for x in c[:4]))] == want
+        assert [w for c in chunks for w in c[4].to_pylist()] == [w for _, x in texts for w in x if w not in name]
+    tables = np.random.default_rng(2).integers(0, 1 << 10, (mixing.CONTEXTS, 1 << mixing.TABLE_BITS)).astype(np.uint16)
+    weights = np.random.default_rng(3).normal(0.2, 0.2, (mixing.GATES, mixing.INPUTS))
+    which, symbols, last, second = (np.concatenate(x) for x in zip(*(c[:4] for c in chunks)))
+    node, _, gate, entries, _ = mixing._entries(code, tables, symbols, last, second)
+    _, gates, x = mixing._inputs(code, tables, symbols, last, second)
+    assert (gate == gates).all() and (mixing._said(code, node, gate, entries, weights) == mixing._mixed(x, gate, weights)).all()
+
+
 def test_scores_do_not_depend_on_partitions(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(f"w{int(rng.paretovariate(0.7))}" for _ in range(rng.randint(5, 80)))) for i in range(400)]
