@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skygrid.llm.common import BROADCAST_ROWS, discard, rows_of, semi, small_batches, worker_state, written
+from skygrid.llm.common import BROADCAST_ROWS, discard, narrowed, rows_of, semi, small_batches, worker_state, written
 from skygrid.llm.groups import linked, shared
 
 HALVES = 8
@@ -125,13 +125,17 @@ def similarity_check(docs: DataFrame, size: int, percent: int):
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     def verify(pairs: DataFrame) -> DataFrame:
-        ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-ids")
-        texts = semi(docs.select(F.col("doc_id").cast("long"), "text"), ids, "doc_id")
+        asked = pairs.count()
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+        read = docs.select(F.col("doc_id").cast("long"), "text")
+        # Few ids are sent as they are; it takes no shuffle to make them distinct.
+        texts = read.join(F.broadcast(ids), "doc_id", "left_semi") if 2 * asked <= BROADCAST_ROWS else read.join(ids.distinct().hint("merge"), "doc_id", "left_semi")
         found = written(texts.mapInArrow(sets, "id long, shingles binary"), "near-sets")
         x = found.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
         y = found.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-        links = written(pairs.join(x, "a").join(y, "b").mapInArrow(check, "a long, b long").distinct(), "links")
-        discard(ids, found)
+        first = (F.broadcast(pairs) if asked <= BROADCAST_ROWS else pairs).join(x, "a")
+        links = written(narrowed(first.join(y, "b"), asked, 100).mapInArrow(check, "a long, b long"), "links")
+        discard(found)
         return links
 
     return verify
@@ -180,7 +184,7 @@ def crowd_pairs(docs: DataFrame, size: int, percent: int):
             yield pa.RecordBatch.from_arrays([*keep, n, pa.array(d, pa.list_(pa.int64()))], names=["crowd", "id", "label", "n", "diff"])
 
     def pairs(members: DataFrame) -> DataFrame:
-        ids = written(members.select(F.col("id").alias("doc_id")).distinct(), "crowd-ids")
+        ids = written(narrowed(members.select(F.col("id").alias("doc_id")).distinct(), members.count(), 10_000), "crowd-ids")
         texts = semi(docs.select(F.col("doc_id").cast("long"), "text"), ids, "doc_id").dropDuplicates(["doc_id"])
         found = written(texts.mapInArrow(sets, "id long, shingles array<long>"), "crowd-sets")
         place = F.row_number().over(Window.partitionBy("crowd").orderBy(F.xxhash64("id")))
@@ -198,10 +202,11 @@ def crowd_pairs(docs: DataFrame, size: int, percent: int):
         certain = apart.join(F.broadcast(hubs) if hubs.count() <= BROADCAST_ROWS else hubs, "crowd").filter((slack + F.col("hub.slack") >= -1e-6) & (F.col("label") != F.col("hub.label")))
         certain = certain.select(F.col("id").alias("x"), F.col("hub.id").alias("y"))
         rows = apart.select("crowd", "id", "label", "n", "d", F.explode("diff").alias("e"))
-        often = rows.groupBy("crowd", "e").agg(F.count("*").alias("often"))
+        often = rows.groupBy("crowd", "e").agg(F.count("*").alias("often")).filter("often > 1")
         # The rarest of a document are those that it alone has; they only count as places passed.
-        ranked = rows.join(often, ["crowd", "e"]).withColumn("p", F.row_number().over(Window.partitionBy("crowd", "id").orderBy("often", "e")) - 1)
-        ranked = written(ranked.filter((F.col("often") > 1) & (F.col("p") <= longest * F.col("n") + 1e-6)).drop("often"), "crowd-places")
+        own, order = Window.partitionBy("crowd", "id"), Window.partitionBy("crowd", "id").orderBy("often", "e")
+        ranked = rows.join(often, ["crowd", "e"]).withColumn("p", F.col("d") - F.count("*").over(own) + F.row_number().over(order) - 1)
+        ranked = written(ranked.filter(F.col("p") <= longest * F.col("n") + 1e-6).drop("often"), "crowd-places")
         x, y = ranked.alias("x"), ranked.alias("y")
         left = F.least(F.col("x.d") - F.col("x.p"), F.col("y.d") - F.col("y.p"))
         need = (F.col("x.d") + F.col("y.d") - share * (F.col("x.n") + F.col("y.n"))) / 2

@@ -41,6 +41,22 @@ def test_connected_labels(spark):
     assert out == components(ids, edges)
 
 
+@pytest.mark.parametrize("few", [0, 1000])
+def test_labels_are_carried_on(spark, monkeypatch, few):
+    """Edges that come later join groups by their labels, as if all edges were given at once."""
+    monkeypatch.setattr(groups, "FEW_LABELS", few)
+    rng, labels, edges, ids = random.Random(5), None, [], set()
+    for n in (40, 30, 1, 25):
+        new = [(x, x - rng.randint(1, 60)) for x in (rng.randint(61, 200) for _ in range(n))] + [(500, 499)]
+        edges += new
+        ids |= {x for e in new for x in e}
+        was, labels = labels, groups.connected(spark.createDataFrame(new, "a long, b long"), labels)
+        out = [(r.id, r.label) for r in labels.collect()]
+        assert len(out) == len(ids) and dict(out) == components(ids, edges)
+        if was is not None:
+            assert groups._groups_joined(was, labels) == len(set(components(ids, edges[: -len(new)]).values())) - len(set(dict(out).values()))
+
+
 def test_linked_checks_pairs_of_different_groups_only(spark):
     """One key for all ids; ids are linked if they are neighbours, or in a block of twenty."""
     true = {(b, a) for a, b in combinations(range(60), 2) if a // 20 == b // 20 or (a, b) in ((19, 20), (45, 59))}
