@@ -125,3 +125,9 @@ def test_class_weights(spark):
     df = spark.createDataFrame([(0,)] * 6 + [(1,)] * 2, "Rain int")
     weighted = models.with_weights(df).groupBy("Rain").agg(F.first("weight").alias("w")).collect()
     assert {r.Rain: r.w for r in weighted} == {0: 1.0, 1: 3.0}
+
+
+def test_a_stack_of_more_rows_than_a_task_holds_is_of_all_rows(rain, stack):
+    again = models.fit_stack(rain.where("split = 'train'"), model_queries.quick_learners(), folds=2, rows=50)
+    assert [[vars(t) for t in m.trees] for m in again.bases.values()] == [[vars(t) for t in m.trees] for m in stack.bases.values()]
+    assert again.meta.coefficients.toArray() == pytest.approx(stack.meta.coefficients.toArray(), rel=1e-6)
